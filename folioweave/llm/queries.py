@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import simhash, suffix_dedup
+from . import decontam, packing, simhash, suffix_dedup
 from .common import table
 
 
@@ -10,9 +10,17 @@ def op5_suffix_array_dedup(spark, sf_dir):
     return suffix_dedup.dedup_report(table(spark, sf_dir, "documents"))
 
 
+def op7_benchmark_decontamination(spark, sf_dir):
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_suffix_array_dedup, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op5_suffix_array_dedup, op7_benchmark_decontamination, op8_best_fit_packing, op10_simhash_near_dedup)}
 ORACLE_SQL: dict[str, str] = {}
