@@ -24,7 +24,7 @@ import hashlib
 import zlib
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import materialize, parts, release_shuffles, row_batches
 
@@ -270,6 +270,14 @@ def _sorted_round(groups: int):
     return run
 
 
+def _collect(payload: bytes, runs: dict) -> None:
+    """Add the runs of a payload to those of each (doc_id, mark)."""
+    ids, marks, start, run = _unpack(payload)[:4]
+    cut = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])])
+    for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(ids)]):
+        runs.setdefault((int(ids[a]), int(marks[a])), []).append((start[a:b], run[a:b]))
+
+
 def _texts_with(batches, groups: int):
     """For rows of a group, packed runs first: (doc_id, text as bytes, its runs as (start, run))."""
     key, runs = None, {}
@@ -278,10 +286,7 @@ def _texts_with(batches, groups: int):
             if k != key:
                 key, runs = k, {}
             if p is not None:
-                ids, marks, start, run = _unpack(p)[:4]
-                cut = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])])
-                for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(ids)]):
-                    runs.setdefault((int(ids[a]), int(marks[a])), []).append((start[a:b], run[a:b]))
+                _collect(p, runs)
             else:
                 data = (t or "").encode("utf-8", "surrogatepass")
                 yield i, data, runs.get((i, zlib.crc32(data)), ())
@@ -370,18 +375,18 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, in
 
 
 def _with_texts(docs: DataFrame, packed: DataFrame, groups: int, tasks: int) -> DataFrame:
-    """Rows of key, payload, doc_id, text: each group's packed runs, then its documents."""
+    """Rows of key, payload, doc_id, text and docs' other columns: each group's packed runs, then its documents."""
 
     def keyed(batches):
         import pyarrow as pa
 
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(group_of(b.column(0).to_numpy(), groups)), pa.nulls(b.num_rows, pa.binary()), b.column(0), b.column(1)], ["key", "payload", "doc_id", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(group_of(b.column(0).to_numpy(), groups)), pa.nulls(b.num_rows, pa.binary()), *b.columns], ["key", "payload", *b.schema.names])
 
-    schema = "key long, payload binary, doc_id long, text string"
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("payload", T.BinaryType()), *docs.schema.fields])
     texts = docs.mapInArrow(keyed, schema)
-    runs = packed.select("key", "payload", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"))
-    return texts.unionByName(runs).repartition(tasks, "key").sortWithinPartitions("key", F.col("doc_id").isNotNull())
+    runs = packed.select("key", "payload", *[F.lit(None).cast(f.dataType).alias(f.name) for f in docs.schema])
+    return texts.union(runs).repartition(tasks, "key").sortWithinPartitions("key", F.col("doc_id").isNotNull())
 
 
 def _plain(docs: DataFrame) -> DataFrame:
@@ -415,3 +420,47 @@ def dedup_report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     names_ = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     told = _with_texts(plain, packed, groups, max(8, groups // 4))
     return told.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The rows of docs with the repeated bytes cut out of text (bytes of a cut character go too).
+
+    n_chars, where docs has it, is counted anew. Every row stays, if with less text; rows without
+    doc_id and null texts stay as they are.
+    """
+    if not docs.columns:
+        return docs
+    own = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text", "n_chars")] or [F.lit(1).alias("none_")]).alias("rest_"))
+    packed, groups = repeated_spans(own.select("doc_id", "text"), length)
+
+    def cut(batches):
+        import pyarrow as pa
+
+        key, runs = None, {}
+        for batch in batches:
+            for some in range(0, batch.num_rows, 512):
+                b = batch.slice(some, 512)
+                at, texts = [], []
+                for n, (k, p, i, t) in enumerate(zip(*(b.column(c).to_pylist() for c in range(4)))):
+                    if k != key:
+                        key, runs = k, {}
+                    if p is not None:
+                        _collect(p, runs)
+                        continue
+                    data = (t or "").encode("utf-8", "surrogatepass")
+                    own = runs.get((i, zlib.crc32(data)), ())
+                    if len(own):
+                        array = np.frombuffer(data, np.uint8)
+                        t = array[~_cover(len(array), own, length)].tobytes().decode("utf-8", "ignore")
+                    at.append(n)
+                    texts.append(t)
+                if at:
+                    kept = b.take(pa.array(at))
+                    yield pa.RecordBatch.from_arrays([kept.column(2), pa.array(texts, pa.string()), kept.column(4)], ["doc_id", "text", "rest_"])
+
+    told = _with_texts(own, packed, groups, max(8, groups // 4)).mapInArrow(cut, own.schema)
+    out = []
+    for f in docs.schema:
+        value = F.col(f.name) if f.name in ("doc_id", "text") else F.char_length("text") if f.name == "n_chars" else F.col("rest_").getField(f.name)
+        out.append(value.cast(f.dataType).alias(f.name))
+    return told.select(*out).union(docs.where("doc_id is null or text is null"))
