@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -51,8 +52,10 @@ def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
 
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner delete shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(3):  # plans let go of one another in steps
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def input_bytes(df: DataFrame, default: int = 256 << 20) -> int:
