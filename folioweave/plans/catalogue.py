@@ -1,7 +1,348 @@
-"""The registered queries and their SQL."""
+"""The registered queries, one or more per operator, and their SQL."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..operators import decide as D, geometry as G, records as R
+from . import fixtures as X
+
 FLAGSHIP = "v9_report"
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+# ---- sources and names
+
+
+@query("SELECT page_id, coalesce(nullif(regexp_replace(regexp_replace(url, '[^A-Za-z0-9._-]+', '_', 'g'), '^[._]+|[._]+$', '', 'g'), ''), 'document') AS name FROM pages")
+def s3_normalize_name(spark, d):
+    return X.table(spark, d, "pages").select("page_id", T.directory_name(F.col("url")).alias("name"))
+
+
+@query("WITH p AS (SELECT o_custkey AS roll, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS source_page, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders) SELECT roll, source_page::BIGINT AS source_page, (source_page - 2)::BIGINT AS page FROM p WHERE n > 3 AND source_page BETWEEN 3 AND n - 1")
+def s4_page_prune(spark, d):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("roll")
+    p = X.table(spark, d, "orders").select(F.col("o_custkey").alias("roll"), "o_orderkey")
+    p = p.select("roll", F.row_number().over(w.orderBy("o_orderkey")).cast("long").alias("source_page"), F.count(F.lit(1)).over(w).alias("n"))
+    return p.where("n > 3 and source_page between 3 and n - 1").select("roll", "source_page", (F.col("source_page") - 2).alias("page"))
+
+
+@query(f"SELECT o_orderkey AS k, CAST(regexp_extract(c, '(?i)page_([0-9]+)_entry_([0-9]+)\\.png$', 1) AS INT) AS page, CAST(regexp_extract(c, '(?i)page_([0-9]+)_entry_([0-9]+)\\.png$', 2) AS INT) AS entry_index FROM (SELECT o_orderkey, {X.CROP} AS c FROM orders)")
+def s7_crop_key(spark, d):
+    from ..sources.crops import crop_key
+
+    c = X.table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.expr(X.CROP).alias("path"))
+    return c.select("k", *crop_key(F.col("path")))
+
+
+@query("SELECT key AS header, min(event_id) AS first_row FROM (SELECT event_id, unnest(json_keys(props)) AS key FROM events) WHERE key <> 'raw_text' GROUP BY key")
+def k4_headers(spark, d):
+    keys = X.table(spark, d, "events").select("event_id", F.posexplode(F.json_object_keys("props")).alias("at", "header"))
+    return keys.where("header <> 'raw_text'").groupBy("header").agg(F.min("event_id").alias("first_row"))
+
+
+# ---- rectangles
+
+_CELL = "width BETWEEN CAST(900 * 0.15 AS INT) AND CAST(900 * 0.4 AS INT) AND height BETWEEN CAST(1200 * 0.05 AS INT) AND CAST(1200 * 0.2 AS INT) AND x > 0 AND y > 0 AND x + width < 900 AND y + height < 1200 AND width / greatest(height, 1)::DOUBLE BETWEEN 1.2 AND 4.5"
+
+
+@query(f"SELECT page, line, x, y, width, height FROM ({X.RECTS_SQL}) WHERE {_CELL}")
+def g6_valid_rect(spark, d):
+    r = X.rectangles(spark, d)
+    return r.where(G.is_cell(F.struct("x", "y", "width", "height"), F.lit(900), F.lit(1200)))
+
+
+_IOU = "CASE WHEN least(a.x + a.width, b.x + b.width) <= greatest(a.x, b.x) OR least(a.y + a.height, b.y + b.height) <= greatest(a.y, b.y) THEN 0 ELSE (least(a.x + a.width, b.x + b.width) - greatest(a.x, b.x)) * (least(a.y + a.height, b.y + b.height) - greatest(a.y, b.y))::DOUBLE / (a.width * a.height + b.width * b.height - (least(a.x + a.width, b.x + b.width) - greatest(a.x, b.x)) * (least(a.y + a.height, b.y + b.height) - greatest(a.y, b.y))) END"
+
+
+@query(f"WITH r AS ({X.RECTS_SQL}) SELECT a.page, a.line, round({_IOU}, 4) AS iou FROM r a JOIN r b ON a.page = b.page AND b.line = a.line + 1")
+def g9_iou(spark, d):
+    r = X.rectangles(spark, d)
+    a = r.select("page", "line", F.struct("x", "y", "width", "height").alias("a"))
+    b = r.select("page", (F.col("line") - 1).alias("line"), F.struct("x", "y", "width", "height").alias("b"))
+    return a.join(b, ["page", "line"]).select("page", "line", F.round(G.overlap(F.col("a"), F.col("b")), 4).alias("iou"))
+
+
+def _flat(df, rects):
+    return df.select("page", F.posexplode(rects).alias("pos", "r")).select("page", (F.col("pos") + 1).alias("entry_index"), "r.*")
+
+
+@query(f"WITH r AS ({X.RECTS_SQL}), m AS (SELECT page, count(*) AS n, median(width) AS mw, median(height) AS mh FROM r GROUP BY page), j AS (SELECT r.*, n, width BETWEEN mw * 0.55 AND mw * 1.65 AND height BETWEEN mh * 0.55 AND mh * 1.65 AS ok FROM r JOIN m USING (page)), k AS (SELECT *, sum(ok::INT) OVER (PARTITION BY page) AS kept FROM j) SELECT page, CAST(row_number() OVER (PARTITION BY page ORDER BY line, x, y, width, height) AS INT) AS entry_index, x, y, width, height FROM k WHERE n < 4 OR kept = 0 OR ok")
+def g11_outliers(spark, d):
+    return _flat(X.page_rectangles(spark, d), G.without_outliers(F.col("rects")))
+
+
+@query()
+def g12_row_sort(spark, d):
+    return _flat(X.page_rectangles(spark, d), G.in_rows(F.col("rects")))
+
+
+@query()
+def g7_near_dup(spark, d):
+    return _flat(X.page_rectangles(spark, d), G.without_similar(F.col("rects")))
+
+
+@query()
+def g8_iou_dedup(spark, d):
+    return _flat(X.page_rectangles(spark, d), G.without_overlaps(F.col("rects")))
+
+
+@query()
+def d14_group_boxes(spark, d):
+    return _flat(X.page_rectangles(spark, d), G.banded(F.col("rects"), F.lit(1200)))
+
+
+@query(f"SELECT page, line, greatest(x - 40, 0) AS cx, greatest(y - 40, 0) AS cy, least(width, 500 - greatest(x - 40, 0)) AS cw, least(height, 300 - greatest(y - 40, 0)) AS ch, printf('page_%03d_entry_%03d.png', page % 1000, line) AS name FROM ({X.RECTS_SQL}) WHERE greatest(x - 40, 0) < 500 AND greatest(y - 40, 0) < 300 AND least(width, 500 - greatest(x - 40, 0)) >= 40 AND least(height, 300 - greatest(y - 40, 0)) >= 40")
+def c1_clamp(spark, d):
+    r = X.rectangles(spark, d)
+    box = F.struct((F.col("x") - 40).alias("x"), (F.col("y") - 40).alias("y"), "width", "height")
+    c = r.select("page", "line", G.clamped(box, F.lit(500), F.lit(300)).alias("c")).where("c is not null")
+    return c.select("page", "line", F.col("c.x").alias("cx"), F.col("c.y").alias("cy"), F.col("c.width").alias("cw"), F.col("c.height").alias("ch"), F.format_string("page_%03d_entry_%03d.png", F.col("page") % 1000, "line").alias("name"))
+
+
+# ---- OCR lines to records
+
+_TOP = "(SELECT *, upper(translate(t0 || ' ' || t1, '०१२३४५६७८९', '0123456789')) AS top FROM (" + X.CARD_SQL + "))"
+_SERIAL = r"coalesce(nullif(regexp_extract(top, 'क्रमांक\s*[:\-–—]?\s*([A-Z0-9]{1,6})', 1), ''), nullif(regexp_extract(top, '\bQ\s*([0-9]{1,4})\b', 1), ''), nullif(regexp_extract(top, '^\D{0,3}([0-9]{1,4})\b', 1), ''))"
+_SERIAL = f"coalesce(nullif(ltrim({_SERIAL}, '0'), ''), CASE WHEN {_SERIAL} IS NOT NULL THEN '0' END)"
+_EPIC = r"coalesce(nullif(regexp_extract(top, '\b([A-Z]{3}[0-9]{7})\b', 1), ''), translate(substr(t1, 1, 3), '0124568AH', 'OIZASGBRR') || translate(substr(t1, 4, 7), 'ABDEGILOQSTUZ', '4805611005702'))"
+_RECORD = {
+    "serial_number": _SERIAL,
+    "epic_number": _EPIC,
+    "elector_name": r"nullif(regexp_extract(t2, 'का नाम\s*[:\-–—]\s*(.+)$', 1), '')",
+    "relation_type": "CASE WHEN contains(t3, 'पिता') THEN 'father' ELSE 'husband' END",
+    "relation_name": r"nullif(regexp_extract(t3, 'का नाम\s*[:\-–—]\s*(.+)$', 1), '')",
+    "house_number": r"nullif(regexp_extract(t4, 'संख्या\s*[:\-–—]\s*(.+)$', 1), '')",
+    "age": r"TRY_CAST(nullif(regexp_extract(t5, 'उम्र\s*[:\-–—]?\s*([0-9]{1,3})', 1), '') AS INT)",
+    "gender": "CASE WHEN contains(t5, 'पुरुष') THEN 'male' WHEN contains(t5, 'महिला') THEN 'female' END",
+    "raw_text": "array_to_string(list_filter([t0 || ' ' || t1, t2, t3, t4, t5], lambda t: t <> ''), chr(10))",
+}
+RECORD_SQL = "SELECT k, " + ", ".join(f"{e} AS {n}" for n, e in _RECORD.items()) + f" FROM {_TOP}"
+
+
+def _records(spark, d):
+    return R.records(X.cards(spark, d))
+
+
+def _one(name, *fields):
+    def f(spark, d):
+        return _records(spark, d).select("k", *fields)
+
+    f.__name__ = name
+    query(f"SELECT k, {', '.join(fields)} FROM ({RECORD_SQL})")(f)
+
+
+_one("x7_record", *_RECORD)
+_one("x8_serial", "serial_number")
+_one("x9_epic", "epic_number")
+_one("x11_labelled", "elector_name", "house_number")
+_one("x14_relation", "relation_type", "relation_name")
+_one("x16_age", "age")
+_one("x17_gender", "gender")
+
+
+@query(f"SELECT k, array_to_string(list_filter([t0 || ' ' || t1, t2, t3, t4, t5], lambda t: t <> ''), '|') AS row_texts FROM {_TOP}")
+def x5_row_group(spark, d):
+    return X.cards(spark, d).select("k", F.array_join(R.row_texts(R.sorted_lines(F.col("lines"))), "|").alias("row_texts"))
+
+
+@query(f"SELECT k, array_to_string(list_filter([t0, t1, t2, t3, t4, t5], lambda t: t <> ''), '|') AS line_texts FROM {_TOP}")
+def x3_line_sort(spark, d):
+    return X.cards(spark, d).select("k", F.array_join(R.line_texts(R.sorted_lines(F.reverse("lines"))), "|").alias("line_texts"))
+
+
+@query("SELECT p_partkey AS k, CASE WHEN regexp_matches(r, '^[A-Z]{3}[0-9]{7}$') THEN r END AS epic FROM (SELECT p_partkey, translate(substr(c, 1, 3), '0124568AH', 'OIZASGBRR') || translate(substr(c, 4, 7), 'ABDEGILOQSTUZ', '4805611005702') AS r FROM (SELECT p_partkey, 'H' || substr('DRKMPA', p_partkey % 5 + 1, 2) || translate(lpad(CAST(p_partkey AS STRING), 7, '0'), '058', 'OSB') AS c FROM part))")
+def x10_repair(spark, d):
+    token = F.expr("concat('H', substr('DRKMPA', CAST(p_partkey % 5 AS INT) + 1, 2), translate(lpad(CAST(p_partkey AS STRING), 7, '0'), '058', 'OSB'))")
+    return X.table(spark, d, "part").select(F.col("p_partkey").alias("k"), R.repaired_epic(token).alias("epic"))
+
+
+@query("SELECT p_partkey AS k, CASE WHEN p_partkey % 2 = 0 THEN p_name END AS elector_name FROM part")
+def x18_name(spark, d):
+    texts = F.array(F.lit("Age 34"), F.lit("AB"), F.lit("लिंग: x"), F.when(F.col("p_partkey") % 2 == 0, F.col("p_name")).otherwise("Ab 12"))
+    return X.table(spark, d, "part").select(F.col("p_partkey").alias("k"), R.name_fallback(texts, F.lit("zz")).alias("elector_name"))
+
+
+# ---- validation
+
+_LINES = f"({X.LINES_SQL})"
+_CONF = "SELECT r.k, max(CASE WHEN {f} IS NOT NULL AND trim(CAST({f} AS STRING)) <> '' AND (contains(upper(trim(l.text)), upper(CAST({f} AS STRING))) OR contains(upper(CAST({f} AS STRING)), upper(trim(l.text)))) THEN confidence END) AS {a}"
+_FIELDS = ("epic_number", "age", "gender", "house_number", "relation_type", "relation_name")
+_CONFS = "SELECT r.k, " + ", ".join(_CONF.format(f=f"r.{n}", a=f"c_{n}").removeprefix("SELECT r.k, ") for n in _FIELDS) + f" FROM ({RECORD_SQL}) r JOIN {_LINES} l ON r.k = l.k GROUP BY r.k"
+
+
+@query(f"SELECT k, round(c_epic_number, 4) AS epic_number, round(c_age, 4) AS age, round(c_house_number, 4) AS house_number, round(c_relation_name, 4) AS relation_name FROM ({_CONFS})")
+def v8_confidence(spark, d):
+    r = _records(spark, d)
+    return r.select("k", *[F.round(R.field_confidence(F.col(n), F.col("lines")), 4).alias(n) for n in ("epic_number", "age", "house_number", "relation_name")])
+
+
+_ISSUES = {
+    "epic": "CASE WHEN epic_number IS NULL THEN 'missing_epic_number' WHEN NOT regexp_full_match(upper(epic_number), '[A-Z]{3}[0-9]{7}') THEN 'invalid_epic_format' END",
+    "age": "CASE WHEN age IS NULL THEN 'missing_age' WHEN age NOT BETWEEN 18 AND 120 THEN 'invalid_age_range' END",
+    "gender": "CASE WHEN gender IS NULL THEN 'missing_gender' WHEN gender NOT IN ('पुरुष', 'महिला', 'male', 'female') THEN 'invalid_gender_value' END",
+    "house": "CASE WHEN house_number IS NULL OR trim(house_number) = '' THEN 'empty_house_number' END",
+    "type": "CASE WHEN relation_type IS NULL THEN 'missing_relation_type' WHEN relation_type NOT IN ('Father', 'Husband', 'father', 'husband') THEN 'invalid_relation_type' END",
+    "relation": "CASE WHEN relation_name IS NULL OR trim(relation_name) = '' THEN 'missing_relation_name' END",
+    "deleted": "CASE WHEN NOT (k % 10 / 8.0) BETWEEN 0 AND 1 THEN 'invalid_deleted_confidence' WHEN k % 3 = 0 AND k % 10 / 8.0 < 0.5 THEN 'weak_deleted_confidence' END",
+}
+_REPORT = f"SELECT r.k, concat_ws(',', {', '.join(_ISSUES.values())}) AS issues, concat_ws(',', " + ", ".join(f"CASE WHEN c_{n} < 0.8 THEN '{n}' END" for n in _FIELDS) + f") AS retry_fields FROM ({RECORD_SQL}) r JOIN (SELECT k AS ck, * EXCLUDE (k) FROM ({_CONFS})) c ON r.k = c.ck"
+
+
+def _reports(spark, d):
+    r = _records(spark, d).withColumn("deleted", F.col("k") % 3 == 0).withColumn("deleted_confidence", F.col("k") % 10 / 8.0)
+    return R.reports(r)
+
+
+@query(f"SELECT k, issues = '' AS is_valid, issues, retry_fields FROM ({_REPORT})")
+def v9_report(spark, d):
+    join = lambda a, f: F.array_join(F.transform(a, lambda i: i[f]), ",")
+    return _reports(spark, d).select("k", "is_valid", join("issues", "issue_code").alias("issues"), join("retry_fields", "field_name").alias("retry_fields"))
+
+
+@query(f"SELECT floor(k / 30 + 1)::INT AS page, code AS issue_code, count(*) AS n FROM (SELECT k, unnest(string_split(issues, ',')) AS code FROM ({_REPORT})) WHERE code <> '' GROUP BY 1, 2")
+def d_level_rollup(spark, d):
+    return _reports(spark, d).select("page", F.explode_outer("issues.issue_code").alias("issue_code")).where("issue_code is not null").groupBy("page", "issue_code").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"SELECT k, count(*) AS n_retry, round(sum(c), 4) AS confidence FROM (SELECT k, unnest([{', '.join(f'c_{n}' for n in _FIELDS)}]) AS c FROM ({_CONFS})) WHERE c < 0.8 GROUP BY k")
+def v7_retry(spark, d):
+    r = _reports(spark, d).select("k", F.explode_outer("retry_fields").alias("f")).where("f is not null")
+    return r.groupBy("k").agg(F.count(F.lit(1)).alias("n_retry"), F.round(F.sum("f.confidence"), 4).alias("confidence"))
+
+
+# ---- decisions
+
+_LEVELS = "SELECT p_partkey AS k, " + ", ".join(f"{e} AS {n}" for n, e in X.LEVEL_EXPRS.items()) + " FROM part"
+
+
+@query(f"SELECT k, s.deleted AS deleted, s.confidence AS confidence, s.rule AS rule FROM (SELECT k, CASE WHEN serial <> 'none' AND geometry <> 'none' THEN {{'deleted': true, 'confidence': CASE WHEN serial = 'strong' THEN 0.96 ELSE 0.9 END::DOUBLE, 'rule': 'rule_1_q_and_geometry'}} WHEN watermark <> 'none' AND geometry <> 'none' THEN {{'deleted': true, 'confidence': CASE WHEN watermark = 'strong' THEN 0.97 ELSE 0.9 END::DOUBLE, 'rule': 'rule_2_watermark_ocr_and_geometry'}} WHEN serial <> 'none' THEN {{'deleted': false, 'confidence': 0.3::DOUBLE, 'rule': 'rule_5_q_without_watermark'}} WHEN geometry <> 'none' THEN {{'deleted': false, 'confidence': 0.2::DOUBLE, 'rule': 'rule_4_geometry_without_ocr'}} ELSE {{'deleted': false, 'confidence': 0.0::DOUBLE, 'rule': 'normal'}} END AS s FROM ({_LEVELS}))")
+def d23_decision(spark, d):
+    p = X.table(spark, d, "part").select(F.col("p_partkey").alias("k"), *[F.expr(e).alias(n) for n, e in X.LEVEL_EXPRS.items()])
+    return p.select("k", D.decision(F.col("serial"), F.col("geometry"), F.col("watermark")).alias("s")).select("k", "s.*")
+
+
+@query("SELECT p_partkey AS k, CASE WHEN p_size / 100.0 >= 0.18 AND p_size / 500.0 >= 0.03 AND p_partkey % 6 >= 3 THEN 'strong' WHEN p_size / 100.0 >= 0.12 AND p_size / 500.0 >= 0.025 AND p_partkey % 6 >= 2 THEN 'medium' ELSE 'none' END AS level FROM part")
+def d16_level(spark, d):
+    return X.table(spark, d, "part").select(F.col("p_partkey").alias("k"), D.geometry_level(F.col("p_size") / 100.0, F.col("p_size") / 500.0, F.col("p_partkey") % 6).alias("level"))
+
+
+@query("SELECT p_partkey AS k, CASE WHEN p_partkey % 5 = 0 OR ((p_partkey % 5 = 1 OR p_partkey % 7 = 0) AND p_partkey % 2 = 0) THEN 'strong' WHEN p_partkey % 5 = 1 OR p_partkey % 7 = 0 THEN 'medium' ELSE 'none' END AS level FROM part")
+def d3_serial_stage(spark, d):
+    k = F.col("p_partkey")
+    box = F.array(F.when(k % 5 == 0, F.concat(F.lit("q-"), (k % 1000).cast("string"))).otherwise(F.lit("--")))
+    left = F.array(F.when(k % 5 == 1, "q").otherwise("x"))
+    right = F.array(F.when(k % 2 == 0, (k % 1000).cast("string")).otherwise("abc"))
+    return X.table(spark, d, "part").select(k.alias("k"), D.serial_stage(box, left, right, k % 7 == 0)["level"].alias("level"))
+
+
+@query()
+def d22_similarity(spark, d):
+    p = X.table(spark, d, "part").select(F.col("p_partkey").alias("k"), F.array(F.upper(F.split("p_name", " ")[0]), F.concat(F.lit("DELETF"), F.when(F.col("p_partkey") % 2 == 0, "D").otherwise("XQ"))).alias("tokens"))
+    r = p.withColumn("ratio", F.round(D.similarity(F.col("tokens")), 4))
+    return r.select("k", "ratio", D.watermark_level(F.array_contains("tokens", "DELETED"), F.col("ratio")).alias("level"))
+
+
+@query("SELECT p_partkey AS k, regexp_replace(upper(p_name), '[^A-Z0-9]', '', 'g') AS token FROM part")
+def d4_normalize_text(spark, d):
+    return X.table(spark, d, "part").select(F.col("p_partkey").alias("k"), T.stamp(F.col("p_name")).alias("token"))
+
+
+@query("SELECT p_partkey AS k, greatest(1, p_size) + CASE WHEN greatest(1, p_size) % 2 = 0 THEN 1 ELSE 0 END AS odd FROM part")
+def i7_odd(spark, d):
+    from ..operators.images import odd
+
+    return X.table(spark, d, "part").select(F.col("p_partkey").alias("k"), odd(F.col("p_size")).alias("odd"))
+
+
+@query("SELECT l_orderkey AS k, count(DISTINCT l_linenumber) <= 4 AS is_binary FROM lineitem GROUP BY 1")
+def i10_binary(spark, d):
+    li = X.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"), "l_linenumber").distinct()
+    return li.groupBy("k").agg((F.count(F.lit(1)) <= 4).alias("is_binary"))
+
+
+# ---- model payloads
+
+
+@query(f"SELECT event_id, regexp_matches(lower({X.MESSAGE}), '429|rate limit|rate_limit|temporarily unavailable|timeout|timed out|connection|server error|service unavailable|too many requests') AS retry FROM events")
+def l4_retryable(spark, d):
+    return X.table(spark, d, "events").select("event_id", D.retryable(F.expr(X.MESSAGE)).alias("retry"))
+
+
+@query(f"SELECT event_id, coalesce(greatest(TRY_CAST(nullif(regexp_extract({X.MESSAGE}, '(?i)try again in\\s*([0-9]+(?:\\.[0-9]+)?)s', 1), '') AS DOUBLE) + 0.5, 1.0), least(pow(2.0, greatest(event_id % 9 - 1, 0)), 30.0))::DOUBLE AS delay FROM events")
+def l5_delay(spark, d):
+    return X.table(spark, d, "events").select("event_id", D.retry_delay(F.expr(X.MESSAGE), F.col("event_id") % 9).alias("delay"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 4 < 3 THEN props END AS body FROM events")
+def l7_carve(spark, d):
+    return X.table(spark, d, "events").select("event_id", D.carved_json(F.expr(X.ANSWER)).alias("body"))
+
+
+def _payloads(spark, d):
+    return X.table(spark, d, "customer").select(F.col("c_custkey").alias("k"), *[F.expr(e).alias(n) for n, e in X.PAYLOAD_EXPRS.items()])
+
+
+_SECOND = "(epic_number IS NOT NULL)::INT + (relation_name IS NOT NULL)::INT + (house_number IS NOT NULL)::INT + (gender IS NOT NULL)::INT + (age IS NOT NULL)::INT"
+_LABELLED = "(contains({v}, ':') OR (len(string_split({v}, ' ')) >= 4 AND regexp_matches(lower({v}), 'elector|name|house|gender')) OR contains({v}, 'पिता का'))"
+
+
+@query(f"SELECT k, CASE WHEN serial_number IS NULL AND {_SECOND} < 3 THEN 'serial_number is missing' WHEN trim(elector_name) = '' THEN 'elector_name is missing' WHEN {_LABELLED.format(v='elector_name')} THEN 'elector_name still contains labels or non-name text' WHEN {_LABELLED.format(v='relation_name')} THEN 'relation_name still contains labels or non-name text' WHEN {_SECOND} = 0 THEN 'all secondary fields are missing' END AS issue FROM ({X.PAYLOAD_SQL})")
+def l8_quality(spark, d):
+    return _payloads(spark, d).select("k", D.quality_issue({n: F.col(n) for n in X.PAYLOAD_EXPRS}).alias("issue"))
+
+
+_SCORE = "(serial_number IS NOT NULL)::INT + (trim(elector_name) <> '')::INT + " + _SECOND
+
+
+@query(f"SELECT floor(k / 2)::BIGINT AS card, min(k) AS k, max(score) AS score FROM (SELECT k, floor(k / 2) AS c, {_SCORE} AS score, max({_SCORE}) OVER (PARTITION BY floor(k / 2)) AS top FROM ({X.PAYLOAD_SQL})) WHERE score = top GROUP BY 1")
+def l11_better(spark, d):
+    p = _payloads(spark, d).select("k", F.floor(F.col("k") / 2).alias("card"), D.completeness({n: F.col(n) for n in X.PAYLOAD_EXPRS}).alias("score"))
+    best = p.groupBy("card").agg(F.max(F.struct("score", (-F.col("k")).alias("first"))).alias("b"))
+    return best.select("card", (-F.col("b.first")).alias("k"), "b.score")
+
+
+@query("SELECT doc_id, CASE WHEN length(t) > 300 THEN substr(t, 1, 300) || '...' ELSE t END AS preview FROM (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM documents)")
+def l14_preview(spark, d):
+    return X.table(spark, d, "documents").select("doc_id", T.preview(F.col("text")).alias("preview"))
+
+
+# ---- sinks
+
+
+@query(f"SELECT k, CASE WHEN k % 3 = 0 THEN 'TRUE' END AS deleted, CASE WHEN gender = 'male' THEN 'पुरुष' WHEN gender = 'female' THEN 'महिला' ELSE gender END AS gender, CASE relation_type WHEN 'father' THEN 'पिता' WHEN 'husband' THEN 'पति' ELSE relation_type END AS relation_type FROM ({RECORD_SQL})")
+def k6_display(spark, d):
+    from ..sinks.spreadsheet import shown
+
+    r = _records(spark, d).withColumn("deleted", F.col("k") % 3 == 0)
+    return r.select("k", *[shown(n, F.col(n)).alias(n) for n in ("deleted", "gender", "relation_type")])
+
+
+@query("SELECT o_orderkey AS k, concat('page_', lpad(CAST(o_orderkey % 1000 AS STRING), 3, '0'), chr(9), 'deleted=', CASE WHEN o_orderstatus = 'F' THEN 'True' ELSE 'False' END, chr(9), 'page=', CAST(o_orderkey % 1000 AS STRING), chr(9), 'entry=', CAST(o_custkey % 100 AS STRING), chr(9), 'error_type=RuntimeError', chr(9), 'reason=', o_orderpriority) AS line FROM orders")
+def k2_failures(spark, d):
+    from ..sinks.text import failure_line
+
+    o = X.table(spark, d, "orders")
+    page = F.col("o_orderkey") % 1000
+    return o.select(F.col("o_orderkey").alias("k"), failure_line(F.concat(F.lit("page_"), F.lpad(page.cast("string"), 3, "0")), F.col("o_orderstatus") == "F", page, F.col("o_custkey") % 100, F.lit("RuntimeError"), F.col("o_orderpriority")).alias("line"))
+
+
+@query("SELECT o_orderkey % 1000 AS page, o_custkey % 100 AS entry_index, o_orderkey AS k, o_orderstatus = 'F' AS deleted FROM orders")
+def p_order_union(spark, d):
+    o = X.table(spark, d, "orders").select((F.col("o_orderkey") % 1000).alias("page"), (F.col("o_custkey") % 100).alias("entry_index"), F.col("o_orderkey").alias("k"), "o_orderstatus")
+    gone, kept = o.where("o_orderstatus = 'F'").withColumn("deleted", F.lit(True)), o.where("o_orderstatus <> 'F'").withColumn("deleted", F.lit(False))
+    return kept.unionByName(gone).drop("o_orderstatus").orderBy("page", "entry_index", "k")
