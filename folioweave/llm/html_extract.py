@@ -21,7 +21,7 @@ import re
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .common import parts, row_batches
+from .common import materialize, row_batches
 
 #: Tokens of the shortest repeated run.
 RUN = 6
@@ -204,18 +204,20 @@ def _unique_runs(kept: str, covered: np.ndarray, run_tokens: int) -> str:
 
 
 def extracted(pages: DataFrame, run_tokens: int = RUN) -> DataFrame:
-    """page_id, url, text, n_chars, boilerplate_runs of every row of pages with a page_id.
+    """page_id, url, text, n_chars, boilerplate_runs (suffixes removed from open blocks) of every row of pages with a page_id.
 
     Null or empty html gives an empty text; a null url is a host of its own; equal pages of one
     page_id do not make each other boilerplate, since runs must lie in distinct pages.
     """
     plain = pages.where("page_id is not null").select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    parsed = plain.mapInArrow(_parsed(run_tokens), "page_id long, url string, kept string, is_open boolean, suffix array<long>")
+    parsed = materialize(plain.mapInArrow(_parsed(run_tokens), "page_id long, url string, kept string, is_open boolean, suffix array<long>"))  # parsed once
     # the suffix array's groups of equal keys; only those in distinct pages repeat
     repeated = parsed.select("page_id", F.explode("suffix").alias("s")).groupBy("s").agg(F.min("page_id").alias("a"), F.max("page_id").alias("b")).where("a < b").select("s")
     places = parsed.select("page_id", F.posexplode("suffix").alias("at", "s"))
     covered = places.join(repeated, "s", "left_semi").groupBy("page_id").agg(F.sort_array(F.collect_set("at")).alias("covered"))
-    joined = parsed.select("page_id", "url", "kept", "is_open").join(covered, "page_id", "left")
+    # pages whose structure settles all blocks stay where they are; only the others meet their runs
+    settled = parsed.where("not is_open").select("page_id", "url", F.col("kept").alias("text"), F.char_length("kept").cast("long").alias("n_chars"), F.lit(0).cast("long").alias("boilerplate_runs"))
+    joined = parsed.where("is_open").select("page_id", "url", "kept", "is_open").join(covered, "page_id", "left")
 
     def finish(batches):
         import pyarrow as pa
@@ -229,4 +231,4 @@ def extracted(pages: DataFrame, run_tokens: int = RUN) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int64()), pa.array(c[1], pa.string()), pa.array(c[2], pa.string()), pa.array(c[3], pa.int64()), pa.array(c[4], pa.int64())], ["page_id", "url", "text", "n_chars", "boilerplate_runs"])
 
-    return joined.mapInArrow(finish, "page_id long, url string, text string, n_chars long, boilerplate_runs long")
+    return settled.unionByName(joined.mapInArrow(finish, "page_id long, url string, text string, n_chars long, boilerplate_runs long"))
