@@ -13,6 +13,7 @@ word ends, repeated words and lines, lengths. Learning uses at most SAMPLE label
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -50,14 +51,14 @@ def features(text: str) -> np.ndarray:
     data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     kinds = np.bincount(_CLASS[data], minlength=11) / len(data)
     n = len(words)
-    known = set(words)
+    known = Counter(words)
     lines = [x for x in text.split("\n") if x.strip()]
     repeats = sum(map(str.__eq__, words, words[1:]))
     runs = len(_RUN.findall(text))
     upper = sum(map(str.isupper, words))
     title = sum(w[0].isupper() for w in words)
     long_ = sum(len(w) > 14 for w in words)
-    top = max(words.count(w) for w in known) if len(known) < 8 else max(words[::max(1, n // 64)].count(w) for w in set(words[:: max(1, n // 64)])) / max(1, len(words[:: max(1, n // 64)])) * n
+    top = max(known.values())
     hash_like = sum(len(w) >= 16 and any(c.isdigit() for c in w) for w in words)
     out[:] = (np.log1p(len(data)) / 10, 0, kinds[1], kinds[2], kinds[3], kinds[4], kinds[5], kinds[6], kinds[7], kinds[8], upper / n, len(data) / n / 10, long_ / n,
               repeats / n, len(known) / n, top / n, 1 - len(set(lines)) / len(lines), min(1.0, len(data) / len(lines) / 2000), runs / n, title / n, kinds[9], kinds[10], hash_like / n, np.log1p(n) / 8)
