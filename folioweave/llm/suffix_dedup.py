@@ -30,9 +30,9 @@ from .common import materialize, parts, release_shuffles, row_batches
 
 LENGTH = 50
 #: Bytes of text that a task turns into names at a time.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 #: Bytes of packed suffixes that a task holds before it sends them.
-FLUSH_BYTES = 24 << 20
+FLUSH_BYTES = 12 << 20
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -361,7 +361,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, in
     """
     spark = docs.sparkSession
     buckets = groups = parts(docs, 4, 32)
-    tasks = max(8, buckets // 4)
+    tasks = max(8, buckets // 2)
     rows = "key long, payload binary"
     sent = docs.mapInArrow(_sampled(buckets, groups, length), rows)
     first = materialize(sent.repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(_sorted_round(groups), rows))
@@ -418,7 +418,7 @@ def dedup_report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pa.RecordBatch.from_pydict(dict(zip(names_, zip(*rows))))
 
     names_ = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    told = _with_texts(plain, packed, groups, max(8, groups // 4))
+    told = _with_texts(plain, packed, groups, max(8, groups // 2))
     return told.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -458,7 +458,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     kept = b.take(pa.array(at))
                     yield pa.RecordBatch.from_arrays([kept.column(2), pa.array(texts, pa.string()), kept.column(4)], ["doc_id", "text", "rest_"])
 
-    told = _with_texts(own, packed, groups, max(8, groups // 4)).mapInArrow(cut, own.schema)
+    told = _with_texts(own, packed, groups, max(8, groups // 2)).mapInArrow(cut, own.schema)
     out = []
     for f in docs.schema:
         value = F.col(f.name) if f.name in ("doc_id", "text") else F.char_length("text") if f.name == "n_chars" else F.col("rest_").getField(f.name)
