@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import decide as D, geometry as G, records as R
+from ..operators import decide as D, fields as P, geometry as G, recognition as O, records as R, regions as W
 from . import fixtures as X
 
 FLAGSHIP = "v9_report"
@@ -346,3 +346,81 @@ def p_order_union(spark, d):
     o = X.table(spark, d, "orders").select((F.col("o_orderkey") % 1000).alias("page"), (F.col("o_custkey") % 100).alias("entry_index"), F.col("o_orderkey").alias("k"), "o_orderstatus")
     gone, kept = o.where("o_orderstatus = 'F'").withColumn("deleted", F.lit(True)), o.where("o_orderstatus <> 'F'").withColumn("deleted", F.lit(False))
     return kept.unionByName(gone).drop("o_orderstatus").orderBy("page", "entry_index", "k")
+
+
+# ---- regions, recognised lines, typed fields
+
+_W, _H = "(400 + p_partkey % 211)", "(200 + p_partkey % 97)"
+_FOUND = {"x": "CAST(p_partkey % 301 AS INT)", "y": "CAST(p_partkey % 149 AS INT)", "width": "CAST(20 + p_partkey % 180 AS INT)", "height": "CAST(8 + p_partkey % 60 AS INT)"}
+_FOUND_SQL = f"(SELECT p_partkey AS k, {_W} AS w, {_H} AS h, (p_partkey % 7 - 3) * 10 AS angle, " + ", ".join(f"{e} AS {n}" for n, e in _FOUND.items()) + " FROM part)"
+
+
+def _found(spark, d):
+    part = X.table(spark, d, "part")
+    return part.select(F.col("p_partkey").alias("k"), F.expr(_W).cast("int").alias("w"), F.expr(_H).cast("int").alias("h"), ((F.col("p_partkey") % 7 - 3) * 10).alias("angle"), F.struct(*[F.expr(e).alias(n) for n, e in _FOUND.items()]).alias("box"))
+
+
+@query(f"SELECT k, trunc(w * 0.1::DOUBLE)::INT AS x, trunc(h * 0.2::DOUBLE)::INT AS y, least(w, trunc(w * 0.55::DOUBLE)::INT)::INT - trunc(w * 0.1::DOUBLE)::INT AS width, least(h, trunc(h * 1.2::DOUBLE)::INT)::INT - trunc(h * 0.2::DOUBLE)::INT AS height FROM {_FOUND_SQL}")
+def d2_region(spark, d):
+    return _found(spark, d).select("k", W.region(F.col("w"), F.col("h"), (0.1, 0.2, 0.55, 1.2)).alias("r")).select("k", "r.*")
+
+
+@query(f"SELECT k, l::INT AS x, t::INT AS y, greatest(r - l, 0)::INT AS width, greatest(b - t, 0)::INT AS height FROM (SELECT k, greatest(0, x - greatest(10, width // 18)) AS l, greatest(0, y - greatest(8, height // 3)) AS t, least(w, x + width + greatest(10, width // 18)) AS r, least(h, y + height + greatest(8, height // 3)) AS b FROM {_FOUND_SQL})")
+def d21_band(spark, d):
+    return _found(spark, d).select("k", W.band(F.col("box"), F.col("w"), F.col("h")).alias("r")).select("k", "r.*")
+
+
+def _corner(right: int, low: int) -> str:
+    dx, dy = f"(x + {right} * width - w / 2)", f"(y + {low} * height - h / 2)"
+    cut = lambda v, size: f"trunc(least(greatest({v}, 0.0::DOUBLE), {size} - 1.0::DOUBLE))::INT"
+    return cut(f"{dx} * cos(radians(angle)) - {dy} * sin(radians(angle)) + w / 2", "w") + f" AS x{right}{low}, " + cut(f"{dx} * sin(radians(angle)) + {dy} * cos(radians(angle)) + h / 2", "h") + f" AS y{right}{low}"
+
+
+_CORNERS = ((0, 0), (1, 0), (1, 1), (0, 1))
+_TURNED = f"(SELECT *, {', '.join(_corner(*c) for c in _CORNERS)} FROM {_FOUND_SQL})"
+_AXIS = "least(greatest({v}) + 1, trunc({s} * 0.65::DOUBLE)) > greatest(least({v}), trunc({s} * 0.35::DOUBLE))"
+
+
+@query(f"SELECT k, {' || chr(32) || '.join(f'x{a}{b} || chr(44) || y{a}{b}' for a, b in _CORNERS)} AS corners, {_AXIS.format(v='x00, x10, x11, x01', s='w')} AND {_AXIS.format(v='y00, y10, y11, y01', s='h')} AS central FROM {_TURNED}")
+def d17_d18_turned_back(spark, d):
+    f = _found(spark, d).withColumn("polygon", W.turned_back(F.col("box"), F.col("angle"), F.col("w"), F.col("h")))
+    text = F.array_join(F.transform("polygon", lambda p: F.concat_ws(",", p["x"].cast("string"), p["y"].cast("string"))), " ")
+    return f.select("k", text.alias("corners"), W.crosses_centre(F.col("polygon"), F.col("w"), F.col("h")).alias("central"))
+
+
+@query("SELECT k, angle, score FROM (SELECT p_partkey AS k, unnest([0, -10, 10]) AS angle, unnest([(p_partkey % 3) * 0.29::DOUBLE, (p_partkey % 2) * 0.58::DOUBLE, (p_partkey % 5 // 4) * 0.8::DOUBLE]) AS score, unnest([1, 2, 3]) AS pos FROM part) WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY k ORDER BY score DESC, pos) = 1")
+def d20_best_angle(spark, d):
+    scores = (0, "(p_partkey % 3) * 0.29D"), (-10, "(p_partkey % 2) * 0.58D"), (10, "floor(p_partkey % 5 / 4) * 0.8D")
+    found = F.array(*[F.struct(F.lit(a).alias("angle"), F.expr(e).alias("score")) for a, e in scores])
+    return X.table(spark, d, "part").select(F.col("p_partkey").alias("k"), W.best_of(found).alias("b")).where("b is not null").select("k", "b.*")
+
+
+_ANSWER = "concat('[[[[[', CAST(p_partkey AS STRING), ',1],[2,3],[7],\"x\"],[\"', p_name, '\",0.', CAST(1 + p_partkey % 9 AS STRING), ']],[1],7,[[],[\"only\"]]],', CASE WHEN p_partkey % 2 = 0 THEN 'null' ELSE '[[null,[\"Q\",1]]]' END, ']')"
+
+
+@query("SELECT p_partkey AS k, p_name || CASE WHEN p_partkey % 2 = 0 THEN '' ELSE '|Q' END AS texts, (1 + p_partkey % 9) / 10.0::DOUBLE AS confidence, p_partkey::DOUBLE AS x, 2::INT AS n_points FROM part")
+def o2_o3_lines(spark, d):
+    p = X.table(spark, d, "part").select(F.col("p_partkey").alias("k"), O.lines(F.expr(_ANSWER), "hi").alias("l"))
+    first = F.col("l")[0]
+    return p.select("k", F.array_join(F.transform("l", lambda x: x["text"]), "|").alias("texts"), first["confidence"].alias("confidence"), first["bounding_box"][0]["x"].alias("x"), F.size(first["bounding_box"]).alias("n_points"))
+
+
+_FIELD_EXPRS = {
+    "relation_type": "CASE c_custkey % 5 WHEN 0 THEN NULL WHEN 1 THEN ' Father ' WHEN 2 THEN 'husband' WHEN 3 THEN '' ELSE 'uncle' END",
+    "age": "CASE c_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN ' 34 ' WHEN 2 THEN '34.5' ELSE CAST(c_custkey % 90 AS STRING) END",
+    "gender": "CASE c_custkey % 6 WHEN 0 THEN NULL WHEN 1 THEN 'MALE' WHEN 2 THEN 'महिला' WHEN 3 THEN ' ' WHEN 4 THEN 'other' ELSE 'पुरुष' END",
+}
+_FIELDS_SQL = "SELECT c_custkey AS k, " + ", ".join(f"{e} AS {n}" for n, e in _FIELD_EXPRS.items()) + " FROM customer"
+
+
+@query(f"SELECT k, CASE lower(trim(relation_type)) WHEN 'father' THEN 'father' WHEN 'husband' THEN 'husband' END AS relation_type, TRY_CAST(CASE WHEN regexp_full_match(trim(age), '[0-9]+') THEN trim(age) END AS INT) AS age, CASE WHEN lower(trim(gender)) IN ('male', 'पुरुष') THEN 'male' WHEN lower(trim(gender)) IN ('female', 'महिला') THEN 'female' END AS gender, CASE WHEN relation_type = 'uncle' THEN 'Invalid relation_type: uncle' WHEN age = '34.5' THEN 'Invalid age: 34.5' WHEN gender = 'other' THEN 'Invalid gender: other' END AS error FROM ({_FIELDS_SQL})")
+def l12_normalize(spark, d):
+    c = X.table(spark, d, "customer")
+    names = ("serial_number", "epic_number", "elector_name", "relation_name", "house_number")
+    p = {n: F.lit(None).cast("string") for n in names} | {n: F.expr(e) for n, e in _FIELD_EXPRS.items()}
+    return c.select(F.col("c_custkey").alias("k"), P.typed(p).alias("r")).select("k", "r.relation_type", "r.age", "r.gender", "r.error")
+
+
+@query("SELECT doc_id, 'data:image/png;base64,' || to_base64(encode(text)) AS address FROM documents")
+def l13_data_address(spark, d):
+    return X.table(spark, d, "documents").select("doc_id", P.data_address(F.col("text").cast("binary")).alias("address"))

@@ -129,3 +129,26 @@ def test_sinks_and_scan(spark, tmp_path):
     got = crops.scan_crops(spark, str(tmp_path / "normal"), str(tmp_path / "deleted"), "roll").select("page", "entry_index", "deleted").collect()
     assert [tuple(r) for r in got] == [(1, 1, False), (1, 5, False), (1, 6, True), (2, 1, False)]
     assert crops.scan_crops(spark, str(tmp_path / "no"), str(tmp_path / "none"), "roll").count() == 0
+
+
+def test_recognition(spark):
+    from folioweave.operators.recognition import recognized
+
+    def engine():
+        def read(data):
+            if data == b"bad":
+                raise RuntimeError("no text")
+            return [[[[[0, 1], [2, 3]], (data.decode(), 0.5)], [None, ["no box", 1]], ["short"]]] if data else None
+
+        return read
+
+    def broken():
+        raise ImportError("no engine")
+
+    crops_ = spark.createDataFrame([(1, b"ab", "x"), (2, b"bad", "x"), (3, b"", "x"), (4, None, "x")], "k int, png binary, extra string")
+    got = {r["k"]: r for r in recognized(crops_, engine).collect()}
+    assert [(l["text"], l["confidence"], len(l["bounding_box"])) for l in got[1]["ocr"]] == [("ab", 0.5, 2), ("no box", 1.0, 0)]
+    assert got[2]["ocr"] == [] and got[2]["ocr_error"] == "RuntimeError: no text" and got[1]["ocr_error"] is None
+    assert got[3]["ocr"] == [] and got[4]["ocr"] == [] and got[1]["extra"] == "x"
+    assert all(r["ocr_error"] == "ImportError: no engine" for r in recognized(crops_, broken).collect())
+    assert recognized(crops_.where("k > 9"), engine).count() == 0
