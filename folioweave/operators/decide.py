@@ -71,7 +71,7 @@ def retryable(message: Column) -> Column:
 
 def retry_delay(message: Column, attempt: Column) -> Column:
     hint = group(message, r"(?i)try again in\s*([0-9]+(?:\.[0-9]+)?)s").cast("double")
-    return F.coalesce(F.greatest(hint + 0.5, F.lit(1.0)), F.least(F.pow(F.lit(2.0), F.greatest(attempt - 1, F.lit(0))), F.lit(30.0)))
+    return F.when(hint.isNotNull(), F.greatest(hint + 0.5, F.lit(1.0))).otherwise(F.least(F.pow(F.lit(2.0), F.greatest(attempt - 1, F.lit(0))), F.lit(30.0)))
 
 
 def carved_json(text: Column) -> Column:
