@@ -31,10 +31,9 @@ def classify_document(pages: DataFrame, document: str, engine: Callable, out: st
     clean = preprocess.clean_pages(pages, options)
     cut = classify.crops(classify.grids(clean), least=own.crop_min_width)
     done = classify.classified(cut.repartition(max(8, pages.sparkSession.sparkContext.defaultParallelism)), engine, own.entry_timeout_seconds)
-    where = f"{out}/{CLASSES}"
-    spark = pages.sparkSession
-    (done.withColumn("document", F.lit(document)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("document", "status").parquet(where))
-    got = spark.read.parquet(where).where((F.col("document") == document))
+    where = f"{out}/{CLASSES}/document={document}"
+    done.write.mode("overwrite").parquet(where)
+    got = pages.sparkSession.read.parquet(where)
     text.write_lines(got.where("status = 'timed_out'").orderBy("page", "entry_index").coalesce(1), "name", f"{out}/timed_out_entries/{document}")
     return got
 

@@ -212,6 +212,8 @@ def test_document_run_and_stream(spark, tmp_path):
     own = S.Settings(preprocessing_enable_denoise=False, preprocessing_enable_contrast=False)
     image = png.encode(np.zeros((4, 6), np.uint8))
     found = run.run_document(pages, "roll", engine, client, "m", str(tmp_path), own=own, covers=(image, image), tries=1, rounds=1)
+    again = run.classify_document(pages.where("page = 2"), "roll", engine, str(tmp_path / "other"), own)
+    assert again.count() == 0 and run.classify_document(pages.where("page = 1"), "roll", engine, str(tmp_path / "other"), own).count() == 24
     assert found.count() == 24 and len(json.loads((tmp_path / "roll.json").read_text())) == 24
     assert "xl/media/image2.png" in sheets.read_package(str(tmp_path / "roll.xlsx"))
     other = run.sheet_of_json(spark, str(tmp_path / "roll.json"), str(tmp_path / "b.xlsx"))
