@@ -45,6 +45,7 @@ def grids(clean: DataFrame, image: str = "clean") -> DataFrame:
     """Adds entries: a page's cells in reading order (clean_pages' columns are needed).
 
     The raster gives boxes; which of them are cells, duplicates or outliers, and their order, are Columns.
+    Write the table before filtering on entries: a pushed-down filter would inline all steps.
     """
 
     def run(batches):

@@ -7,8 +7,8 @@ import pytest
 
 from folioweave import logs, run, settings as S
 from folioweave.functions import png
-from folioweave.operators import classify, images as I, models as M, preprocess as P, watermark as W
-from folioweave.sinks import image_sheets as sheets, spreadsheet
+from folioweave.operators import classify, debug, images as I, models as M, preprocess as P, watermark as W
+from folioweave.sinks import files, image_sheets as sheets, spreadsheet
 from folioweave.sources import pages as source
 from folioweave.streaming import crops as stream
 
@@ -85,7 +85,7 @@ def test_watermark_parts(spark):
     assert got[1]["level"] == "strong" and got[1]["angle"] == 25 and got[2] is None and got[3] is None and got[4] is None
 
 
-def test_grid_to_crops_to_classes(spark):
+def test_grid_to_crops_to_classes(spark, tmp_path):
     p = page()
     raw = spark.createDataFrame([(1, png.encode(p)), (2, b"bad")], "page int, png binary")
     clean = P.clean_pages(raw, P.Options(steps=("threshold",)))
@@ -103,6 +103,19 @@ def test_grid_to_crops_to_classes(spark):
     crops = spark.createDataFrame([(1, 1, "a", cut[0]["png"]), (1, 2, "b", b"bad")], "page int, entry_index int, name string, png binary")
     got = {r["name"]: r for r in classify.classified(crops, reader).collect()}
     assert got["a"]["status"] == "ok" and got["a"]["deleted"] is False and got["a"]["serial"]["level"] == "strong" and got["a"]["rule"] == "rule_5_q_without_watermark"
+    done = classify.classified(crops, reader).cache()
+    files.archive_crops(done, "roll", str(tmp_path))
+    files.archive_crops(done, "roll", str(tmp_path))
+    assert [p.name for p in (tmp_path / "normal" / "roll").iterdir()] == ["a"] and not (tmp_path / "deleted" / "roll").exists()
+    files.write_files(debug.decision_files(done), str(tmp_path / "debug"))
+    seen = {p.name for p in (tmp_path / "debug" / "a").iterdir()}
+    assert seen == {"original.png", "serial.png", "masked.png", "turned.png", "letters.png", "bands.png", "decision.json"}
+    assert json.loads((tmp_path / "debug" / "a" / "decision.json").read_text())["rule"] == "rule_5_q_without_watermark"
+    done.unpersist()
+    files.write_files(debug.grid_overlays(classify.grids(clean)), str(tmp_path / "grid"))
+    shown = png.decode((tmp_path / "grid" / "page_0001_entries.png").read_bytes())
+    assert (shown == (0, 255, 0)).all(axis=2).any() and [p.name for p in (tmp_path / "grid").iterdir()] == ["page_0001_entries.png"]
+    assert debug.drawn(np.zeros((5, 5), np.uint8), [(-3, -3, 40, 40), (9, 9, 2, 2)]).shape == (5, 5, 3)
     assert got["b"]["status"] == "failed" and got["b"]["deleted"] is None and got["b"]["error"]
 
 
