@@ -8,8 +8,9 @@ paragraph whose best family stays under CONFIDENCE is unknown too.
 
 Scanning: texts are cut into paragraphs at line ends. Every template has a trigger word, and a
 paragraph without any is unknown. The others are joined to the weights by n-gram; sums of weights
-give probabilities. A prediction is confirmed when the paragraph holds enough n-grams of a
-template of that family; one that no template confirms counts as unknown.
+give probabilities. Each sentence of a template is a template too. A prediction is confirmed when
+the paragraph holds enough n-grams of a template of that family, or lies in one whole; one that no
+template confirms counts as unknown.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 UNKNOWN = "unknown"
 CONFIDENCE = 0.5
 #: Least share of a template's n-grams that the paragraph holds; or, for a fragment with at least
-#: FRAGMENT n-grams of the template, least share of its own n-grams.
+#: FRAGMENT n-grams of the template, least share of its own n-grams. A shorter fragment counts if all
+#: its n-grams are the template's.
 CONFIRM = 0.5
 FRAGMENT = 12
 #: Notices by which licences are named or granted, by family.
@@ -104,11 +106,21 @@ OTHERS = (
 #: Words of which every template has one; a paragraph without any is no notice.
 TRIGGERS = (
     "license", "licensed", "licenses", "licence", "licenced", "licences", "sublicense", "spdx", "copyright", "permission", "redistribution", "redistribute", "gnu", "gpl", "lgpl", "mpl", "cc0",
-    "warranties", "proprietary", "confidential", "unencumbered", "reserved", "waived",
+    "warranties", "proprietary", "confidential", "unencumbered", "reserved", "waived", "unauthorized",
 )
 #: Parts of these words, of which each trigger holds one.
-STEMS = ("licen", "spdx", "copyright", "permission", "redistribut", "gnu", "gpl", "mpl", "cc0", "warrant", "proprietary", "confidential", "unencumbered", "reserved", "waived")
+STEMS = ("licen", "spdx", "copyright", "permission", "redistribut", "gnu", "gpl", "mpl", "cc0", "warrant", "proprietary", "confidential", "unencumbered", "reserved", "waived", "unauthorized")
 _WORD = re.compile(r"[a-z0-9]+")
+_SENTENCE = re.compile(r"(?<=[.;])\s+(?=[A-Z])")
+
+
+def templates() -> list[tuple[str, str]]:
+    """(family, text) of all templates, and of the sentences of those that hold more than one."""
+    out = []
+    for family, ts in TEMPLATES.items():
+        for t in ts:
+            out += [(family, x) for x in dict.fromkeys([t, *_SENTENCE.split(t)])]
+    return out
 
 
 def ngrams_of(text: str) -> set[str]:
@@ -125,10 +137,9 @@ class Model:
         rows: list[tuple[set[str], int]] = []
         prose = Counter(w for t in OTHERS for w in _WORD.findall(t.lower()))
         filler = [w for w in prose if w not in TRIGGERS]
-        for k, family in enumerate(TEMPLATES):
-            for t in TEMPLATES[family]:
-                for i in range(14):
-                    rows.append((ngrams_of(self._variant(t, rng, filler, i)), k))
+        for family, t in templates():
+            for i in range(14):
+                rows.append((ngrams_of(self._variant(t, rng, filler, i)), self.classes.index(family)))
         for t in OTHERS:
             for i in range(16):
                 rows.append((ngrams_of(self._variant(t, rng, filler, i)), len(TEMPLATES)))
@@ -142,7 +153,7 @@ class Model:
         learn = [r for i, r in enumerate(rows) if i % 5]
         # vocabulary: n-grams of templates and of the other prose's triggers
         count = Counter(g for gs, k in learn if k < len(TEMPLATES) for g in gs)
-        if not all(set(TRIGGERS) & ngrams_of(t) for ts in TEMPLATES.values() for t in ts) or not all(any(x in t for x in STEMS) for t in TRIGGERS):
+        if not all(set(TRIGGERS) & ngrams_of(t) for _, t in templates()) or not all(any(x in t for x in STEMS) for t in TRIGGERS):
             raise ValueError("a template without a trigger")
         self.vocabulary = sorted(g for g, n in count.items() if n >= 4)
         at = {g: i for i, g in enumerate(self.vocabulary)}
@@ -251,8 +262,8 @@ def scanned(docs: DataFrame, model: Model | None = None, confidence: float = CON
     family = F.get(F.array(*map(F.lit, known)), F.col("best"))
     scored = scored.where(F.col("probability") >= confidence).select(*keys, family.alias("family"), F.round("probability", 6).alias("probability"))
     # template comparison: the closest template of the predicted family
-    templates = spark.createDataFrame([(f, sorted(ngrams_of(t))) for f, ts in TEMPLATES.items() for t in ts], "family string, template array<string>")
-    joined = scored.withColumn("grams", _grams(_words(F.col("content")))).join(F.broadcast(templates), "family")
+    known_templates = spark.createDataFrame([(f, sorted(ngrams_of(t))) for f, t in templates()], "family string, template array<string>")
+    joined = scored.withColumn("grams", _grams(_words(F.col("content")))).join(F.broadcast(known_templates), "family")
     common = F.size(F.array_intersect("grams", "template"))
-    near = F.greatest(F.when(common >= FRAGMENT, common / F.size("grams")).otherwise(F.lit(0.0)), common / F.size("template"))
+    near = F.greatest(F.when((common >= FRAGMENT) | (common == F.size("grams")), common / F.size("grams")).otherwise(F.lit(0.0)), common / F.size("template"))
     return joined.groupBy(*keys, "family", "probability").agg(F.round(F.max(near), 6).alias("similarity")).where(F.col("similarity") >= confirm)

@@ -248,6 +248,20 @@ def test_licenses(spark, none):
     assert licenses.Model().held_out_accuracy > 0.95 and licenses.scanned(none).count() == 0
 
 
+def test_license_lines_of_the_tables(spark):
+    lines = {"All rights reserved.": "proprietary", "Released under the MIT License.": "mit", "Licensed under the Apache License, Version 2.0.": "apache", "Licensed under CC BY-NC 4.0.": "cc-by-nc", "This work is licensed under the GNU General Public License, version 3.": "gpl"}
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = {(r.doc_id, k): lines[line] for r in docs.where("text is not null").collect() for k, line in enumerate(r.text.split("\n")) if line in lines}
+    found = {(r.doc_id, r.paragraph): r.family for r in licenses.scanned(docs).collect()}
+    assert set(held.values()) == set(lines.values()) and held.items() <= found.items()
+
+
+def test_license_sentences_and_short_excerpts(spark):
+    rows = [(k, t, f) for k, (f, t) in enumerate([*licenses.templates(), ("mit", "MIT License"), ("proprietary", "without the prior written permission of the publisher")])]
+    found = {r.doc_id: r.family for r in licenses.scanned(spark.createDataFrame(rows, "doc_id long, text string, family string")).collect()}
+    assert [(t, f, found.get(k)) for k, t, f in rows if found.get(k) != f] == []
+
+
 def test_html(spark):
     page = '<html><head><title>T</title><script>var a="<p>no</p>"</script></head><body><nav><a>Home</a></nav><div class="cookie-banner">We use cookies</div><article><h1>Head &amp; tail</h1><p>One\n  two<p>three<br>four<div class="comments">nice</div></article><form>Name</form><footer>end</footer>'
     shared = "<body><div>Shared words that stand on every page of this host</div><div>unique text of page {} only</div>"
