@@ -6,9 +6,9 @@ Its last class, ``unknown``, is learned from ordinary prose and from legal-sound
 grants nothing; a temperature fitted on held-out variants calibrates the probabilities, and a
 paragraph whose best family stays under CONFIDENCE is unknown too.
 
-Scanning: texts are cut into paragraphs at line ends. Every template has a trigger word, and a
-paragraph without any is unknown. The others are joined to the weights by n-gram; sums of weights
-give probabilities. Each sentence of a template is a template too. A prediction is confirmed when
+Scanning: texts are cut into paragraphs at line ends. The vocabulary has no n-gram of
+common words alone, and its other words are triggers: a paragraph without a trigger has no weight
+and is unknown. The others are joined to the weights by n-gram; sums of weights give probabilities. Each sentence of a template is a template too. A prediction is confirmed when
 the paragraph holds enough n-grams of a template of that family, or lies in one whole; one that no
 template confirms counts as unknown.
 """
@@ -18,8 +18,6 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter
-from functools import reduce
-from operator import or_
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
@@ -103,13 +101,13 @@ OTHERS = (
     "Sie kommt mit dem Zug und geht mit ihm in die Stadt.", "El derecho de la ciudad no es de los que la visitan.", "Les droits de la ville ne sont pas pour tout le monde.",
     "A warranty of two years covers this machine.", "The source of the river is high in the mountains.", "The distribution of the rain was uneven.", "Version three of the plan is with the authors.",
 )
-#: Words of which every template has one; a paragraph without any is no notice.
+#: Words of licences that ordinary prose is given in training.
 TRIGGERS = (
     "license", "licensed", "licenses", "licence", "licenced", "licences", "sublicense", "spdx", "copyright", "permission", "redistribution", "redistribute", "gnu", "gpl", "lgpl", "mpl", "cc0",
     "warranties", "proprietary", "confidential", "unencumbered", "reserved", "waived", "unauthorized",
 )
-#: Parts of these words, of which each trigger holds one.
-STEMS = ("licen", "spdx", "copyright", "permission", "redistribut", "gnu", "gpl", "mpl", "cc0", "warrant", "proprietary", "confidential", "unencumbered", "reserved", "waived", "unauthorized")
+#: Common words; n-grams of these alone have no weight.
+COMMON = tuple("the of and to in a is it that this was for on be as with by an are at or not all no if have has had can any which you your one may see into first about last who old new were their his she".split())
 _WORD = re.compile(r"[a-z0-9]+")
 _SENTENCE = re.compile(r"(?<=[.;])\s+(?=[A-Z])")
 
@@ -153,9 +151,7 @@ class Model:
         learn = [r for i, r in enumerate(rows) if i % 5]
         # vocabulary: n-grams of templates and of the other prose's triggers
         count = Counter(g for gs, k in learn if k < len(TEMPLATES) for g in gs)
-        if not all(set(TRIGGERS) & ngrams_of(t) for _, t in templates()) or not all(any(x in t for x in STEMS) for t in TRIGGERS):
-            raise ValueError("a template without a trigger")
-        self.vocabulary = sorted(g for g, n in count.items() if n >= 4)
+        self.vocabulary = sorted(g for g, n in count.items() if n >= 4 and not set(g.split()) <= set(COMMON))
         at = {g: i for i, g in enumerate(self.vocabulary)}
 
         def matrix(some):
@@ -191,7 +187,7 @@ class Model:
         self.weights, self.bias = w[:-1], w[-1]
         if int(self.bias.argmax()) != len(TEMPLATES):
             raise ValueError("a text without known n-grams must be unknown")
-        self.triggers = list(TRIGGERS)
+        self.triggers = sorted({w for g in self.vocabulary for w in g.split()} - set(COMMON))
 
     @staticmethod
     def _softmax(z):
@@ -223,16 +219,17 @@ def _words(text: Column) -> Column:
 
 
 def _grams(words: Column) -> Column:
-    pairs = F.transform(F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: F.concat(w, F.lit(" "), F.get(words, i + 1)))
-    return F.array_distinct(F.concat(words, pairs))
+    def both(w):  # words are evaluated once, not once for each of them
+        rest = F.greatest(F.size(w) - 1, F.lit(0))
+        return F.concat(w, F.zip_with(F.slice(w, F.lit(1), rest), F.slice(w, F.lit(2), rest), lambda a, b: F.concat(a, F.lit(" "), b)))
+
+    return F.array_distinct(F.flatten(F.transform(F.array(words), both)))
 
 
 def paragraphs(docs: DataFrame, triggers: list[str]) -> DataFrame:
     """doc_id, paragraph (its number), content, for paragraphs with a trigger word; whole texts are searched."""
-    word = r"(?i)(?<![a-z0-9])(?:" + "|".join(triggers) + ")(?![a-z0-9])"
     plain = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    has = lambda c: reduce(or_, [F.contains(F.lower(F.col(c)), F.lit(x)) for x in STEMS])
-    return plain.where(has("text")).select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "content")).where(has("content")).where(F.col("content").rlike(word))
+    return plain.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "content")).where(F.arrays_overlap(F.split(F.lower("content"), "[^a-z0-9]+"), F.array(*map(F.lit, triggers))))
 
 
 def scanned(docs: DataFrame, model: Model | None = None, confidence: float = CONFIDENCE, confirm: float = CONFIRM) -> DataFrame:
@@ -247,7 +244,8 @@ def scanned(docs: DataFrame, model: Model | None = None, confidence: float = CON
     spark = docs.sparkSession
     weights = spark.createDataFrame([(g, [float(x) for x in w]) for g, w in zip(model.vocabulary, model.weights)], "gram string, w array<double>")
     found = paragraphs(docs, model.triggers)
-    cut = found.withColumn("grams", _grams(_words(F.col("content"))))
+    # only n-grams with a weight go on, so that a long paragraph is not copied for each of its words
+    cut = found.withColumn("grams", F.array_intersect(_grams(_words(F.col("content"))), F.array(*map(F.lit, model.vocabulary))))
     each = cut.select("doc_id", "paragraph", "content", F.explode("grams").alias("gram"))
     hits = each.join(F.broadcast(weights), "gram")  # the vocabulary of the templates: a fixed size
     keys = ["doc_id", "paragraph", "content"]

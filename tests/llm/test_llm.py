@@ -262,6 +262,14 @@ def test_license_sentences_and_short_excerpts(spark):
     assert [(t, f, found.get(k)) for k, t, f in rows if found.get(k) != f] == []
 
 
+def test_license_triggers_exclude_no_notice(spark):
+    texts = {"Available under Creative Commons Attribution 4.0 International.": "cc-by", "CC BY-SA 4.0": "cc-by-sa", "Dedicated to the public domain.": "public-domain", "Distributed under BSD 3-Clause.": "bsd"}
+    found = licenses.scanned(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.content: r.family for r in found} == texts
+    model = licenses.Model()
+    assert all(set(g.split()) & set(model.triggers) for g in model.vocabulary) and not {"the", "of", "this"} & set(model.triggers)
+
+
 def test_html(spark):
     page = '<html><head><title>T</title><script>var a="<p>no</p>"</script></head><body><nav><a>Home</a></nav><div class="cookie-banner">We use cookies</div><article><h1>Head &amp; tail</h1><p>One\n  two<p>three<br>four<div class="comments">nice</div></article><form>Name</form><footer>end</footer>'
     shared = "<body><div>Shared words that stand on every page of this host</div><div>unique text of page {} only</div>"
