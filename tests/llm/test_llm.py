@@ -164,6 +164,32 @@ def test_decontamination(spark, docs, none):
     assert decontam.decontaminate(docs, bench).count() == docs.count()
 
 
+def test_decontamination_finds_every_leak(spark):
+    rng = random.Random(8)
+    items = [(k, " ".join(f"w{rng.randrange(300)}" for _ in range(n))) for k, n in enumerate([1, 2, 3, 4, 5, 6, 9, 15, 30, 40, 59])]
+    texts = ["zz " * 9]
+    for _, t in items:
+        w = t.split()
+        for every in (2, 3, 4, 5, 7):
+            texts.append("a b " + " ".join("zz" if i % every == every - 1 else x for i, x in enumerate(w)) + " c")
+            texts.append("a b " + " ".join(x + " zz" if i % every == every - 1 else x for i, x in enumerate(w)) + " c")
+            texts.append("a b " + " ".join(x for i, x in enumerate(w) if i % every != every - 1) + " c")
+    texts += [" ".join(f"w{rng.randrange(300)}" for _ in range(200)) for _ in range(20)]
+    texts += ["long " * 50 + " ".join(texts)]
+    own = decontam.Items(items)
+    ids = lambda t: np.array([own.vocabulary.get(w, 0) for w in decontam.words(t)], np.int64)
+    share = {(d, k): decontam.smith_waterman(x, ids(t))[0] / (2 * len(x)) for d, t in enumerate(texts) for k, x in enumerate(own.texts)}
+    want = {(d, k): s for (d, k), s in share.items() if s >= decontam.SCORE}
+    for hits in (decontam.HITS, 50):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(decontam, "HITS", hits)
+            assert {(d, k): s for d, k, s, *_ in own.match(texts)} == want
+    assert len(want) > 100 and (len(texts) - 1, 0) in want
+    fifth = spark.createDataFrame([(k, texts[1 + 15 * k + 9]) for k, _ in items] + [(99, texts[-1])], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(fifth, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert {(k, k) for k in range(7, 11)} <= got and (99, 0) in got
+
+
 def test_smith_waterman():
     def plain(a, b):
         h = np.zeros((len(a) + 1, len(b) + 1), int)
