@@ -24,21 +24,51 @@ from .common import materialize, parts, row_batches
 CAPACITY = 2048
 #: The letters and numbers of U+0000 to U+017F once lower-cased, as the vocabulary's splitting rule has them.
 _L, _N = "a-zªµºß-öø-ſ", "0-9²³¹¼½¾"
-_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+")
+#: A line feed matches too: it stands between the chunks that are split together.
+_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|\n|[^\s{_L}{_N}]+")
 #: Texts with other characters, or with the vocabulary's control strings, go through the tokenizer whole.
-_OTHER = re.compile(r"[^\t-\r\x20-\x7e\xa0-ſ]|<\|(?:start|end)oftext\|>")
-#: Words whose ids a worker remembers.
-CACHE_WORDS = 600_000
+_OTHER = re.compile(r"[^\t-\r\x20-\x7e\xa0-ſ]")
+#: The same by bytes: what these leave of UTF-8 needs a closer look.
+_PLAIN = bytes([*range(9, 14), *range(0x20, 0x7F), *range(0x80, 0xC0), 0xC3, 0xC4, 0xC5])
+_CONTROL = ("<|startoftext|>", "<|endoftext|>")
+#: Chunks (between white space), and words, that a worker remembers before it lets go of those not met since half as many.
+REMEMBERED = 600_000
+
+
+class Memory(dict):
+    """A dict that keeps what was met lately: at half its size it becomes ``old`` and starts anew."""
+
+    old: dict = {}
+
+    def turn(self) -> None:
+        if len(self) > REMEMBERED // 2:
+            self.old = dict(self)
+            self.clear()
+
+    def without(self, keys) -> list:
+        """The keys that are not remembered; those that are only old are met again."""
+        out = []
+        for k in keys:
+            x = self.old.get(k)
+            if x is None:
+                out.append(k)
+            else:
+                self[k] = x
+        return out
 
 
 class Encoder:
-    """Ids, as little-endian 32-bit bytes, of a text. Words are encoded once and remembered."""
+    """Ids, as little-endian 32-bit bytes, of texts.
+
+    No token crosses white space, so texts are cut there and each chunk's ids are remembered. New
+    chunks of a batch are split into words by the vocabulary's rule, and only new words are encoded.
+    """
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.known: dict[str, bytes] = {}
+        self.chunks, self.words = Memory(), Memory()
         vocab = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocab.values()) + 1, bool)
         self.last[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
@@ -46,27 +76,71 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __call__(self, text: str) -> bytes:
-        if _OTHER.search(text):
-            return self.whole(text)
-        words = _SPLIT.findall(unicodedata.normalize("NFC", text).lower())
-        known = self.known
+    @staticmethod
+    def plain(text: str) -> bool:
+        """Whether the text may be cut at white space."""
         try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        new = list({w for w in words if w not in known})
-        ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
-        ends = np.flatnonzero(self.last[ids]) + 1  # each word's last id is marked as such in the vocabulary
-        if len(ends) != len(new):
-            return self.whole(text)
-        data, at = ids.tobytes(), 0
-        for w, end in zip(new, (4 * ends).tolist()):
-            known[w] = data[at:end]
-            at = end
-        return b"".join([known[w] for w in words])
+            data = text.encode()
+        except UnicodeEncodeError:
+            return False
+        return not (data.translate(None, _PLAIN) and _OTHER.search(text)) and not ("<|" in text and any(c in text for c in _CONTROL))
+
+    def learn(self, new: list[str]) -> None:
+        """Remember the ids of chunks."""
+        words = _SPLIT.findall(unicodedata.normalize("NFC", "\n".join(new)).lower())
+        known = self.words
+        known.turn()
+        some = known.without({w for w in words if w not in known and w != "\n"})
+        if some:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1  # each word's last id is marked as such in the vocabulary
+            data, at = ids.tobytes(), 0
+            for w, end in zip(some, (4 * ends).tolist()) if len(ends) == len(some) else ():
+                known[w] = data[at:end]
+                at = end
+            for w in some if len(ends) != len(some) else ():
+                known[w] = self.whole(w)
+        chunks, own = iter(new), []
+        for w in words:
+            if w == "\n":
+                self.chunks[next(chunks)] = b"".join(own)
+                own = []
+            else:
+                own.append(known[w])
+        self.chunks[next(chunks)] = b"".join(own)
+
+    def many(self, texts):
+        """The ids of each text of an Arrow array (null: empty), as arrays."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        self.chunks.turn()
+        texts = texts.fill_null("")
+        odd = {i: t for i, t in enumerate(texts.to_pylist()) if not self.plain(t)}
+        if odd:
+            texts = pc.if_else(pa.array([i not in odd for i in range(len(texts))]), texts, "")
+        lists = pc.ascii_split_whitespace(texts)
+        named = lists.flatten().dictionary_encode()
+        own, code = named.dictionary.to_numpy(zero_copy_only=False).tolist(), named.indices.to_numpy()
+        known = self.chunks
+        ids = list(map(known.get, own))
+        if None in ids:
+            new = known.without([c for c, x in zip(own, ids) if x is None])
+            if new:
+                self.learn(new)
+            ids = list(map(known.__getitem__, own))
+        size = np.array([len(x) // 4 for x in ids], np.int64)
+        start = (np.cumsum(size) - size)[code]
+        much = size[code]
+        end = np.cumsum(much)
+        flat = np.frombuffer(b"".join(ids), "<u4")[np.repeat(start - end + much, much) + np.arange(end[-1] if len(end) else 0)]
+        edge = np.r_[0, end][np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]].tolist()
+        return [np.frombuffer(self.whole(odd[i]), "<u4") if i in odd else flat[edge[i] : edge[i + 1]] for i in range(len(texts))]
+
+    def __call__(self, text: str) -> bytes:
+        import pyarrow as pa
+
+        return self.many(pa.array([text]))[0].tobytes()
 
 
 def default_vocabulary() -> str:
@@ -88,10 +162,10 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = N
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encode, end = Encoder(vocabulary or default_vocabulary()), np.array([end_id], "<u4").tobytes()
         names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-        for batch in row_batches(batches, 8 << 20):
+        for batch in row_batches(batches, 4 << 20):
             out = []
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encode(text or "") + end
+            for i, own in zip(batch.column(0).to_pylist(), encode.many(batch.column(1))):
+                ids = own.tobytes() + end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     out.append((i, k, at // 4, len(part) // 4, zlib.crc32(part)))
