@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import gc
+import re
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,7 +17,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: spark.checkpoint.dir.
 
-    Only where the cluster names none (as in tests) a temporary folder is set.
+    Only a local master (one JVM, as in tests) may go without: it gets a temporary folder. Any
+    other raises, since executors would write to disks of their own.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -27,15 +27,22 @@ def shared_dir(spark: SparkSession) -> str:
     kept = sc._jsc.sc().getCheckpointDir()
     if kept.isDefined():
         return kept.get().rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="folioweave-"))
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+#: Spark deletes the shuffle files of a plan when the plan has run.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back, which cuts the lineage.
 
-    The folder goes when the driver's JVM ends. A lost executor costs no more than the
-    tasks it was running: the written files live in the shared store.
+    The plan's shuffle files go as soon as it is written. The folder goes with discard(), or when
+    the driver's JVM ends. A lost executor costs no more than the tasks it was running: the
+    written files live in the shared store.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/folioweave-{uuid.uuid4().hex}"
@@ -43,19 +50,23 @@ def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._folioweave_path = path
+    return out
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete shuffle files of plans that nothing refers to any more."""
-    for _ in range(3):  # plans let go of one another in steps
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.5)
+def discard(df: DataFrame) -> None:
+    """Delete the folder of a DataFrame that materialize() returned and that nothing reads any more."""
+    spark, where = df.sparkSession, df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._folioweave_path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def input_bytes(df: DataFrame, default: int = 256 << 20) -> int:

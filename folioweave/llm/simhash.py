@@ -16,7 +16,7 @@ from math import acos, ceil, comb, pi
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import materialize, parts
+from .common import discard, materialize, parts
 
 MAX_BITS = 4
 SHINGLE_WORDS = 4
@@ -255,7 +255,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u != v").distinct()
-        edges = materialize(small)
+        old, edges = edges, materialize(small)
+        discard(old)
         now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if now == seen:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

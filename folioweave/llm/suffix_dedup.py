@@ -14,8 +14,11 @@ those that also start in an earlier document are settled. 50 bytes is the thresh
 
 Names are hashes of 64 bits or more (104 and 128 bits where they decide), in place of dense
 ranks, so no round needs a total order over all tasks: equal names meet by a bucket of the name.
-Occurrences of one run in the documents of one map task are settled there, and only the earliest
-leaves the task, so a passage that a third of all documents share costs a row per task.
+Occurrences of one run in the documents of one batch of a map task are settled there, and only the
+earliest leaves it, so a passage that a third of all documents share costs a row per batch. Names
+that many documents hold with different surroundings are found in a sample of documents; their
+suffixes meet by the name of the whole run, so they spread over all buckets, and all that are not
+settled go to round 2, where their windows spread by pair. The sample moves work and no result.
 """
 
 from __future__ import annotations
@@ -26,13 +29,17 @@ import zlib
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import materialize, parts, release_shuffles, row_batches
+from .common import materialize, parts, row_batches
 
 LENGTH = 50
 #: Bytes of text that a task turns into names at a time.
 BATCH_BYTES = 1 << 20
 #: Bytes of packed suffixes that a task holds before it sends them.
 FLUSH_BYTES = 12 << 20
+#: One document in so many is looked at for hot names; a name is hot if the sample has it so often, with different surroundings.
+HOT_SHARE, HOT_LEAST = 64, 200
+#: The most hot names that are told to tasks (the most frequent).
+HOT_NAMES = 100_000
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -69,13 +76,13 @@ def names(data: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
 
 def picked(name: np.ndarray, width: int) -> np.ndarray:
     """For each window of ``width`` positions the place of its least name, the first of ties."""
-    low, off, h = name, np.zeros(len(name), np.uint8), 1
+    low, off, h = name, np.zeros(len(name), np.uint8 if width < 256 else np.uint32), 1
     while h < width:
         step = min(h, width - h)
         a, b = low[:-step], low[step:]
         later = b < a
         low = np.where(later, b, a)
-        off = np.where(later, off[step:] + np.uint8(step), off[:-step])
+        off = np.where(later, off[step:] + off.dtype.type(step), off[:-step])
         h += step
     return np.arange(len(off)) + off
 
@@ -180,43 +187,83 @@ def _doc_index(ids: np.ndarray, marks: np.ndarray):
     return index, np.ascontiguousarray(uniq["i"]), np.ascontiguousarray(uniq["m"])
 
 
-def _sampled(buckets: int, groups: int, length: int):
-    """Round 1, map side: keys under ``groups`` are groups of documents, the others buckets."""
-    half = length // 2
-    width = length - half + 1
+class Runs:
+    """The picked suffixes of a batch's documents, each with the run of windows that picked it."""
+
+    def __init__(self, batch, length: int):
+        half = length // 2
+        docs = self.docs = Docs(batch.column(0).to_pylist(), _as_bytes(batch.column(1).to_pylist()))
+        held = np.maximum(docs.sizes - length + 1, 0)
+        self.n = int(held.sum())
+        if not self.n:
+            return
+        name = names(docs.data, half)
+        place = picked(name, length - half + 1)[: len(docs.data) - length + 1]
+        owner = np.repeat(np.arange(len(docs.ids)), held)
+        window = np.arange(len(owner)) + np.repeat(docs.starts - np.cumsum(held) + held, held)
+        place = place[window]
+        cut = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])])
+        run = self.run = np.diff(np.r_[cut, len(window)])
+        first, place = window[cut], place[cut]
+        self.doc = owner[cut]
+        self.anchor = _mix(name[place])
+        self.whole = _mix(_pair(_pair(name[first], name[first + half]), name[first + run - 1 + length - half]) + _mix((run * 64 + (place - first)).astype(np.uint64)))
+        self.start = first - docs.starts[self.doc]
+
+
+def _in_smaller(name: np.ndarray, other: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Whether a smaller id has the same two names; ids are in order."""
+    order = np.argsort(name, kind="stable")
+    a, b, i = name[order], other[order], ids[order]
+    head = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
+    out = np.zeros(len(ids), bool)
+    out[order] = i > i[np.flatnonzero(head)][np.cumsum(head) - 1]
+    return out
+
+
+def hot_names(docs: DataFrame, length: int) -> np.ndarray:
+    """Sorted 25-byte names that a sample of documents holds often in different surroundings."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in row_batches(batches, BATCH_BYTES):
+            own = Runs(batch, length)
+            if own.n:
+                a = np.unique(np.stack([own.anchor, own.whole]), axis=1)[0]
+                name, n = np.unique(a, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(n)], ["name", "n"])
+
+    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(HOT_SHARE)) == 0).mapInArrow(run, "name long, n long")
+    found = some.groupBy("name").agg(F.sum("n").alias("n")).where(F.col("n") >= HOT_LEAST).orderBy(F.desc("n"), "name").limit(HOT_NAMES).collect()  # a bounded list that only deals work out
+    return np.sort(np.array([r["name"] for r in found], np.int64).view(np.uint64))
+
+
+def is_in(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Whether values are among sorted ones."""
+    if not len(known):
+        return np.zeros(len(x), bool)
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
+
+
+def _sampled(buckets: int, groups: int, length: int, hot: np.ndarray):
+    """Round 1, map side: keys under ``groups`` are groups of documents, the next are buckets by name,
+    the last are buckets of hot names by the whole run."""
 
     def run(batches):
         out = Out()
         for batch in row_batches(batches, BATCH_BYTES):
-            docs = Docs(batch.column(0).to_pylist(), _as_bytes(batch.column(1).to_pylist()))
-            if len(docs.data) < length:
-                continue
-            name = names(docs.data, half)
-            place = picked(name, width)[: len(docs.data) - length + 1]
-            held = np.maximum(docs.sizes - length + 1, 0)
-            owner = np.repeat(np.arange(len(docs.ids)), held)
-            window = np.arange(len(owner)) + np.repeat(docs.starts - np.cumsum(held) + held, held)
-            if not len(window):
+            own = Runs(batch, length)
+            if not own.n:
                 continue
-            place = place[window]
-            cut = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])])
-            run = np.diff(np.r_[cut, len(window)])
-            first, doc, place = window[cut], owner[cut], place[cut]
-            anchor = _mix(name[place])
-            whole = _mix(_pair(_pair(name[first], name[first + half]), name[first + run - 1 + length - half]) + _mix((run * 64 + (place - first)).astype(np.uint64)))
-            start = first - docs.starts[doc]
-            # settled here: the same run of windows in a smaller document of this batch
-            order = np.argsort(whole, kind="stable")
-            w, a, d = whole[order], anchor[order], docs.ids[doc[order]]
-            head = np.r_[True, (w[1:] != w[:-1]) | (a[1:] != a[:-1])]
-            least = d[np.flatnonzero(head)][np.cumsum(head) - 1]
-            settled = np.zeros(len(doc), bool)
-            settled[order] = d > least
+            docs, doc, whole, anchor = own.docs, own.doc, own.whole, own.anchor
+            settled = _in_smaller(whole, anchor, docs.ids[doc])  # the same run of windows in a smaller document of this batch
             g = group_of(docs.ids[doc], groups)
-            out.add(g[settled], doc[settled], docs.ids, docs.marks, start[settled], run[settled])
+            out.add(g[settled], doc[settled], docs.ids, docs.marks, own.start[settled], own.run[settled])
             rest = ~settled
-            bucket = ((anchor[rest] >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
-            out.add(bucket, doc[rest], docs.ids, docs.marks, start[rest], run[rest], _low5(anchor[rest]), whole[rest], offset=groups)
+            is_hot = is_in(anchor[rest], hot)
+            bucket = np.where(is_hot, buckets + ((whole[rest] >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64), ((anchor[rest] >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64))
+            out.add(bucket, doc[rest], docs.ids, docs.marks, own.start[rest], own.run[rest], _low5(anchor[rest]), whole[rest], offset=groups)
             yield from out.flush(FLUSH_BYTES)
         yield from out.flush()
 
@@ -237,7 +284,7 @@ def _by_key(batches):
         yield key, got
 
 
-def _sorted_round(groups: int):
+def _sorted_round(groups: int, buckets: int):
     """Round 1, reduce side: out come settled runs (key: group of documents) and, with the group's
     number + groups as key, runs whose windows go to round 2."""
 
@@ -259,7 +306,7 @@ def _sorted_round(groups: int):
             low, high = np.full(at[-1] + 1, np.iinfo(np.int64).max), np.full(at[-1] + 1, np.iinfo(np.int64).min)
             np.minimum.at(low, at[~settled], ids[~settled])
             np.maximum.at(high, at[~settled], ids[~settled])
-            shared = ~settled & (low < high)[at]
+            shared = ~settled & ((low < high)[at] if key < groups + buckets else True)
             index, doc_ids, doc_marks = _doc_index(ids, marks)
             out = Out()
             g = group_of(ids, groups)
@@ -301,10 +348,15 @@ def _windows(groups: int, buckets: int, length: int):
         held, size = [], 0
 
         def send():
+            held.sort(key=lambda h: h[0])
             docs = np.repeat(np.arange(len(held)), [len(h[2]) for h in held])
             ids, marks = np.array([h[0] for h in held], np.int64), np.array([h[1] for h in held], np.uint32)
             at, left, right = (np.concatenate([h[i] for h in held]) for i in (2, 3, 4))
-            out.add(((left >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64), docs, ids, marks, at, np.ones(len(at), np.uint32), left, right, offset=groups)
+            one = np.ones(len(at), np.uint32)
+            settled = _in_smaller(left, right, ids[docs])  # the same window in a smaller document held here
+            out.add(group_of(ids[docs], groups)[settled], docs[settled], ids, marks, at[settled], one[settled])
+            docs, at, left, right, one = (x[~settled] for x in (docs, at, left, right, one))
+            out.add(((left >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64), docs, ids, marks, at, one, left, right, offset=groups)
 
         for i, data, runs in _texts_with(batches, groups):
             if not len(runs):
@@ -332,6 +384,9 @@ def _sorted_pairs(groups: int):
 
     def run(batches):
         for key, payloads in _by_key(batches):
+            if key < groups:
+                yield _rows([(key, p) for p in payloads])
+                continue
             ids, marks, start, _, left, right = [np.concatenate(x) for x in zip(*map(_unpack, payloads))]
             order = np.lexsort((ids, right, left))
             i, a, b = ids[order], left[order], right[order]
@@ -359,18 +414,15 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, in
 
     docs has doc_id (a long, not null) and text.
     """
-    spark = docs.sparkSession
     buckets = groups = parts(docs, 4, 32)
     tasks = max(8, buckets // 2)
     rows = "key long, payload binary"
-    sent = docs.mapInArrow(_sampled(buckets, groups, length), rows)
-    first = materialize(sent.repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(_sorted_round(groups), rows))
-    release_shuffles(spark)
+    sent = docs.mapInArrow(_sampled(buckets, groups, length, hot_names(docs, length)), rows)
+    first = materialize(sent.repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(_sorted_round(groups, buckets), rows))
     left = first.where(F.col("key") >= groups).select((F.col("key") - groups).alias("key"), "payload")
     told = _with_texts(docs, left, groups, tasks)
     pairs = told.mapInArrow(_windows(groups, buckets, length), rows)
     second = materialize(pairs.repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(_sorted_pairs(groups), rows))
-    release_shuffles(spark)
     return first.where(F.col("key") < groups).unionByName(second), groups
 
 
