@@ -64,6 +64,27 @@ def test_suffix_dedup(docs, none):
     assert suffix_dedup.dedup_report(none).count() == 0 and suffix_dedup.deduplicated(none).count() == 0
 
 
+def test_suffix_dedup_hot_passage(spark):
+    """A third of all documents share 47 bytes with different surroundings, and some 60 bytes."""
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choices("abcdefghijkl", k=n))
+    near, whole = word(47), word(60)
+    rows = [(i, word(60) + (near if i % 3 == 0 else "") + (whole if i % 7 == 0 else "") + word(60)) for i in range(600)]
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(suffix_dedup, "HOT_SHARE", 2)
+        m.setattr(suffix_dedup, "HOT_LEAST", 20)
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+        assert len(suffix_dedup.hot_names(docs, 50)) > 0
+        got = {r.doc_id: r.kept_sha256 for r in suffix_dedup.dedup_report(docs).collect()}
+    first = {}
+    for i, t in rows:
+        gone = set()
+        for p in range(len(t) - 49):
+            if first.setdefault(t[p : p + 50], i) < i:
+                gone.update(range(p, p + 50))
+        assert got[i] == hashlib.sha256("".join(c for k, c in enumerate(t) if k not in gone).encode()).hexdigest()
+
+
 @pytest.mark.parametrize("hot", [simhash.HOT_SUBTRIE, 4])
 def test_simhash(docs, none, hot):
     got = {r.doc_id: r for r in simhash.near_duplicates(docs, hot=hot).collect()}
