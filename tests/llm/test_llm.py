@@ -327,6 +327,54 @@ def test_html(spark):
     assert all("Shared" not in got[k].text and f"p{k}" in got[k].text for k in range(10, 14))
 
 
+def test_html_suffix_array(spark):
+    """Pages of one host without an article: against all substrings of RUN tokens, in plain loops."""
+    rng = random.Random(6)
+    word = lambda: rng.choice("abcdefghijklmnop")
+    common = [[word() for _ in range(n)] for n in (4, 9, 14, 30)]
+    pages = {}
+    for k in range(30):
+        blocks = [rng.choice(common) if rng.random() < 0.4 else [f"{word()}{k}x{i}" if rng.random() < 0.3 else word() for i in range(rng.randint(1, 25))] for _ in range(rng.randint(0, 6))]
+        pages[k] = (f"http://h{k % 2}/x", blocks)
+    rows = [(k, u, "".join(f"<div>{' '.join(b)}</div>" for b in bs), "extra", 1) for k, (u, bs) in pages.items()]
+    table = spark.createDataFrame(rows + rows[:2], "page_id long, url string, html string, text string, s long")
+    seen = {}
+    n = html_extract.RUN
+    for k, (u, bs) in pages.items():
+        flat = [w for b in bs for w in b]
+        for key in [(u, *flat[i : i + n]) for i in range(len(flat) - n + 1)] + [(u, "whole", *b) for b in bs]:
+            seen.setdefault(key, set()).add(k)
+    got = html_extract.extracted(table).collect()
+    assert len(got) == 32
+    cut = 0
+    for r in got:
+        u, bs = pages[r.page_id]
+        flat, at, gone, text = [w for b in bs for w in b], 0, set(), []
+        for i in range(len(flat) - n + 1):
+            if len(seen[(u, *flat[i : i + n])]) > 1:
+                gone.update(range(i, i + n))
+        for b in bs:
+            own = [] if len(seen[(u, "whole", *b)]) > 1 else [w for i, w in enumerate(b, at) if i not in gone]
+            cut += len(b) - len(own)
+            at += len(b)
+            text += [" ".join(own)] if own else []
+        assert r.text == "\n".join(text) and r.n_chars == len(r.text)
+    assert cut > 50 and html_extract.extracted(table.limit(0)).count() == 0
+
+
+def test_html_parser():
+    import time
+
+    for source in ('<a "' * 200_000, "<b>" * 200_000, "<b><div>" + "<i>" * 60_000 + "</b>" * 60_000 + "<p></p>" * 60_000, "&" * 500_000, "<article>" + "x " * 500_000):
+        start = time.process_time()
+        html_extract.blocks(source)
+        assert time.process_time() - start < 20  # far less; what grows with the square takes many minutes
+    inside = '<article><section class="discussion"><p>Discussion of results</p></section><div class="notice">n</div></article><section class="discussion">d</section>'
+    assert [t for k, t in html_extract.blocks(inside) if k == 1] == ["Discussion of results"]
+    assert html_extract.blocks('<p title="a>b">x &lt;y <q "z') == [(0, 'x <y <q "z')]
+    assert html_extract.blocks("<nav>a<div><b>b</nav>c") == [(2, "a"), (2, "b"), (0, "c")]
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
