@@ -9,7 +9,7 @@ so no text part, nor two beside each other, can hold a control string, so the fo
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
 PLACEHOLDERS = {"image": "<|image|>", "audio": "<|audio|>", "document": "<|document|>"}
@@ -59,48 +59,66 @@ def visited(part: Column) -> Column:
     return out
 
 
-def formatted(turns: DataFrame, content: str = "content") -> DataFrame:
-    """One row per conversation: conv_id, n_turns, formatted, attachments, n_placeholder_tokens.
+def formatted(turns: DataFrame, content: str = "content", learned_role: str = "assistant") -> DataFrame:
+    """One row per conversation: conv_id, n_turns, formatted, loss_spans, attachments, n_placeholder_tokens.
 
-    turns has conv_id, turn, role and ``content`` (array of parts; null or empty: empty text).
+    ``loss_spans`` is the loss mask: for each turn of ``learned_role`` its number, where the turn
+    starts, and start and end of its content, in code points of ``formatted``. turns has conv_id, turn, role and ``content`` (array of parts; null or empty: empty text).
     Turns are ordered by turn (null first), then role, then the formatted content; null roles are
-    empty; rows without conv_id are left out. A conversation is one string, so its turns meet in
+    empty; rows without conv_id are left out; a repeated row is a turn of its own; an empty table
+    gives an empty result; other columns are not looked at. A conversation is one string, so its turns meet in
     one task; what a task holds is bounded by the longest conversation.
     """
     parts = F.coalesce(F.col(content), F.expr(f"cast(array() as {PART_TYPE})"))
     other = F.filter(parts, lambda p: p["type"].isin(*PLACEHOLDERS))
+    role = F.coalesce(F.col("role").cast("string"), F.lit(""))
     one = turns.where("conv_id is not null").select(
         F.col("conv_id").cast("long").alias("conv_id"),
-        F.struct(
-            F.col("turn").cast("long").alias("turn"),
-            F.concat(F.lit(START), escaped_role(F.coalesce(F.col("role").cast("string"), F.lit(""))), F.lit("\n"), F.array_join(F.transform(parts, visited), ""), F.lit(END + "\n")).alias("said"),
-            F.transform(other, lambda p: F.struct(p["type"].alias("type"), p["ref"].alias("ref"), _tokens(p).alias("tokens"))).alias("attachments"),
-        ).alias("t"),
+        F.col("turn").cast("long").alias("turn"),
+        F.concat(F.lit(START), escaped_role(role), F.lit("\n"), F.array_join(F.transform(parts, visited), ""), F.lit(END + "\n")).alias("said"),
+        F.transform(other, lambda p: F.struct(p["type"].alias("type"), p["ref"].alias("ref"), _tokens(p).alias("tokens"))).alias("attachments"),
+        (F.char_length(escaped_role(role)) + len(START) + 1).alias("head"),
+        (role == learned_role).alias("learned"),
     )
-    by = one.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("ts"))
+    # where each turn starts; ties are equal turns, so their order is one and the same
+    earlier = Window.partitionBy("conv_id").orderBy("turn", "said", "attachments").rowsBetween(Window.unboundedPreceding, -1)
+    one = one.withColumn("start", F.coalesce(F.sum(F.char_length("said").cast("long")).over(earlier), F.lit(0).cast("long")))
+    by = one.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "said", "attachments", "start", "head", "learned"))).alias("ts"))
+    learned = F.filter(F.transform("ts", lambda t, i: F.struct(i.alias("number"), t["start"].alias("turn_start"), (t["start"] + t["head"]).alias("start"), (t["start"] + F.char_length(t["said"]) - len(END) - 1).alias("end"), t["learned"].alias("learned"))), lambda t: t["learned"])
+    spans = F.transform(learned, lambda t: F.struct(t["number"].alias("number"), t["turn_start"].alias("turn_start"), t["start"].alias("start"), t["end"].alias("end")))
     attachments = F.flatten(F.transform("ts", lambda t: F.transform(t["attachments"], lambda a: F.struct(t["turn"].alias("turn"), a["type"].alias("type"), a["ref"].alias("ref"), a["tokens"].alias("tokens")))))
-    return by.select("conv_id", F.size("ts").cast("long").alias("n_turns"), F.array_join(F.transform("ts", lambda t: t["said"]), "").alias("formatted"), attachments.alias("attachments")).withColumn(
+    return by.select("conv_id", F.size("ts").cast("long").alias("n_turns"), F.array_join(F.transform("ts", lambda t: t["said"]), "").alias("formatted"), spans.alias("loss_spans"), attachments.alias("attachments")).withColumn(
         "n_placeholder_tokens", F.aggregate("attachments", F.lit(0).cast("long"), lambda a, x: a + x["tokens"])
     )
 
 
+def _said(text: Column) -> Column:
+    """What stands between start marks, in order."""
+    cut = F.split(text, r"<\|im_start\|>")
+    return F.slice(cut, F.lit(2), F.greatest(F.size(cut) - 1, F.lit(0)))
+
+
+def loss_text(spans: Column, said: Column) -> Column:
+    """The unescaped text under the loss mask; ``said``: the formatted string cut at its start marks."""
+    return F.array_join(F.transform(spans, lambda s: unescaped(F.substring(F.get(said, s["number"]), s["start"] - s["turn_start"] - len(START) + 1, s["end"] - s["start"]))), "")
+
+
 def read_back(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """conv_id, formatted_chars and turns (array of role, text) parsed from the formatted string alone."""
-    said = F.slice(F.split("formatted", r"<\|im_start\|>"), F.lit(2), F.greatest(F.size(F.split("formatted", r"<\|im_start\|>")) - 1, F.lit(0)))
     turn = lambda s: F.struct(
         unescaped_role(F.substring_index(s, "\n", 1)).alias("role"),
         unescaped(F.substring(s, F.locate("\n", s) + 1, F.length(s) - F.locate("\n", s) - len(END) - 1)).alias("text"),
     )
-    return rows.select("conv_id", *keep, F.char_length("formatted").cast("long").alias("formatted_chars"), F.transform(said, turn).alias("turns"))
+    return rows.select("conv_id", *keep, F.char_length("formatted").cast("long").alias("formatted_chars"), F.transform(_said(F.col("formatted")), turn).alias("turns"))
 
 
 def digests(turns: DataFrame, content: str = "content", learned_role: str = "assistant") -> DataFrame:
     """Per conversation, from its formatted string read back: conv_id, n_turns, turns_sha256,
-    loss_chars, loss_sha256, formatted_chars. The loss mask covers the texts of ``learned_role``."""
-    back = read_back(formatted(turns, content))
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == learned_role), lambda t: t["text"]), "")
+    loss_chars, loss_sha256, formatted_chars. The loss is read through the mask, ``loss_spans``."""
+    cut = formatted(turns, content, learned_role).withColumn("said", _said(F.col("formatted")))
+    back = read_back(cut.withColumn("loss", loss_text(F.col("loss_spans"), F.col("said"))), ("loss",))
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    out = back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"), loss.alias("loss"), "formatted_chars")
+    out = back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"), "loss", "formatted_chars")
     return out.select("conv_id", "n_turns", "turns_sha256", F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
 
 
@@ -115,6 +133,11 @@ def with_probe(conversations: DataFrame) -> DataFrame:
 
 
 def chat_report(conversations: DataFrame) -> DataFrame:
+    """digests() of conversations (conv_id, turn, role, text) with the probe.
+
+    Null texts and roles are empty; rows without conv_id are left out; tied turns are ordered by
+    role and text; a repeated row counts twice; of an empty table only the probe is left.
+    """
     return digests(with_probe(conversations).select("conv_id", "turn", "role", text_parts(F.col("text")).alias("content")))
 
 

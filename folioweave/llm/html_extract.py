@@ -254,10 +254,10 @@ def _parsed(run_tokens: int):
                 suffix = [xxhash.xxh64_intdigest("\x1f".join(x), 7) - (1 << 63) for x in suffix]
                 is_open = any(k == _OPEN for k, _ in got)
                 keep = [(k, t if k != _CHROME else len(t.split())) for k, t in got]
-                rows.append((page_id, url, json.dumps(keep, ensure_ascii=True) if is_open else "\n".join(t for k, t in got if k == _CONTENT), is_open, suffix))
+                rows.append((page_id, url, xxhash.xxh64_intdigest((source or "").encode("utf-8", "surrogatepass"), 3) - (1 << 63), json.dumps(keep, ensure_ascii=True) if is_open else "\n".join(t for k, t in got if k == _CONTENT), is_open, suffix))
             if rows:
                 c = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int64()), pa.array(c[1], pa.string()), pa.array(c[2], pa.string()), pa.array(c[3]), pa.array(c[4], pa.list_(pa.int64()))], ["page_id", "url", "kept", "is_open", "suffix"])
+                yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int64()), pa.array(c[1], pa.string()), pa.array(c[2], pa.int64()), pa.array(c[3], pa.string()), pa.array(c[4]), pa.array(c[5], pa.list_(pa.int64()))], ["page_id", "url", "mark", "kept", "is_open", "suffix"])
 
     return run
 
@@ -292,18 +292,18 @@ def extracted(pages: DataFrame, run_tokens: int = RUN) -> DataFrame:
 
     Null or empty html gives an empty text; a null url is a host of its own; equal pages of one
     page_id do not make each other boilerplate, since runs must lie in distinct pages; a repeated row
-    gets its result twice; an empty table gives an empty result; other columns are not looked at. A
+    gets its result twice, and rows that share a page_id only are told apart by html; an empty table gives an empty result; other columns are not looked at. A
     page is parsed in time proportional to its length.
     """
     plain = pages.where("page_id is not null").select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    parsed = materialize(plain.mapInArrow(_parsed(run_tokens), "page_id long, url string, kept string, is_open boolean, suffix array<long>"))  # parsed once
+    parsed = materialize(plain.mapInArrow(_parsed(run_tokens), "page_id long, url string, mark long, kept string, is_open boolean, suffix array<long>"))  # parsed once
     # the suffix array's groups of equal keys; only those in distinct pages repeat
     repeated = parsed.select("page_id", F.explode("suffix").alias("s")).groupBy("s").agg(F.min("page_id").alias("a"), F.max("page_id").alias("b")).where("a < b").select("s")
-    places = parsed.select("page_id", F.posexplode("suffix").alias("at", "s"))
-    covered = places.join(repeated, "s", "left_semi").groupBy("page_id").agg(F.sort_array(F.collect_set("at")).alias("covered"))
+    places = parsed.where("is_open").select("page_id", "mark", F.posexplode("suffix").alias("at", "s"))
+    covered = places.join(repeated, "s", "left_semi").groupBy("page_id", "mark").agg(F.sort_array(F.collect_set("at")).alias("covered"))
     # pages whose structure settles all blocks stay where they are; only the others meet their runs
     settled = parsed.where("not is_open").select("page_id", "url", F.col("kept").alias("text"), F.char_length("kept").cast("long").alias("n_chars"), F.lit(0).cast("long").alias("boilerplate_runs"))
-    joined = parsed.where("is_open").select("page_id", "url", "kept", "is_open").join(covered, "page_id", "left")
+    joined = parsed.where("is_open").join(covered, ["page_id", "mark"], "left").select("page_id", "url", "kept", "is_open", "covered")
 
     def finish(batches):
         import pyarrow as pa

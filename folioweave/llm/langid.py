@@ -10,9 +10,10 @@ and sum per machine. Learning uses at most SAMPLE rows outside the held-out fold
 from __future__ import annotations
 
 import re
+import sys
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import row_batches, split_of
 
@@ -31,7 +32,9 @@ FAMILIES = {
     "semitic": ("ar", "he", "mt"),
 }
 _FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes}
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: What is no letter: \w also has numbers that are no digits (a superscript two, a Roman eight).
+_NUMBERS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+_NOT_LETTERS = re.compile(rf"[\W\d_{_NUMBERS}]+")
 
 
 def grams(text: str) -> np.ndarray:
@@ -129,17 +132,23 @@ SCALE = 40.0
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn from rows outside the held-out fold that have a text with letters and a lang.
 
-    Each language gives at most its even share of ``sample`` rows, in order of a hash of doc_id.
+    Each language, however many there are, gives at most its even share of ``sample`` rows (one at
+    least), those with the least hash of doc_id. Two passes over the ids: counts, then the rows under
+    a bound of the hash that leaves about twice the share.
     """
     rows = docs.where("doc_id is not null and text is not null and lang is not null").where(split_of() != 0)
-    codes = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(200).collect()]
-    share = max(1, sample // max(1, len(codes)))
-    ids = None
-    for code in codes:
-        part = rows.where(F.col("lang") == code).select("doc_id", F.col("lang").alias("lang_")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(share)
-        ids = part if ids is None else ids.unionByName(part)
-    if ids is None:
+    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}  # one row per language
+    if not counts:
         return Model(np.zeros((0, 1 << BITS), np.float32), np.array([]))
+    share = max(1, sample // len(counts))
+    spark, wide = docs.sparkSession, 1 << 40
+    bound = spark.createDataFrame([(c, min(wide, int(wide * (2 * share + 50) / n))) for c, n in counts.items()], "lang_ string, bound long")
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(wide))
+    near = rows.select("doc_id", F.col("lang").alias("lang_"), place.alias("place")).join(F.broadcast(bound), "lang_").where("place < bound")  # one row per language
+    by: dict[str, set] = {}
+    for i, c, p in near.select("doc_id", "lang_", "place").collect():  # about twice the sample
+        by.setdefault(c, set()).add((p, i))
+    ids = spark.createDataFrame([(i, c) for c, got in by.items() for _, i in sorted(got)[:share]], T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("lang_", T.StringType())]))
 
     def run(batches):
         import pyarrow as pa
@@ -154,7 +163,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), (pa.int64(), pa.string(), pa.binary(), pa.binary()))], ["doc_id", "lang", "at", "share"])
 
-    chosen = docs.select("doc_id", "text").join(F.broadcast(ids.distinct()), "doc_id").where("text is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"), "lang_")  # at most ``sample`` ids
+    chosen = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where("text is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"), "lang_")  # at most ``sample`` ids
     got = chosen.mapInArrow(run, "doc_id long, lang string, at binary, share binary").toPandas().sort_values(["doc_id", "lang"], kind="stable")
     x = np.zeros((len(got), 1 << BITS), np.float32)
     for k, (at, share_) in enumerate(zip(got["at"], got["share"])):
@@ -163,7 +172,11 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def identified(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, lang_pred, score for every row with a doc_id. Null and letterless texts: ``und``, 0."""
+    """doc_id, held_out, lang_pred, score for every row with a doc_id. Null, empty and letterless texts: ``und``, 0.
+
+    A letter has Unicode category L. A repeated row gets its result twice; of equal votes the first
+    language in order counts; other columns are not looked at; an empty table gives an empty result.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bins times machines: no larger for more documents
 
     def run(batches):

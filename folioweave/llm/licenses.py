@@ -236,19 +236,20 @@ def scanned(docs: DataFrame, model: Model | None = None, confidence: float = CON
     """doc_id, paragraph, content, family, probability, similarity: one row for each
     paragraph of a document in which a licence is found and confirmed.
 
-    Null texts and rows without doc_id hold none; rows that share a doc_id are told apart by text;
-    an empty table gives an empty result. Unknown paragraphs are left out.
+    Null texts and rows without doc_id hold none; rows that share a doc_id are scored apart, so a
+    repeated row gets its results twice; an empty table gives an empty result; of equal families the
+    first in order counts; other columns are not looked at. Unknown paragraphs are left out.
     """
     model = model or Model()
     n = len(model.classes)
     spark = docs.sparkSession
     weights = spark.createDataFrame([(g, [float(x) for x in w]) for g, w in zip(model.vocabulary, model.weights)], "gram string, w array<double>")
-    found = paragraphs(docs, model.triggers)
+    found = paragraphs(docs, model.triggers).withColumn("row", F.monotonically_increasing_id())
     # only n-grams with a weight go on, so that a long paragraph is not copied for each of its words
     cut = found.withColumn("grams", F.array_intersect(_grams(_words(F.col("content"))), F.array(*map(F.lit, model.vocabulary))))
-    each = cut.select("doc_id", "paragraph", "content", F.explode("grams").alias("gram"))
+    keys = ["row", "doc_id", "paragraph", "content"]
+    each = cut.select(*keys, F.explode("grams").alias("gram"))
     hits = each.join(F.broadcast(weights), "gram")  # the vocabulary of the templates: a fixed size
-    keys = ["doc_id", "paragraph", "content"]
     known = [f for f in TEMPLATES]
     sums = hits.groupBy(*keys).agg(
         F.array(*[F.sum(F.get("w", F.lit(k))) for k in range(n)]).alias("z"),
@@ -264,4 +265,4 @@ def scanned(docs: DataFrame, model: Model | None = None, confidence: float = CON
     joined = scored.withColumn("grams", _grams(_words(F.col("content")))).join(F.broadcast(known_templates), "family")
     common = F.size(F.array_intersect("grams", "template"))
     near = F.greatest(F.when((common >= FRAGMENT) | (common == F.size("grams")), common / F.size("grams")).otherwise(F.lit(0.0)), common / F.size("template"))
-    return joined.groupBy(*keys, "family", "probability").agg(F.round(F.max(near), 6).alias("similarity")).where(F.col("similarity") >= confirm)
+    return joined.groupBy(*keys, "family", "probability").agg(F.round(F.max(near), 6).alias("similarity")).where(F.col("similarity") >= confirm).drop("row")

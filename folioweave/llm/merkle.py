@@ -1,14 +1,15 @@
 """Document fingerprints: a Merkle tree over sections, paragraphs and their pieces.
 
 Leaves are pieces of a paragraph, cut after words that end in a content-defined place (about
-every PIECE_WORDS words), so an edit changes the leaves it touches and no others. Lines are
-paragraphs; a section ends at a blank line or after a paragraph whose hash says so. A node's hash
-is the hash of its children's. Equal roots mean equal texts; for others, equal sections are
-passed over and the leaves of differing branches tell how alike two texts are and where they
-differ.
+every PIECE_WORDS words; where no space comes for long, at such a place of the bytes), so an edit
+changes the leaves it touches and no others. Lines are paragraphs; a section ends at a blank line
+or after a paragraph whose hash says so. A leaf's hash is that of its bytes, any other node's the
+128-bit hash of its children's whole hashes, up to the root. Equal roots mean equal texts; for
+others, equal sections are passed over and the leaves of differing branches tell how alike two
+texts are and where they differ.
 
 A fingerprint is ``root/section;section...``, a section ``hash:paragraph,paragraph...``, a
-paragraph the hashes of its leaves.
+paragraph ``hash.leaves``; hashes below the root are written short.
 """
 
 from __future__ import annotations
@@ -24,7 +25,25 @@ from .common import parts, row_batches
 PIECE_WORDS = 6
 SECTION_PARAGRAPHS = 6
 LEAF = 6
-_EMPTY = "0" * 16 + "/"
+#: Bytes without a space after which a leaf may end anywhere, and about how many more it then takes.
+UNSPACED, UNSPACED_PIECE = 48, 16
+#: Hexadecimal digits of the hashes of sections and paragraphs as written.
+SHORT = 8
+_EMPTY = "0" * 32 + "/"
+
+
+def leaf_ends(data: bytes) -> list[int]:
+    """Where the leaves of a text that is not empty end."""
+    b = np.frombuffer(data, np.uint8)
+    w = np.zeros(len(b) + 4, np.uint32)
+    w[4:] = b
+    tail = w[4:] + w[3:-1] * np.uint32(257) + w[2:-2] * np.uint32(66049) + w[1:-3] * np.uint32(16974593)
+    tail = (tail * np.uint32(2654435761)) >> np.uint32(16)
+    line, space = b == 10, b == 32
+    at = np.arange(len(b), dtype=np.int64)
+    far = at - np.maximum.accumulate(np.where(line | space, at, 0)) > UNSPACED
+    cut = np.flatnonzero(line | (space & (tail % np.uint32(PIECE_WORDS) == 0)) | (far & (tail % np.uint32(UNSPACED_PIECE) == 0))) + 1
+    return cut.tolist() if len(cut) and cut[-1] == len(b) else [*cut.tolist(), len(b)]
 
 
 def fingerprint(text: str) -> str:
@@ -34,49 +53,50 @@ def fingerprint(text: str) -> str:
     if not text:
         return _EMPTY
     data = text.encode("utf-8", "surrogatepass")
-    b = np.frombuffer(data, np.uint8)
-    w = np.zeros(len(b) + 4, np.uint32)
-    w[4:] = b
-    tail = w[4:] + w[3:-1] * np.uint32(257) + w[2:-2] * np.uint32(66049) + w[1:-3] * np.uint32(16974593)
-    tail = (tail * np.uint32(2654435761)) >> np.uint32(16)
-    line = b == 10
-    cut = np.flatnonzero(line | ((b == 32) & (tail % np.uint32(PIECE_WORDS) == 0))) + 1
-    ends = [*cut.tolist(), len(b)] if not len(cut) or cut[-1] != len(b) else cut.tolist()
-    digest, at = xxhash.xxh3_64_hexdigest, 0
-    sections, paragraphs, leaves = [], [], []
+    digest, node, at = xxhash.xxh3_64_hexdigest, xxhash.xxh3_128_hexdigest, 0
+    sections: list[tuple[str, str]] = []
+    paragraphs: list[tuple[str, str]] = []
+    leaves: list[str] = []
 
     def close() -> None:
-        nonlocal paragraphs
         if paragraphs:
-            sections.append((digest("".join(paragraphs)), ",".join(paragraphs)))
-            paragraphs = []
+            own = node("".join(h for h, _ in paragraphs))
+            sections.append((own, f"{own[:SHORT]}:" + ",".join(p for _, p in paragraphs)))
+            paragraphs.clear()
 
-    for end in ends:
-        leaves.append(digest(data[at:end])[:LEAF])
+    for end in leaf_ends(data):
+        leaves.append(digest(data[at:end]))
         last = data[end - 1] == 10
         blank = last and end - at == 1 and len(leaves) == 1
         at = end
         if last or end == len(data):
-            own = "".join(leaves)
-            leaves = []
-            paragraphs.append(own)
-            if blank or int(digest(own)[:8], 16) % SECTION_PARAGRAPHS == 0:
+            own = node("".join(leaves))
+            paragraphs.append((own, f"{own[:SHORT]}." + "".join([x[:LEAF] for x in leaves])))
+            leaves.clear()
+            if blank or int(own[:8], 16) % SECTION_PARAGRAPHS == 0:
                 close()
     close()
-    root = digest("".join(h for h, _ in sections) + digest(data))
-    return f"{root}/" + ";".join(f"{h[:8]}:{p}" for h, p in sections)
+    return node("".join(h for h, _ in sections)) + "/" + ";".join(x for _, x in sections)
 
 
 def leaves_of(section: str) -> list[str]:
-    own = section.partition(":")[2].replace(",", "")
-    return [own[i : i + LEAF] for i in range(0, len(own), LEAF)]
+    """The short hashes of a section's leaves."""
+    out = []
+    for p in section.partition(":")[2].split(","):
+        own = p.partition(".")[2]
+        out += [own[i : i + LEAF] for i in range(0, len(own), LEAF)]
+    return out
+
+
+def sections_of(mark: str) -> list[str]:
+    return [x for x in mark.partition("/")[2].split(";") if x]
 
 
 def likeness(a: str, b: str) -> float:
     """0 to 1: 1 for equal roots, else the share of leaves (with repeats) that the trees have in common."""
-    if a[:16] == b[:16]:
+    if a.partition("/")[0] == b.partition("/")[0]:
         return 1.0
-    one, two = (Counter(x for x in f[17:].split(";") if x) for f in (a, b))
+    one, two = (Counter(sections_of(f)) for f in (a, b))
     both = one & two
     shared = sum(len(leaves_of(s)) * n for s, n in both.items())
     rest = []
@@ -94,8 +114,9 @@ def likeness(a: str, b: str) -> float:
 
 def differing_sections(a: str, b: str) -> tuple[list[int], list[int]]:
     """Numbers of the sections of each fingerprint that the other lacks: where the edits are."""
-    one, two = (f[17:].split(";") if len(f) > 17 else [] for f in (a, b))
-    return [i for i, s in enumerate(one) if s not in set(two)], [i for i, s in enumerate(two) if s not in set(one)]
+    one, two = sections_of(a), sections_of(b)
+    has_one, has_two = set(one), set(two)
+    return [i for i, s in enumerate(one) if s not in has_two], [i for i, s in enumerate(two) if s not in has_one]
 
 
 def edited(text: str, following: str) -> str:
@@ -122,7 +143,8 @@ def edit_report(docs: DataFrame) -> DataFrame:
     doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. Rows
     are cut into ranges of doc_id; the first document of a range also visits the range before it,
     so nothing needs one task for all rows. Null text counts as empty; rows that share a doc_id
-    are ordered by text; a single row follows itself.
+    are ordered by text; a single row follows itself; an empty table gives an empty result; other
+    columns are not looked at.
     """
     plain = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ids = plain.select("doc_id")

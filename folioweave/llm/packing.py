@@ -17,7 +17,7 @@ import zlib
 from bisect import bisect_left, insort
 
 import numpy as np
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from .common import materialize, parts, row_batches
 
@@ -245,8 +245,9 @@ def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY) -> list[tup
 
 
 def placed(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Adds sequence_id and offset to pieces (doc_id, piece, length and other columns)."""
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts(cut, 2, 64, 20_000))))
+    """Adds sequence_id and offset to pieces (doc_id, piece, length and other columns, whatever their names)."""
+    own, cut = cut.columns, cut.select("length", F.struct(*[F.col(f"`{c}`") for c in cut.columns]).alias("own"))
+    salted = cut.withColumn("salt", F.pmod(F.xxhash64("own.doc_id", "own.piece"), F.lit(parts(cut, 2, 64, 20_000))))
     held = salted.groupBy("length", "salt").count()
     total = {r["length"]: r["n"] for r in held.groupBy("length").agg(F.sum("count").alias("n")).collect()}
     before = held.withColumn("before", F.sum("count").over(Window.partitionBy("length").orderBy("salt")) - F.col("count")).drop("count")
@@ -258,7 +259,7 @@ def placed(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             used[n] = used.get(n, 0) + times
             offset += n
         first += times
-    ranked = salted.join(before, ["length", "salt"]).withColumn("rank", F.col("before") + F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")) - 1)
+    ranked = salted.join(before, ["length", "salt"]).withColumn("rank", F.col("before") + F.row_number().over(Window.partitionBy("length", "salt").orderBy("own.doc_id", "own.piece", "own.ids_crc32")) - 1)
 
     # each length's steps: from a rank on, sequences from a number on, at an offset
     by: dict[int, tuple] = {}
@@ -277,11 +278,10 @@ def placed(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 ranks, firsts, offsets = by[int(n)]
                 k = np.searchsorted(ranks, rank[at], "right") - 1
                 seq[at], off[at] = firsts[k] + rank[at] - ranks[k], offsets[k]
-            keep = [i for i, f in enumerate(batch.schema) if f.name not in ("salt", "before", "rank")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(seq), pa.array(off)], [*(batch.schema[i].name for i in keep), "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(seq), pa.array(off)], ["own", "sequence_id", "offset"])
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)
-    return ranked.select(*cut.columns, "before", "rank").mapInArrow(place, f"{kept}, sequence_id long, offset long")
+    out = ranked.select("own", "length", "rank").mapInArrow(place, T.StructType([cut.schema["own"], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]))
+    return out.select(*[F.col("own").getField(c).alias(c) for c in own if c not in ("sequence_id", "offset")], "sequence_id", "offset")
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None) -> DataFrame:

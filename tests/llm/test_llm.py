@@ -251,9 +251,52 @@ def test_language(spark, docs, none):
     held = [r for r in rows if got[r[0]].held_out]
     assert np.mean([got[i].lang_pred == c for i, _, c in held]) > 0.97 and all(0 <= r.score <= 1 for r in got.values())
     assert langid.identified(none, langid.train(none)).count() == 0
+    odd = spark.createDataFrame([(1, "² ½"), (2, "Ⅷ ①② 12"), (3, "\u0301 _ !"), (4, "the water 12")], "doc_id long, text string")
+    assert [r.lang_pred for r in langid.identified(odd, langid.train(mine)).orderBy("doc_id").collect()] == ["und", "und", "und", "en"]
+    many = [(i, f"q{i % 205}q " * 9, f"l{i % 205}") for i in range(615)]
+    assert langid.train(spark.createDataFrame(many, "doc_id long, text string, lang string"), 300).langs == sorted({c for i, _, c in many if zlib.crc32(str(i).encode()) % 5})
     assert {r.lang_pred for r in langid.identified(docs, langid.train(none)).collect()} == {"und"}
 
 
+def likeness(a, b):
+    """Share of leaves in common, with repeats, in plain loops over the leaves' bytes."""
+    if a == b:
+        return 1.0
+    bags = []
+    for t in (a, b):
+        data, bag, at = t.encode(), {}, 0
+        for end in merkle.leaf_ends(data) if data else ():
+            leaf = data[at:end]
+            bag[leaf] = bag.get(leaf, 0) + 1
+            at = end
+        bags.append(bag)
+    total = sum(bags[0].values()) + sum(bags[1].values())
+    return min(2 * sum(min(n, bags[1].get(x, 0)) for x, n in bags[0].items()) / total, 1 - 1e-6)
+
+
+def test_fingerprint_tree():
+    import xxhash
+
+    text = "".join(f"word{i % 50} and so on{chr(10) * (i % 9 == 0) * (1 + i % 2)} " for i in range(400))
+    root, _, rest = merkle.fingerprint(text).partition("/")
+    at, sections, paragraphs, leaves = 0, [], [], []
+    data = text.encode()
+    for end in merkle.leaf_ends(data):
+        leaves.append(data[at:end])
+        if data[end - 1] == 10 or end == len(data):
+            own = xxhash.xxh3_128_hexdigest("".join(xxhash.xxh3_64_hexdigest(x) for x in leaves))
+            paragraphs.append(own)
+            if leaves == [b"\n"] or int(own[:8], 16) % merkle.SECTION_PARAGRAPHS == 0 or end == len(data):
+                sections.append(xxhash.xxh3_128_hexdigest("".join(paragraphs)))
+                paragraphs = []
+            leaves = []
+        at = end
+    assert root == xxhash.xxh3_128_hexdigest("".join(sections)) and len(sections) > 3
+    assert [s[:8] for s in rest.split(";")] == [s[:8] for s in sections]
+    unspaced = "".join(random.Random(1).choices("天地玄黄宇宙洪荒", k=600))
+    assert merkle.likeness(merkle.fingerprint(unspaced), merkle.fingerprint(unspaced[:400] + "x" * 200)) > 0.4
+
+
 def test_fingerprints(docs, none):
     rows = sorted({(-r.doc_id, r.text or "") for r in docs.collect() if r.doc_id is not None})
     got = {r.doc_id: r for r in merkle.edit_report(docs).collect()}
@@ -264,6 +307,7 @@ def test_fingerprints(docs, none):
         edited = t[: len(t) - n] + following[:n]
         r = got[-i]
         if -i != 21:  # the repeated row follows itself
+            assert r.near_edited == pytest.approx(likeness(t, edited)) and r.near_next == pytest.approx(likeness(t, following))
             assert r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         assert r.n_chars == len(t) and r.fingerprint == merkle.fingerprint(t) and 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
         if len(t) > 300:
@@ -286,12 +330,19 @@ def test_chat(spark):
     f = chat.formatted(turns).first()
     assert f.formatted.count("<|image|>") == 3 and [a.ref for a in f.attachments] == ["p.png", "q"] and f.n_placeholder_tokens == 131
     assert chat.read_back(chat.formatted(turns)).first().turns[0].text.startswith("a<|b<|image|>")
+    said = spark.createDataFrame(rows + [rows[0]], "conv_id long, turn long, role string, text string").select("conv_id", "turn", "role", chat.text_parts(F.col("text")).alias("content"))
+    for f in chat.formatted(said).collect():  # the loss mask, cut out of the formatted string
+        under = [f.formatted[s.start : s.end].replace("<\\", "<").replace("\\\\", "\\") for s in f.loss_spans]
+        assert under == {1: ["b<", "b<", "\\<|x"], 2: []}[f.conv_id] and all(f.formatted[s.turn_start :].startswith("<|im_start|>assistant\n") for s in f.loss_spans)
+    assert [r.conv_id for r in chat.chat_report(said.limit(0).select("conv_id", "turn", "role", F.lit("x").alias("text"), F.lit(1).alias("start"))).collect()] == [-1]
 
 
 def test_licenses(spark, none):
     rows = [(1, "Some prose.\nReleased under the MIT License.\nMore."), (2, "He lost his license in the public park."), (3, None), (4, ""), (5, "Sie kommt mit dem Zug."), (6, "x " * 4000 + "\nLicensed under the Apache License, Version 2.0.")]
     got = {(r.doc_id, r.paragraph): r.family for r in licenses.scanned(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {(1, 1): "mit", (6, 1): "apache"}
+    twice = licenses.scanned(spark.createDataFrame([rows[0], rows[0]], "doc_id long, text string"))
+    assert [r.probability for r in twice.collect()] == [licenses.scanned(spark.createDataFrame(rows[:1], "doc_id long, text string")).first().probability] * 2
     assert licenses.Model().held_out_accuracy > 0.95 and licenses.scanned(none).count() == 0
 
 
@@ -375,6 +426,67 @@ def test_html_parser():
     assert html_extract.blocks("<nav>a<div><b>b</nav>c") == [(2, "a"), (2, "b"), (0, "c")]
 
 
+CLASHING = "key payload salt before rank own at visitor fp rep plan prefix node pair held row gram w z zs grams template family kept_id_ label_ rest_ n_removed sequence_id component_id score".split()
+
+
+def edge_rows():
+    """Nulls in each column, empty and very long texts, ties and a repeated row."""
+    rng = random.Random(12)
+    prose = " ".join(rng.choices(PROSE, k=80))
+    texts = [None, "", " \n\t", prose, prose, prose + " end", "MIT License\n" * 3, "é" * 3000, " ".join(rng.choices(PROSE, k=60_000)), "x" * 300_000, "\x00 \x7f", "² ½"]
+    rows = [(i, t, "en" if i % 2 else None, None if i % 3 else "s", len(t or "")) for i, t in enumerate(texts)]
+    return rows + [rows[3], (None, prose, None, None, None)]
+
+
+OPERATORS = {
+    "op2": lambda d: licenses.scanned(d), "op3": lambda d: langid.identified(d, langid.train(d)), "op5": suffix_dedup.dedup_report, "op5 texts": suffix_dedup.deduplicated,
+    "op8": packing.pack, "op9": merkle.edit_report, "op10": simhash.near_duplicates, "op10 texts": simhash.without_near_duplicates,
+    "op6": lambda d: quality.scored(d, quality.train(d, d.select("doc_id", F.lit(1).alias("quality")))), "op7": lambda d: decontam.leaks(d, d.where("doc_id = 3").select(F.col("doc_id").alias("item_id"), "text")),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_edges(spark, name):
+    """Nulls, empty and long texts, ties, a repeated row, clashing columns and an empty table."""
+    run, rows = OPERATORS[name], edge_rows()
+    plain = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    more = plain.select("*", *[F.lit(7).alias(c) for c in CLASHING])
+    want = run(plain)
+    columns = [c for c in want.columns if c != "sequence_id"]
+    got = run(more).select(*columns).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want.select(*columns).collect()))
+    if "texts" not in name and name != "op2":
+        ids = [r.doc_id for r in got]
+        assert None not in ids and ids.count(3) % 2 == 0 and ids.count(3) >= 2  # a repeated row has its results twice
+        assert name == "op7" or set(ids) == {r[0] for r in rows} - {None}
+    assert run(plain.limit(0)).count() == 0 and run(plain.limit(0)).columns == want.columns
+
+
+def test_pipeline_edges(spark, tmp_path):
+    """Each stage over the edge rows, with clashing columns, against what it must keep; and over no rows."""
+    import corpus_pipeline
+
+    rows = edge_rows() + [(100 + i, " ".join(random.Random(i).choices(PROSE, k=50)), "en", "s", 0) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.select("*", *[F.lit(7).alias(c) for c in CLASHING if c != "sequence_id"])
+    sf = str(tmp_path)
+    docs.coalesce(1).write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([(r[0], int(r[0] is None or r[0] >= 100), 0) for r in rows] + [(None, None, None)], "doc_id long, quality int, toxic int").coalesce(1).write.parquet(f"{sf}/labels.parquet")
+    spark.createDataFrame([(1, " ".join(random.Random(3).choices(PROSE, k=50))), (2, None), (None, "a")], "item_id long, text string").coalesce(1).write.parquet(f"{sf}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf)
+        got = out.collect()
+        if name != "best-fit packing":
+            assert out.columns == docs.columns
+            ids = [r.doc_id for r in got]
+            assert name == "quality classifier" or ids.count(3) in (0, 2)
+        if name == "benchmark decontamination":
+            assert 103 not in ids and 104 in ids
+        if name == "SimHash near-dedup":
+            assert 3 in ids and 4 not in ids and None in ids
+        assert stage(spark, docs.limit(0), sf).count() == 0
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
