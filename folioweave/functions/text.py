@@ -2,15 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 #: Python's \b and \s as Java patterns.
 EDGE_L, EDGE_R, SPACE = r"(?<![\p{L}\p{M}\p{N}_])", r"(?![\p{L}\p{M}\p{N}_])", r"(?U)\s+"
+#: Runs of white space that are not one space already.
+_UNEVEN = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2,}|[\t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
+def let(value: Column, body) -> Column:
+    """body(value), with the value evaluated once however often the body reads it.
+
+    The greatest of one item is the item; taking it by its index would derive the nested type anew for every row.
+    """
+    return F.array_max(F.transform(F.array(value), body))
+
+
+def filled(text: Column) -> Column:
+    """The text; null if it is empty."""
+    return let(text, lambda t: F.when(t != "", t))
 
 
 def collapse(text: Column) -> Column:
     """Runs of white space become one space; none at the ends."""
-    return F.trim(F.regexp_replace(text, SPACE, " "))
+    return F.trim(F.regexp_replace(text, _UNEVEN, " "))
 
 
 def ascii_digits(text: Column) -> Column:
@@ -34,12 +49,21 @@ def stamp(text: Column) -> Column:
 
 def group(text: Column, pattern: str, number: int = 1) -> Column:
     """A group of the first match; null where nothing matches or it is empty."""
-    return F.nullif(F.regexp_extract(text, pattern, number), F.lit(""))
+    return filled(F.regexp_extract(text, pattern, number))
 
 
 def first_of(items: Column, what) -> Column:
-    """The first result over an array that is not null."""
-    return F.get(F.filter(F.transform(items, what), lambda v: v.isNotNull()), F.lit(0))
+    """The first text that ``what`` gives over an array and that is not null; later items are not looked at."""
+    return F.aggregate(items, F.lit(None).cast("string"), lambda found, item: F.coalesce(found, what(item)))
+
+
+def spread(df: DataFrame, mb_each: int = 16) -> DataFrame:
+    """df's rows over all cores if its input is too small for that many splits; larger inputs stay as they are.
+
+    For work that is heavy for each row; the size is Spark's own statistic, so no job runs."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * mb_each << 20 else df
 
 
 def preview(text: Column, size: int = 300) -> Column:

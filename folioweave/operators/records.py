@@ -9,7 +9,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import EDGE_L, EDGE_R, ascii_digits, clean, collapse, first_of, group, normal
+from ..functions.text import EDGE_L, EDGE_R, ascii_digits, clean, collapse, filled, first_of, group, let, normal
 
 # Labels, aliases and letters that OCR confuses.
 FATHER = ("father", "fathers name", "father name", "पिता का नाम", "पिता का नाभ", "पिता का नाय", "पिता का नाम :", "पिता का नाम-")
@@ -59,59 +59,61 @@ def row_texts(lines: Column) -> Column:
 
 
 def _stripped(value: Column) -> Column:
-    return F.nullif(F.coalesce(F.nullif(F.ltrim(value, F.lit("0")), F.lit("")), F.when(value.isNotNull(), F.lit("0"))), F.lit(""))
+    return let(value, lambda v: F.coalesce(filled(F.ltrim(v, F.lit("0"))), F.when(v.isNotNull(), F.lit("0"))))
 
 
-def serial_number(texts: Column) -> Column:
-    def one(t):
-        n = normal(t)
+def serial_number(normals: Column) -> Column:
+    """Of texts in their normal form, as epic_number and age take them."""
+
+    def one(n):
         found = F.coalesce(
             group(n, rf"(?:serial|क्रमांक|क्रमांक संख्या|मतदाता क्रमांक){_SEP}([A-Z0-9]{{1,6}})"),
             group(n, rf"{EDGE_L}Q\s*([0-9]{{1,4}}){EDGE_R}"), group(n, rf"^\D{{0,3}}([0-9]{{1,4}}){EDGE_R}"),
         )
         return _stripped(found)
 
-    return first_of(texts, one)
+    return first_of(normals, one)
 
 
 def repaired_epic(token: Column) -> Column:
     """A card number of three letters and seven digits out of a noisy token; null if there is none."""
-    s = F.regexp_replace(F.upper(ascii_digits(token)), "[^A-Z0-9?]", "")
-    n = F.length(s)
-    sizes = F.when(n >= 10, F.sequence(F.least(n, F.lit(12)), F.lit(10), F.lit(-1))).otherwise(F.array().cast("array<int>"))
-    windows = F.flatten(F.transform(sizes, lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda at: F.substr(s, at, k))))
+
+    def windows(s):
+        n = F.length(s)
+        sizes = F.when(n >= 10, F.sequence(F.least(n, F.lit(12)), F.lit(10), F.lit(-1))).otherwise(F.array().cast("array<int>"))
+        return F.flatten(F.transform(sizes, lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda at: F.substr(s, at, k))))
 
     def fit(w):
-        t = F.replace(w, F.lit("?"), F.lit(""))
-        out = F.concat(F.translate(F.substring(t, 1, 3), *LETTERS), F.translate(F.substring(t, 4, 7), *DIGITS))
-        return F.when((F.length(t) >= 10) & out.rlike("^[A-Z]{3}[0-9]{7}$"), out)
+        plain = lambda t: F.when(F.length(t) >= 10, F.concat(F.translate(F.substring(t, 1, 3), *LETTERS), F.translate(F.substring(t, 4, 7), *DIGITS)))
+        return let(let(F.replace(w, F.lit("?"), F.lit("")), plain), lambda out: F.when(out.rlike("^[A-Z]{3}[0-9]{7}$"), out))
 
-    return first_of(windows, fit)
+    return first_of(let(F.regexp_replace(F.upper(ascii_digits(token)), "[^A-Z0-9?]", ""), windows), fit)
 
 
-def epic_number(texts: Column) -> Column:
-    def one(t):
-        n = normal(t)
+def epic_number(normals: Column) -> Column:
+    def one(n):
         exact = group(n, rf"{EDGE_L}([A-Z]{{3}}[0-9]{{7}}){EDGE_R}")
         label = repaired_epic(group(n, rf"(?:epic|photo identity card number|पहचान पत्र संख्या){_SEP}([A-Z0-9?]+)"))
         return F.coalesce(exact, label, first_of(F.regexp_extract_all(n, F.lit("([A-Z0-9?]{8,12})")), repaired_epic))
 
-    return first_of(texts, one)
+    return first_of(normals, one)
 
 
 def field_value(value: Column) -> Column:
     v = F.trim(F.regexp_replace(value, r"(?U)\s+", " "), F.lit(" :-"))
     v = F.trim(v, F.lit(" ?!.,;/"))
     words = "name|age|gender|sex|house no|house number|elector name|photo identity card number|epic"
-    return F.nullif(F.regexp_replace(v, rf"(?i){EDGE_L}(?:{words}){EDGE_R}{_SEP.removesuffix(chr(92) + 's*')}", ""), F.lit(""))
+    return filled(F.regexp_replace(v, rf"(?i){EDGE_L}(?:{words}){EDGE_R}{_SEP.removesuffix(chr(92) + 's*')}", ""))
 
 
 def _any_of(labels) -> str:
-    return "|".join(re.escape(x).replace("\\ ", " ") for x in dict.fromkeys(x.upper() for x in labels))
+    """A pattern for texts that hold one of the labels; those that hold another label need no branch."""
+    upper = dict.fromkeys(x.upper() for x in labels)
+    return "|".join(re.escape(x).replace("\\ ", " ") for x in upper if not any(y != x and y in x for y in upper))
 
 
-def looks_like_label(text: Column) -> Column:
-    return normal(text).rlike(_any_of((*FATHER, *HUSBAND, *NAME, *HOUSE, *AGE, *GENDER)))
+def looks_like_label(normal_text: Column) -> Column:
+    return normal_text.rlike(_any_of((*FATHER, *HUSBAND, *NAME, *HOUSE, *AGE, *GENDER)))
 
 
 def _after(text: Column, label: str) -> Column:
@@ -120,77 +122,88 @@ def _after(text: Column, label: str) -> Column:
 
 
 def prepared(texts: Column) -> Column:
-    """For labelled(): each text with its normal form, whether the next one is a label, and the next one's value."""
-    known = F.transform(texts, lambda t: F.struct(t.alias("t"), normal(t).alias("n"), looks_like_label(t).alias("like"), field_value(t).alias("v")))
-    empty = F.struct(F.lit(None).cast("boolean").alias("like"), F.lit(None).cast("string").alias("v"))
-    later = F.concat(F.slice(F.transform(known, lambda k: F.struct(k["like"].alias("like"), k["v"].alias("v"))), F.lit(2), F.greatest(F.size(texts), F.lit(1))), F.array(empty))
-    return F.zip_with(known, later, lambda k, n: F.struct(k["t"].alias("t"), k["n"].alias("n"), (n["like"] == F.lit(False)).alias("open"), n["v"].alias("below")))
+    """For labelled(): each text with its normal form and value, whether the next one is a label, and the next one's value."""
+    known = F.transform(texts, lambda t: let(normal(t), lambda n: F.struct(t.alias("t"), n.alias("n"), looks_like_label(n).alias("like"), field_value(t).alias("v"))))
+    both = lambda ks: F.transform(ks, lambda k, i: let(F.get(ks, i + 1), lambda n: F.struct(k["t"].alias("t"), k["n"].alias("n"), k["v"].alias("v"), (n["like"] == F.lit(False)).alias("open"), n["v"].alias("below"))))
+    return let(known, both)
 
 
 def labelled(rows: Column, lines: Column, labels) -> Column:
-    """The value after the first label found, in rows and then in lines (both prepared)."""
+    """The value after the first label found, in rows and then in lines (both prepared).
 
-    def one(s):
-        def of(label):
-            found = F.transform(F.array(_after(s["t"], label)), lambda a: F.struct(F.coalesce(a, F.when(s["open"], s["below"])).alias("v"), (a.isNull() & F.coalesce(s["open"], F.lit(False))).alias("end")))
-            return F.when(F.contains(s["n"], F.lit(label.upper())), F.get(found, F.lit(0)))
+    A label with nothing after it takes the next line's value, unless that looks like a label too;
+    then the text's other labels, and later texts, are looked at. One pattern passes over the texts
+    without any label; the labels of the others are tried one by one until one settles the field.
+    """
+    settled = "struct<v:string>"
 
-        return F.get(F.filter(F.array(*map(of, labels)), lambda x: x["v"].isNotNull() | x["end"]), F.lit(0))
+    def one(s):
+        out = F.lit(None).cast(settled)
+        for label in reversed(labels):
+            own = let(_after(s["t"], label), lambda a: F.when(a.isNotNull() | F.coalesce(s["open"], F.lit(False)), F.struct(F.coalesce(a, s["below"]).alias("v"))))
+            out = F.coalesce(F.when(F.contains(s["n"], F.lit(label.upper())), own), out)
+        return F.when(s["n"].rlike(_any_of(labels)), out)
 
-    found = lambda texts: F.filter(F.transform(F.filter(texts, lambda s: s["n"].rlike(_any_of(labels))), one), lambda x: x.isNotNull())
-    return F.get(F.transform(F.slice(F.concat(found(rows), found(lines)), 1, 1), lambda x: x["v"]), F.lit(0))
+    found = F.aggregate(F.concat(rows, lines), F.lit(None).cast(settled), lambda acc, s: F.coalesce(acc, one(s)))
+    return found["v"]
 
 
-def age(texts: Column) -> Column:
-    def one(t):
-        n = normal(t)
+def age(normals: Column) -> Column:
+    def one(n):
         some = F.contains(n, F.lit(AGE[1])) | F.contains(n, F.lit(AGE[2]))
         return F.coalesce(group(n, rf"(?:age|उम्र|आयु){_SEP}([0-9]{{1,3}})"), F.when(some, group(n, rf"{EDGE_L}([1-9][0-9]){EDGE_R}")))
 
-    return first_of(texts, one).cast("int")
+    return first_of(normals, one).cast("int")
 
 
-def gender(texts: Column) -> Column:
+def gender(normals: Column) -> Column:
     def one(t):
-        kinds = F.transform(F.array(normal(t, keep_digits=False)), lambda n: F.when(n.rlike("|".join(MALE)), "male").when(n.rlike("|".join(FEMALE)), "female").when(n.rlike("|".join(OTHER)), "other"))
-        return F.get(kinds, F.lit(0))
+        return let(F.replace(t, F.lit("0"), F.lit("O")), lambda n: F.when(n.rlike("|".join(MALE)), "male").when(n.rlike("|".join(FEMALE)), "female").when(n.rlike("|".join(OTHER)), "other"))
+
+    return first_of(normals, one)
 
-    return first_of(texts, one)
 
+def name_fallback(values: Column, relation_name: Column) -> Column:
+    """The first of the texts' values (field_value) that may be a name."""
 
-def name_fallback(texts: Column, relation_name: Column) -> Column:
     def one(v):
-        short_number = normal(v).rlike(rf"{EDGE_L}[0-9]{{1,4}}{EDGE_R}") & (F.size(F.split(collapse(v), " ")) <= 2)
-        bad = F.coalesce(v == relation_name, F.lit(False)) | normal(v).rlike("|".join(BANNED)) | short_number | looks_like_label(v) | (F.char_length(v) <= 2)
-        return F.when(~bad & repaired_epic(v).isNull(), v)
+        def bad(n):
+            short_number = n.rlike(rf"{EDGE_L}[0-9]{{1,4}}{EDGE_R}") & (F.size(F.split(collapse(v), " ")) <= 2)
+            return F.coalesce(v == relation_name, F.lit(False)) | n.rlike("|".join(BANNED)) | short_number | looks_like_label(n) | (F.char_length(v) <= 2)
+
+        return F.when(v.isNotNull() & ~let(normal(v), bad) & repaired_epic(v).isNull(), v)
 
-    return first_of(F.filter(F.transform(texts, field_value), lambda v: v.isNotNull()), one)
+    return first_of(values, one)
 
 
 def records(df: DataFrame, lines: str = "lines") -> DataFrame:
     """df with the fields of a record parsed from its array of lines."""
     ordered = df.withColumn("lines_", sorted_lines(F.col(lines))).withColumn("low_", line_texts(F.col("lines_"))).withColumn("rows_", row_texts(F.col("lines_")))
-    both = F.concat("rows_", "low_")
+    normals = F.col("normals_")
     some = F.when(F.size("rows_") > 0, F.col("rows_")).otherwise(F.col("low_"))
     r, l = F.col("rows_p_"), F.col("low_p_")
     out = ordered.withColumn("rows_p_", prepared(F.col("rows_"))).withColumn("low_p_", prepared(F.col("low_")))
+    out = out.withColumn("normals_", F.transform(F.concat("rows_p_", "low_p_"), lambda s: s["n"]))
     out = out.withColumns({"father_": labelled(r, l, FATHER), "husband_": labelled(r, l, HUSBAND), "name_": labelled(r, l, NAME), "house_number": labelled(r, l, HOUSE)})
     return out.select(
         *df.columns,
-        serial_number(both).alias("serial_number"), epic_number(both).alias("epic_number"),
-        F.coalesce("name_", name_fallback(some, F.coalesce("father_", "husband_"))).alias("elector_name"),
+        serial_number(normals).alias("serial_number"), epic_number(normals).alias("epic_number"),
+        F.coalesce("name_", name_fallback(F.transform(F.when(F.size("rows_") > 0, F.col("rows_p_")).otherwise(F.col("low_p_")), lambda s: s["v"]), F.coalesce("father_", "husband_"))).alias("elector_name"),
         F.when(F.col("father_").isNotNull(), "father").when(F.col("husband_").isNotNull(), "husband").alias("relation_type"),
         F.coalesce("father_", "husband_").alias("relation_name"),
-        "house_number", age(both).alias("age"), gender(both).alias("gender"), F.nullif(F.array_join(some, "\n"), F.lit("")).alias("raw_text"),
+        "house_number", age(normals).alias("age"), gender(normals).alias("gender"), filled(F.array_join(some, "\n")).alias("raw_text"),
     )
 
 
-def field_confidence(value: Column, lines: Column) -> Column:
-    """Greatest confidence of a line that holds the value, or that the value holds."""
+def sought(lines: Column) -> Column:
+    """For field_confidence(): the lines' texts in upper case, with their confidence."""
+    return F.transform(lines, lambda l: F.struct(F.upper(collapse(l["text"])).alias("t"), l["confidence"].alias("c")))
+
+
+def field_confidence(value: Column, own: Column) -> Column:
+    """Greatest confidence of a line (sought) that holds the value, or that the value holds."""
     v = F.upper(collapse(value.cast("string")))
-    own = F.transform(lines, lambda l: F.struct(F.upper(collapse(l["text"])).alias("t"), l["confidence"].alias("c")))
-    best = F.transform(F.array(F.nullif(v, F.lit(""))), lambda t: F.array_max(F.transform(F.filter(own, lambda l: F.contains(l["t"], t) | F.contains(t, l["t"])), lambda l: l["c"])))
-    return F.get(best, F.lit(0))
+    return let(filled(v), lambda t: F.array_max(F.transform(F.filter(own, lambda l: F.contains(l["t"], t) | F.contains(t, l["t"])), lambda l: l["c"])))
 
 
 def reports(df: DataFrame, threshold: float = 0.8, lines: str = "lines") -> DataFrame:
@@ -199,7 +212,7 @@ def reports(df: DataFrame, threshold: float = 0.8, lines: str = "lines") -> Data
     blank = lambda n: c(n).isNull() | (collapse(c(n)) == "")
     fields = ("epic_number", "age", "gender", "house_number", "relation_type", "relation_name")
     columns = df.columns
-    df = df.withColumns({f"conf_{n}_": field_confidence(c(n), c(lines)) for n in fields})
+    df = df.withColumn("sought_", sought(c(lines))).withColumns({f"conf_{n}_": field_confidence(c(n), c("sought_")) for n in fields})
     conf = {n: c(f"conf_{n}_") for n in fields}
 
     def issue(name, code, message, when, confidence=None):

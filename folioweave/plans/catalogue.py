@@ -174,7 +174,7 @@ def x10_repair(spark, d):
 @query("SELECT p_partkey AS k, CASE WHEN p_partkey % 2 = 0 THEN p_name END AS elector_name FROM part")
 def x18_name(spark, d):
     texts = F.array(F.lit("Age 34"), F.lit("AB"), F.lit("लिंग: x"), F.when(F.col("p_partkey") % 2 == 0, F.col("p_name")).otherwise("Ab 12"))
-    return X.table(spark, d, "part").select(F.col("p_partkey").alias("k"), R.name_fallback(texts, F.lit("zz")).alias("elector_name"))
+    return X.table(spark, d, "part").select(F.col("p_partkey").alias("k"), R.name_fallback(F.transform(texts, R.field_value), F.lit("zz")).alias("elector_name"))
 
 
 # ---- validation
@@ -187,8 +187,8 @@ _CONFS = "SELECT r.k, " + ", ".join(_CONF.format(f=f"r.{n}", a=f"c_{n}").removep
 
 @query(f"SELECT k, round(c_epic_number, 4) AS epic_number, round(c_age, 4) AS age, round(c_house_number, 4) AS house_number, round(c_relation_name, 4) AS relation_name FROM ({_CONFS})")
 def v8_confidence(spark, d):
-    r = _records(spark, d)
-    return r.select("k", *[F.round(R.field_confidence(F.col(n), F.col("lines")), 4).alias(n) for n in ("epic_number", "age", "house_number", "relation_name")])
+    r = _records(spark, d).withColumn("sought", R.sought(F.col("lines")))
+    return r.select("k", *[F.round(R.field_confidence(F.col(n), F.col("sought")), 4).alias(n) for n in ("epic_number", "age", "house_number", "relation_name")])
 
 
 _ISSUES = {

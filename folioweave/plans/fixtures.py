@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.text import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -24,7 +26,7 @@ def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """k, page, entry_index, lines: one card per customer; a narrow projection."""
     lines = [F.struct(F.expr(text).alias("text"), (0.6 + (F.col("c_custkey") + i) % 40 / 100.0).alias("confidence"), F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y"), F.lit(20.0).alias("height")) for i, (text, x, y) in enumerate(CARD_LINES)]
     k = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(k.alias("k"), F.floor(k / 30 + 1).cast("int").alias("page"), (k % 30 + 1).cast("int").alias("entry_index"), F.array(*lines).alias("lines"))
+    return spread(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")).select(k.alias("k"), F.floor(k / 30 + 1).cast("int").alias("page"), (k % 30 + 1).cast("int").alias("entry_index"), F.array(*lines).alias("lines"))
 
 
 LINES_SQL = " UNION ALL ".join(f"SELECT c_custkey AS k, {i} AS pos, {text} AS text, 0.6 + (c_custkey + {i}) % 40 / 100.0::DOUBLE AS confidence FROM customer" for i, (text, _, _) in enumerate(CARD_LINES))
