@@ -116,9 +116,19 @@ def looks_like_label(normal_text: Column) -> Column:
     return normal_text.rlike(_any_of((*FATHER, *HUSBAND, *NAME, *HOUSE, *AGE, *GENDER)))
 
 
-def _after(text: Column, label: str) -> Column:
-    own = re.escape(label).replace("\\ ", " ")
-    return field_value(F.coalesce(group(text, rf"(?iu){own}(?:\s*[:\-–—]\s*|\s+)(.+)$"), group(text, rf"(?iu){own}\s*(.+)$")))
+def _patterns(labels) -> Column:
+    """array<struct<label, spaced, joined>>: each label in upper case, and the patterns of what follows it, as data."""
+    text = lambda t: "r'" + t.replace("'", "[\u0027]") + "'"
+    rows = []
+    for label in labels:
+        own = re.escape(label).replace("\\ ", " ")
+        rows.append(f"named_struct('label', {text(label.upper())}, 'spaced', {text(rf'(?iu){own}(?:\s*[:\-–—]\s*|\s+)(.+)$')}, 'joined', {text(rf'(?iu){own}\s*(.+)$')})")
+    return F.expr(f"array({', '.join(rows)})")
+
+
+def _after(text: Column, label: Column) -> Column:
+    got = lambda p: filled(F.call_function("regexp_extract", text, p, F.lit(1)))
+    return field_value(F.coalesce(got(label["spaced"]), got(label["joined"])))
 
 
 def prepared(texts: Column) -> Column:
@@ -135,16 +145,14 @@ def labelled(rows: Column, lines: Column, labels) -> Column:
     then the text's other labels, and later texts, are looked at. One pattern passes over the texts
     without any label; the labels of the others are tried one by one until one settles the field.
     """
-    settled = "struct<v:string>"
+    none = F.lit(None).cast("struct<v:string>")
 
     def one(s):
-        out = F.lit(None).cast(settled)
-        for label in reversed(labels):
-            own = let(_after(s["t"], label), lambda a: F.when(a.isNotNull() | F.coalesce(s["open"], F.lit(False)), F.struct(F.coalesce(a, s["below"]).alias("v"))))
-            out = F.coalesce(F.when(F.contains(s["n"], F.lit(label.upper())), own), out)
-        return F.when(s["n"].rlike(_any_of(labels)), out)
+        held = F.filter(_patterns(labels), lambda l: F.contains(s["n"], l["label"]))
+        own = lambda l: let(_after(s["t"], l), lambda a: F.when(a.isNotNull() | F.coalesce(s["open"], F.lit(False)), F.struct(F.coalesce(a, s["below"]).alias("v"))))
+        return F.when(s["n"].rlike(_any_of(labels)), F.aggregate(held, none, lambda acc, l: F.coalesce(acc, own(l))))
 
-    found = F.aggregate(F.concat(rows, lines), F.lit(None).cast(settled), lambda acc, s: F.coalesce(acc, one(s)))
+    found = F.aggregate(F.concat(rows, lines), none, lambda acc, s: F.coalesce(acc, one(s)))
     return found["v"]
 
 
