@@ -72,9 +72,9 @@ def grids(clean: DataFrame, image: str = "clean") -> DataFrame:
     return found.withColumnRenamed("boxes_", "entries")
 
 
-def crops(pages: DataFrame, image: str = "png", least: int = 40) -> DataFrame:
+def crops(pages: DataFrame, image: str = "png", least_width: int = 40, least_height: int = 40) -> DataFrame:
     """page, entry_index (from 1; dropped boxes leave gaps), name, png: the cells cut out of the raw pages."""
-    box = F.transform("entries", lambda r, i: F.struct((i + 1).cast("int").alias("entry_index"), G.clamped(r, F.col("width"), F.col("height"), least).alias("r")))
+    box = F.transform("entries", lambda r, i: F.struct((i + 1).cast("int").alias("entry_index"), G.clamped(r, F.col("width"), F.col("height"), least_width, least_height).alias("r")))
     held = pages.select("page", F.col(image).alias("png"), F.filter(box, lambda b: b["r"].isNotNull()).alias("cut_"))
 
     def run(batches):
@@ -96,7 +96,8 @@ def crops(pages: DataFrame, image: str = "png", least: int = 40) -> DataFrame:
 
 def _texts(answer) -> list[str]:
     """The texts of an engine's nested answer."""
-    return [str(line[1][0]) for page in answer or [] for line in page or [] if isinstance(line, list | tuple) and len(line) > 1 and isinstance(line[1], list | tuple) and len(line[1]) > 1]
+    found = [str(line[1][0]) for page in answer or [] for line in page or [] if isinstance(line, list | tuple) and len(line) > 1 and isinstance(line[1], list | tuple) and len(line[1]) > 1]
+    return [t for t in (" ".join(x.split()) for x in found) if t]  # white space collapsed, blank lines dropped
 
 
 def _measured(engine: Callable, seconds: float):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import or_
 
@@ -69,9 +70,23 @@ def retryable(message: Column) -> Column:
     return reduce(or_, [F.contains(low, F.lit(m)) for m in RETRYABLE])
 
 
+_HINT = re.compile(r"try again in\s*(\d+(?:\.\d+)?)s", re.I)
+
+
+def wait_seconds(message: str, attempt: int) -> float:
+    """The time a provider names and half a second more, at least one; else doubling from one to thirty."""
+    hint = _HINT.search(message)
+    return max(float(hint[1]) + 0.5, 1.0) if hint else float(min(2 ** min(max(attempt - 1, 0), 5), 30))
+
+
 def retry_delay(message: Column, attempt: Column) -> Column:
-    hint = group(message, r"(?i)try again in\s*([0-9]+(?:\.[0-9]+)?)s").cast("double")
-    return F.when(hint.isNotNull(), F.greatest(hint + 0.5, F.lit(1.0))).otherwise(F.least(F.pow(F.lit(2.0), F.greatest(attempt - 1, F.lit(0))), F.lit(30.0)))
+    """wait_seconds() of columns (an Arrow-batched function)."""
+
+    @F.pandas_udf("double")
+    def delay(messages: pd.Series, attempts: pd.Series) -> pd.Series:
+        return pd.Series([wait_seconds(m or "", int(n)) for m, n in zip(messages, attempts)], dtype=float)
+
+    return delay(message, attempt)
 
 
 def carved_json(text: Column) -> Column:

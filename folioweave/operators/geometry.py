@@ -75,28 +75,8 @@ def in_rows(rects: Column) -> Column:
     return F.transform(F.array_sort(F.aggregate(by_place(rects), start, step)["out"]), lambda k: k["r"])
 
 
-def clamped(r: Column, width: Column, height: Column, least: int = 40) -> Column:
-    """A box cut to its page; null if it starts outside or is too small."""
+def clamped(r: Column, width: Column, height: Column, least_width: int = 40, least_height: int = 40) -> Column:
+    """A box cut to its page; null if it starts outside or is too narrow or too low."""
     x, y = F.greatest(r["x"], F.lit(0)), F.greatest(r["y"], F.lit(0))
     w, h = F.least(r["width"], width - x), F.least(r["height"], height - y)
-    return F.when((x < width) & (y < height) & (w >= least) & (h >= least), F.struct(x.alias("x"), y.alias("y"), w.alias("width"), h.alias("height")))
-
-
-def banded(rects: Column, height: Column) -> Column:
-    """Boxes joined to the first band whose mean centre is near; bands of two or more add their hull."""
-    near = F.greatest(F.lit(24), (height * F.lit(0.08)).cast("int"))
-    mid = lambda r: r["y"] + r["height"] / 2.0
-    mean = lambda g: F.aggregate(g, F.lit(0.0), lambda a, r: a + mid(r)) / F.size(g)
-    order = F.transform(F.array_sort(F.transform(rects, lambda r: F.struct(r["y"].alias("y"), r["x"].alias("x"), r.alias("r")))), lambda k: k["r"])
-
-    def step(groups, r):
-        hit = F.array_position(F.transform(groups, lambda g: F.abs(mid(r) - mean(g)) <= near), True).cast("int")
-        return F.when(hit == 0, F.array_append(groups, F.array(r))).otherwise(F.transform(groups, lambda g, i: F.when(i == hit - 1, F.array_append(g, r)).otherwise(g)))
-
-    def hull(g):
-        x, y = F.array_min(F.transform(g, lambda r: r["x"])), F.array_min(F.transform(g, lambda r: r["y"]))
-        right, low = F.array_max(F.transform(g, lambda r: r["x"] + r["width"])), F.array_max(F.transform(g, lambda r: r["y"] + r["height"]))
-        return F.struct(x.alias("x"), y.alias("y"), (right - x).alias("width"), (low - y).alias("height"))
-
-    groups = F.aggregate(order, F.lit([]).cast(f"array<{RECTS}>"), step)
-    return F.array_distinct(F.flatten(F.transform(groups, lambda g: F.when(F.size(g) > 1, F.array_append(g, hull(g))).otherwise(g))))
+    return F.when((x < width) & (y < height) & (w >= least_width) & (h >= least_height), F.struct(x.alias("x"), y.alias("y"), w.alias("width"), h.alias("height")))

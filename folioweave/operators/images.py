@@ -24,9 +24,19 @@ def _windows(image: np.ndarray, k: int, mode: str = "edge") -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(np.pad(image, k // 2, mode=mode), (k, k))
 
 
+#: Rows of a page that are worked on at a time.
+BAND = 256
+
+
 def median_blur(image: np.ndarray, k: int = 3) -> np.ndarray:
     k = max(1, k) + (max(1, k) % 2 == 0)
-    return np.median(_windows(image, k), axis=(2, 3)).astype(np.uint8)
+    big, out = np.pad(image, k // 2, mode="edge"), np.empty_like(image)
+    h, w = image.shape
+    for y in range(0, h, BAND):
+        n = min(BAND, h - y)
+        shifted = np.stack([big[y + a : y + a + n, b : b + w] for a in range(k) for b in range(k)])
+        out[y : y + n] = np.partition(shifted, k * k // 2, axis=0)[k * k // 2]
+    return out
 
 
 def _gauss(k: int) -> np.ndarray:
@@ -177,19 +187,63 @@ def cells(mask: np.ndarray) -> list[tuple[int, int, int, int]]:
     return [c[:4] for c in components(mask)] + [(x - 1, y - 1, w + 2, h + 2) for x, y, w, h, _ in holes]
 
 
+def _cubic(f: np.ndarray) -> list[np.ndarray]:
+    """Weights of the four pixels around a place, ``f`` beyond the second (a = -0.75)."""
+    a = np.float32(-0.75)
+    far = lambda d: ((a * d - 5 * a) * d + 8 * a) * d - 4 * a
+    near = lambda d: ((a + 2) * d - (a + 3)) * d * d + 1
+    return [far(f + 1), near(f), near(1 - f), far(2 - f)]
+
+
 def rotated(image: np.ndarray, degrees: float, fill: int = 255) -> np.ndarray:
-    """About the centre, counter-clockwise, linear between pixels."""
+    """About the centre, counter-clockwise, cubic between pixels; a band of rows at a time."""
     h, w = image.shape
     t = np.deg2rad(degrees)
-    y, x = np.mgrid[:h, :w].astype(np.float64)
-    dx, dy = x - w / 2, y - h / 2
-    sx, sy = dx * np.cos(t) - dy * np.sin(t) + w / 2, dx * np.sin(t) + dy * np.cos(t) + h / 2
-    x0, y0 = np.floor(sx).astype(int), np.floor(sy).astype(int)
-    fx, fy = sx - x0, sy - y0
-    big = np.pad(image.astype(np.float64), 1, constant_values=fill)
-    at = lambda a, b: big[np.clip(a + 1, 0, h + 1), np.clip(b + 1, 0, w + 1)]
-    out = (at(y0, x0) * (1 - fx) + at(y0, x0 + 1) * fx) * (1 - fy) + (at(y0 + 1, x0) * (1 - fx) + at(y0 + 1, x0 + 1) * fx) * fy
-    return np.clip(np.rint(out), 0, 255).astype(np.uint8)
+    c, s = np.cos(t), np.sin(t)
+    big, out = np.pad(image, 2, constant_values=fill), np.empty_like(image)
+    dx = np.arange(w) - w / 2
+    for top in range(0, h, BAND):
+        dy = (np.arange(top, min(h, top + BAND)) - h / 2)[:, None]
+        sx, sy = dx * c - dy * s + w / 2, dx * s + dy * c + h / 2
+        x0, y0 = np.floor(sx).astype(np.int32), np.floor(sy).astype(np.int32)
+        across, down = _cubic((sx - x0).astype(np.float32)), _cubic((sy - y0).astype(np.float32))
+        total = np.zeros(sx.shape, np.float32)
+        for i in range(4):
+            rows = np.clip(y0 + i + 1, 0, h + 3)
+            line = sum(across[j] * big[rows, np.clip(x0 + j + 1, 0, w + 3)] for j in range(4))
+            total += down[i] * line
+        out[top : top + BAND] = np.clip(np.rint(total), 0, 255)
+    return out
+
+
+def denoised(image: np.ndarray, strength: float = 7.0, patch: int = 7, search: int = 21) -> np.ndarray:
+    """Non-local means of a grey image: each pixel becomes the mean of those near it, weighted by how alike
+    the patches around them are. Patch distances come from running sums, one shift at a time."""
+    r, p, (h, w) = search // 2, patch // 2, image.shape
+    big = np.pad(image, r + p, mode="reflect" if min(h, w) > r + p else "edge").astype(np.int32)
+    own = big[r : r + h + 2 * p, r : r + w + 2 * p]
+    weights, total = np.zeros((h, w), np.float32), np.zeros((h, w), np.float32)
+    for dy in range(2 * r + 1):
+        for dx in range(2 * r + 1):
+            other = big[dy : dy + h + 2 * p, dx : dx + w + 2 * p]
+            far = own - other
+            far *= far
+            for axis in (0, 1):
+                far = np.cumsum(far, axis, dtype=np.int64 if far.shape[1] > 4000 else np.int32)
+                head, tail = (slice(patch - 1, None), slice(None, -patch)) if axis == 0 else ((slice(None), slice(patch - 1, None)), (slice(None), slice(None, -patch)))
+                ends, before = far[head].copy(), far[tail]
+                (ends[1:] if axis == 0 else ends[:, 1:])[...] -= before
+                far = ends
+            weight = np.exp(far.astype(np.float32) * np.float32(-1 / (patch * strength) ** 2))
+            weights += weight
+            total += weight * other[p : p + h, p : p + w]
+    return np.clip(np.rint(total / weights), 0, 255).astype(np.uint8)
+
+
+def for_reading(image: np.ndarray) -> np.ndarray:
+    """What a recognition engine is given: grey, and without noise unless it has few levels already."""
+    g = gray(image)
+    return g if few_levels(g) else denoised(g)
 
 
 def few_levels(image: np.ndarray, most: int = 4) -> bool:

@@ -63,12 +63,7 @@ def chat_client(url: str, key: str, timeout: float = 120, temperature: float = 0
 
 def _wait(message: str, attempt: int) -> float | None:
     """Seconds before another try; None if the failure is not worth one."""
-    import re
-
-    if not any(m in message.lower() for m in D.RETRYABLE):
-        return None
-    hint = re.search(r"try again in\s*(\d+(?:\.\d+)?)s", message, re.I)
-    return max(float(hint[1]) + 0.5, 1.0) if hint else float(min(2 ** max(attempt - 1, 0), 30))
+    return D.wait_seconds(message, attempt) if any(m in message.lower() for m in D.RETRYABLE) else None
 
 
 def ask(df: DataFrame, want: Column, client: Callable, model: str, prompt: str, out: str, tries: int = 3, image: str = "png", patience: float = 1.0) -> DataFrame:

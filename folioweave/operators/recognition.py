@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions import png
+from . import images
+
 
 def _items(json: Column) -> Column:
     """A JSON list's items as JSON texts (strings bare); null if it is no list."""
@@ -31,11 +34,12 @@ def lines(raw: Column, language: str) -> Column:
     return F.transform(good, lambda l: F.struct(l["content"][0].alias("text"), l["content"][1].cast("double").alias("confidence"), F.lit(language).alias("language"), points(l["box"]).alias("bounding_box")))
 
 
-def recognized(crops: DataFrame, engine: Callable[[], Callable[[bytes], object]], language: str = "hi", image: str = "png") -> DataFrame:
+def recognized(crops: DataFrame, engine: Callable[[], Callable[[bytes], object]], language: str = "hi", image: str = "png", prepare: bool = True) -> DataFrame:
     """Adds ocr (lines) and ocr_error to crops.
 
     ``engine`` makes a function from an image's bytes to a nested answer; it is called once per
-    task, and an error of it, or of one image, becomes that row's ocr_error.
+    task, and an error of it, or of one image, becomes that row's ocr_error. With ``prepare`` the
+    engine sees a grey copy without noise (few-levelled images as they are); what is no PNG goes to it untouched.
     """
 
     def run(batches):
@@ -48,13 +52,16 @@ def recognized(crops: DataFrame, engine: Callable[[], Callable[[bytes], object]]
             read = engine()
         except Exception as e:  # noqa: BLE001 - every row reports it
             broken = f"{type(e).__name__}: {e}"
+        def seen(data: bytes) -> bytes:
+            return png.encode(images.for_reading(png.decode(data))) if prepare and data.startswith(b"\x89PNG") else data
+
         for batch in batches:
             answers, errors = [], []
             for data in batch.column(batch.schema.get_field_index(image)).to_pylist():
                 answer, error = None, broken
                 if read is not None and data is not None:
                     try:
-                        answer = json.dumps(read(data) or [], ensure_ascii=False, default=float)
+                        answer = json.dumps(read(seen(data)) or [], ensure_ascii=False, default=float)
                     except Exception as e:  # noqa: BLE001 - one image must not end the task
                         error = f"{type(e).__name__}: {e}"
                 answers.append(answer)

@@ -27,6 +27,17 @@ DIGITS = ("ABDEGILOQSTUZ", "4805611005702")
 _SEP = r"\s*[:\-–—]?\s*"
 
 
+def placed(ocr: Column) -> Column:
+    """Recognised lines (text, confidence, bounding_box) as lines of a card; a line without a box lies at the top left."""
+
+    def one(l):
+        at = lambda side, best: F.coalesce(best(F.transform(l["bounding_box"], lambda p: p[side])), F.lit(0.0))
+        top = at("y", F.array_min)
+        return F.struct(l["text"].alias("text"), l["confidence"].alias("confidence"), at("x", F.array_min).alias("x"), top.alias("y"), (at("y", F.array_max) - top).alias("height"))
+
+    return F.transform(ocr, one)
+
+
 def sorted_lines(lines: Column) -> Column:
     """By y, then x; equal places keep their order."""
     key = F.transform(lines, lambda l, i: F.struct(l["y"].alias("y"), l["x"].alias("x"), i.alias("i"), l.alias("l")))

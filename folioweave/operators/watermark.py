@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 from . import images as I
@@ -36,23 +37,38 @@ def plausible(box: tuple[int, int, int, int], w: int, h: int) -> bool:
 
 
 def bands(boxes: list[tuple[int, int, int, int]], height: int) -> list[tuple[int, int, int, int]]:
-    """Boxes, and the bounds of those on a level: each joins the first band whose mean centre is near."""
-    reach, found = max(24, int(height * 0.08)), []
-    for box in sorted(boxes, key=lambda b: (b[1], b[0])):
-        middle = box[1] + box[3] / 2
-        home = next((b for b in found if abs(middle - sum(y + bh / 2 for _, y, _, bh in b) / len(b)) <= reach), None)
-        if home is None:
-            found.append([box])
-        else:
-            home.append(box)
-    out: dict[tuple[int, int, int, int], None] = {}
-    for band in found:
-        out.update(dict.fromkeys(band))
-        if len(band) > 1:
-            a = np.array(band)
-            low, high = a[:, :2].min(0), (a[:, :2] + a[:, 2:]).max(0)
-            out[(*low.tolist(), *(high - low).tolist())] = None
-    return list(out)
+    """Boxes, and the bounds of those on a level: each joins the first band whose mean centre is near.
+
+    A band is kept as the sum of its boxes' centres and their number, so a box is held against all bands at once.
+    """
+    given = np.array(sorted(boxes, key=lambda b: (b[1], b[0])), np.int64).reshape(-1, 4)
+    middles = given[:, 1] + given[:, 3] / 2
+    sums, sizes, level = np.zeros(len(given)), np.zeros(len(given)), np.zeros(len(given), np.int64)
+    used = 0
+    for i, middle in enumerate(middles):
+        near = np.flatnonzero(np.abs(sums[:used] / np.maximum(sizes[:used], 1) - middle) <= max(24, int(height * 0.08)))
+        level[i] = near[0] if len(near) else used
+        used = max(used, int(level[i]) + 1)
+        sums[level[i]] += middle
+        sizes[level[i]] += 1
+    out: list[tuple[int, int, int, int]] = []
+    for k in range(used):
+        own = given[level == k]
+        corner, far = own[:, :2].min(0), (own[:, :2] + own[:, 2:]).max(0)
+        hull = np.r_[corner, far - corner][None]
+        out += map(tuple, (own if len(own) == 1 else np.concatenate([own, hull])).tolist())
+    return list(dict.fromkeys(out))
+
+
+def banded(rects: Column, height: int) -> Column:
+    """bands() of arrays of struct<x,y,width,height> (an Arrow-batched function)."""
+    names = ("x", "y", "width", "height")
+
+    @F.pandas_udf("array<struct<x:int,y:int,width:int,height:int>>")
+    def grouped(batch: pd.Series) -> pd.Series:
+        return batch.map(lambda rs: [dict(zip(names, b)) for b in bands([tuple(int(r[n]) for n in names) for r in rs], height)])
+
+    return grouped(rects)
 
 
 def letters(mask: np.ndarray, box: tuple[int, int, int, int]) -> int:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -35,10 +36,12 @@ def s3_normalize_name(spark, d):
 def s4_page_prune(spark, d):
     from pyspark.sql import Window
 
+    from ..sources.pages import inner_pages
+
     w = Window.partitionBy("roll")
     p = X.table(spark, d, "orders").select(F.col("o_custkey").alias("roll"), "o_orderkey")
     p = p.select("roll", F.row_number().over(w.orderBy("o_orderkey")).cast("long").alias("source_page"), F.count(F.lit(1)).over(w).alias("n"))
-    return p.where("n > 3 and source_page between 3 and n - 1").select("roll", "source_page", (F.col("source_page") - 2).alias("page"))
+    return inner_pages(p, F.col("n")).select("roll", "source_page", "page")
 
 
 @query(f"SELECT o_orderkey AS k, CAST(regexp_extract(c, '(?i)page_([0-9]+)_entry_([0-9]+)\\.png$', 1) AS INT) AS page, CAST(regexp_extract(c, '(?i)page_([0-9]+)_entry_([0-9]+)\\.png$', 2) AS INT) AS entry_index FROM (SELECT o_orderkey, {X.CROP} AS c FROM orders)")
@@ -51,8 +54,9 @@ def s7_crop_key(spark, d):
 
 @query("SELECT key AS header, min(event_id) AS first_row FROM (SELECT event_id, unnest(json_keys(props)) AS key FROM events) WHERE key <> 'raw_text' GROUP BY key")
 def k4_headers(spark, d):
-    keys = X.table(spark, d, "events").select("event_id", F.posexplode(F.json_object_keys("props")).alias("at", "header"))
-    return keys.where("header <> 'raw_text'").groupBy("header").agg(F.min("event_id").alias("first_row"))
+    from ..sinks.spreadsheet import headers
+
+    return headers(X.table(spark, d, "events"), "event_id", "props").select("header", "first_row")
 
 
 # ---- rectangles
@@ -86,24 +90,50 @@ def g11_outliers(spark, d):
     return _flat(X.page_rectangles(spark, d), G.without_outliers(F.col("rects")))
 
 
-@query()
+def _listed(order: str) -> str:
+    return f"SELECT page, list({{'x': x, 'y': y, 'width': width, 'height': height}} ORDER BY {order}) AS rects, median(height) AS mid FROM ({X.RECTS_SQL}) GROUP BY page"
+
+
+def _folded(order: str, first: str, step: str, then: str = "a") -> str:
+    """SQL that folds a page's rectangles: ``first`` makes a list of one of a rectangle r, ``step`` joins such a list b to what there is, a."""
+    fold = f"SELECT page, list_reduce(list_transform(rects, lambda r: {first}), lambda a, b: {step}) AS a FROM (SELECT page, rects, greatest(10, floor(floor(mid) / 2)) AS near FROM ({_listed(order)}))"
+    return f"SELECT page, i::INT AS entry_index, a[i].x AS x, a[i].y AS y, a[i].width AS width, a[i].height AS height FROM (SELECT page, a, unnest(range(1, len(a) + 1)) AS i FROM (SELECT page, {then} AS a FROM ({fold})))"
+
+
+_PLACE = "y, x, -width * height, width, height"
+_ROW = "{{'row': {row}, 'x': {r}.x, 'y': {r}.y, 'width': {r}.width, 'height': {r}.height, 'start': {start}}}"
+_NEAR = "abs(b[1].y - a[-1].start) <= near"
+
+
+@query(_folded(_PLACE, "[" + _ROW.format(row=1, r="r", start="r.y") + "]", "a || [" + _ROW.format(row=f"CASE WHEN {_NEAR} THEN a[-1].row ELSE a[-1].row + 1 END", r="b[1]", start=f"CASE WHEN {_NEAR} THEN a[-1].start ELSE b[1].y END") + "]", "list_transform(list_sort(a), lambda r: {'x': r.x, 'y': r.y, 'width': r.width, 'height': r.height})"))
 def g12_row_sort(spark, d):
     return _flat(X.page_rectangles(spark, d), G.in_rows(F.col("rects")))
 
 
-@query()
+@query(_folded("line, x, y, width, height", "[r]", "CASE WHEN len(list_filter(a, lambda k: abs(k.x - b[1].x) <= 4 AND abs(k.y - b[1].y) <= 4 AND abs(k.width - b[1].width) <= 6 AND abs(k.height - b[1].height) <= 6)) > 0 THEN a ELSE a || b END"))
 def g7_near_dup(spark, d):
     return _flat(X.page_rectangles(spark, d), G.without_similar(F.col("rects")))
 
 
-@query()
+_W2, _H2 = "(least(k.x + k.width, b[1].x + b[1].width) - greatest(k.x, b[1].x))", "(least(k.y + k.height, b[1].y + b[1].height) - greatest(k.y, b[1].y))"
+_COVERS = f"({_W2} > 0 AND {_H2} > 0 AND {_W2} * {_H2} >= 0.9 * (k.width * k.height + b[1].width * b[1].height - {_W2} * {_H2}))"
+
+
+@query(_folded(_PLACE, "[r]", f"CASE WHEN len(list_filter(a, lambda k: {_COVERS})) = 0 THEN a || b ELSE list_transform(a, lambda k, i: CASE WHEN i = list_position(list_transform(a, lambda k: {_COVERS}), true) AND b[1].width * b[1].height > k.width * k.height THEN b[1] ELSE k END) END"))
 def g8_iou_dedup(spark, d):
     return _flat(X.page_rectangles(spark, d), G.without_overlaps(F.col("rects")))
 
 
-@query()
+_MEAN = "list_sum(list_transform(g, lambda r: r.y + r.height / 2)) / len(g)"
+_LEVEL = f"list_position(list_transform(a, lambda g: abs(b[1][1].y + b[1][1].height / 2 - {_MEAN}) <= 96), true)"
+_HULL = "{'x': list_min(list_transform(g, lambda r: r.x)), 'y': list_min(list_transform(g, lambda r: r.y)), 'width': list_max(list_transform(g, lambda r: r.x + r.width)) - list_min(list_transform(g, lambda r: r.x)), 'height': list_max(list_transform(g, lambda r: r.y + r.height)) - list_min(list_transform(g, lambda r: r.y))}"
+
+
+@query(_folded("y, x, line, width, height", "[[r]]", f"CASE WHEN coalesce({_LEVEL}, 0) = 0 THEN a || b ELSE list_transform(a, lambda g, i: CASE WHEN i = {_LEVEL} THEN g || b[1] ELSE g END) END", f"list_reduce(list_transform(flatten(list_transform(a, lambda g: CASE WHEN len(g) > 1 THEN g || [{_HULL}] ELSE g END)), lambda r: [r]), lambda a, b: CASE WHEN list_contains(a, b[1]) THEN a ELSE a || b END)"))
 def d14_group_boxes(spark, d):
-    return _flat(X.page_rectangles(spark, d), G.banded(F.col("rects"), F.lit(1200)))
+    from ..operators.watermark import banded
+
+    return _flat(X.page_rectangles(spark, d).withColumn("rects", banded(F.col("rects"), 1200)), F.col("rects"))
 
 
 @query(f"SELECT page, line, greatest(x - 40, 0) AS cx, greatest(y - 40, 0) AS cy, least(width, 500 - greatest(x - 40, 0)) AS cw, least(height, 300 - greatest(y - 40, 0)) AS ch, printf('page_%03d_entry_%03d.png', page % 1000, line) AS name FROM ({X.RECTS_SQL}) WHERE greatest(x - 40, 0) < 500 AND greatest(y - 40, 0) < 300 AND least(width, 500 - greatest(x - 40, 0)) >= 40 AND least(height, 300 - greatest(y - 40, 0)) >= 40")
@@ -177,6 +207,16 @@ def x18_name(spark, d):
     return X.table(spark, d, "part").select(F.col("p_partkey").alias("k"), R.name_fallback(F.transform(texts, R.field_value), F.lit("zz")).alias("elector_name"))
 
 
+_NOISY_FIELDS = ("serial_number", "epic_number", "elector_name", "relation_type", "relation_name", "house_number", "age", "gender")
+_NOISY = ", ".join(f"CASE c_custkey % {len(X.NOISY)} " + " ".join(f"WHEN {i} THEN {want[n]}" for i, (_, want) in enumerate(X.NOISY)) + f" END AS {n}" for n in _NOISY_FIELDS)
+
+
+@query(f"SELECT c_custkey AS k, {_NOISY} FROM customer")
+def x6_noisy_cards(spark, d):
+    """Labels with their value on the next line or beside them, misspelt labels, noisy numbers, competing digits, no labels at all."""
+    return R.records(X.noisy_cards(spark, d)).select("k", *_NOISY_FIELDS)
+
+
 # ---- validation
 
 _LINES = f"({X.LINES_SQL})"
@@ -250,9 +290,14 @@ def d3_serial_stage(spark, d):
     return X.table(spark, d, "part").select(k.alias("k"), D.serial_stage(box, left, right, k % 7 == 0)["level"].alias("level"))
 
 
-@query()
+#: Words and their ratio to the watermark's (twice the matched letters over all letters).
+_WORDS = {"DELETED": "1.0", "DELETFD": "0.8571", "DELETFXQ": "0.6667", "DLTD": "0.7273", "DETELED": "0.7143", "XQZ": "0.0"}
+
+
+@query("SELECT k, ratio, CASE WHEN ratio >= 0.82 THEN 'strong' WHEN ratio >= 0.65 THEN 'medium' ELSE 'none' END AS level FROM (SELECT p_partkey AS k, CASE p_partkey % 6 " + " ".join(f"WHEN {i} THEN {r}" for i, r in enumerate(_WORDS.values())) + " END::DOUBLE AS ratio FROM part)")
 def d22_similarity(spark, d):
-    p = X.table(spark, d, "part").select(F.col("p_partkey").alias("k"), F.array(F.upper(F.split("p_name", " ")[0]), F.concat(F.lit("DELETF"), F.when(F.col("p_partkey") % 2 == 0, "D").otherwise("XQ"))).alias("tokens"))
+    words = F.array(*map(F.lit, _WORDS))
+    p = X.table(spark, d, "part").select(F.col("p_partkey").alias("k"), F.array(F.lit("XQ"), F.get(words, (F.col("p_partkey") % 6).cast("int"))).alias("tokens"))
     r = p.withColumn("ratio", F.round(D.similarity(F.col("tokens")), 4))
     return r.select("k", "ratio", D.watermark_level(F.array_contains("tokens", "DELETED"), F.col("ratio")).alias("level"))
 
@@ -271,8 +316,16 @@ def i7_odd(spark, d):
 
 @query("SELECT l_orderkey AS k, count(DISTINCT l_linenumber) <= 4 AS is_binary FROM lineitem GROUP BY 1")
 def i10_binary(spark, d):
-    li = X.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"), "l_linenumber").distinct()
-    return li.groupBy("k").agg((F.count(F.lit(1)) <= 4).alias("is_binary"))
+    import numpy as np
+
+    from ..operators.images import few_levels
+
+    @F.pandas_udf("boolean")
+    def few(levels: pd.Series) -> pd.Series:
+        return levels.map(lambda v: bool(few_levels(np.array([v], np.uint8))))
+
+    pixels = X.table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.collect_list(F.col("l_linenumber") * 30).alias("pixels"))
+    return pixels.select("k", few("pixels").alias("is_binary"))
 
 
 # ---- model payloads
@@ -324,7 +377,7 @@ def l14_preview(spark, d):
 # ---- sinks
 
 
-@query(f"SELECT k, CASE WHEN k % 3 = 0 THEN 'TRUE' END AS deleted, CASE WHEN gender = 'male' THEN 'पुरुष' WHEN gender = 'female' THEN 'महिला' ELSE gender END AS gender, CASE relation_type WHEN 'father' THEN 'पिता' WHEN 'husband' THEN 'पति' ELSE relation_type END AS relation_type FROM ({RECORD_SQL})")
+@query(f"SELECT k, CASE WHEN k % 3 = 0 THEN true END AS deleted, CASE WHEN gender = 'male' THEN 'पुरुष' WHEN gender = 'female' THEN 'महिला' ELSE gender END AS gender, CASE relation_type WHEN 'father' THEN 'पिता' WHEN 'husband' THEN 'पति' ELSE relation_type END AS relation_type FROM ({RECORD_SQL})")
 def k6_display(spark, d):
     from ..sinks.spreadsheet import shown
 
@@ -344,8 +397,10 @@ def k2_failures(spark, d):
 @query("SELECT o_orderkey % 1000 AS page, o_custkey % 100 AS entry_index, o_orderkey AS k, o_orderstatus = 'F' AS deleted FROM orders")
 def p_order_union(spark, d):
     o = X.table(spark, d, "orders").select((F.col("o_orderkey") % 1000).alias("page"), (F.col("o_custkey") % 100).alias("entry_index"), F.col("o_orderkey").alias("k"), "o_orderstatus")
+    from ..run import in_order
+
     gone, kept = o.where("o_orderstatus = 'F'").withColumn("deleted", F.lit(True)), o.where("o_orderstatus <> 'F'").withColumn("deleted", F.lit(False))
-    return kept.unionByName(gone).drop("o_orderstatus").orderBy("page", "entry_index", "k")
+    return in_order(kept.unionByName(gone).drop("o_orderstatus").withColumn("name", F.col("k").cast("string"))).drop("name")
 
 
 # ---- regions, recognised lines, typed fields
@@ -463,10 +518,43 @@ def _candidates(spark, d):
     return X.table(spark, d, "part").select(F.col("p_partkey").alias("k"), F.array(of(0), of(1), of(2)).alias("found"))
 
 
-@query()
+_FOUND3 = " UNION ALL ".join(f"SELECT p_partkey AS k, {i} AS i, 600 AS w, 400 AS h, {a} AS angle, p_partkey % {90 + i} + 150 AS x, p_partkey % 80 + 140 AS y, p_size * 3 + {40 * i + 30} AS width, p_size % 30 + 8 AS height, p_partkey % 5 AS letters, p_partkey % 160 + 95 AS mean FROM part" for i, a in enumerate((25, -45, 40)))
+_GEOMETRY = f"SELECT *, CASE WHEN NOT (mean BETWEEN 105 AND 240 AND {_AXIS.format(v='x00, x10, x11, x01', s='w')} AND {_AXIS.format(v='y00, y10, y11, y01', s='h')}) THEN 0 WHEN width / 600 >= 0.18 AND height / 400 >= 0.03 AND letters >= 3 THEN 0.8 WHEN width / 600 >= 0.12 AND height / 400 >= 0.025 AND letters >= 2 THEN 0.58 ELSE 0 END::DOUBLE AS score FROM (SELECT *, {', '.join(_corner(*c) for c in _CORNERS)} FROM ({_FOUND3}))"
+
+
+@query(f"SELECT k, CASE score WHEN 0.8 THEN 'strong' WHEN 0.58 THEN 'medium' ELSE 'none' END AS level, score, CASE WHEN score > 0 THEN angle END::INT AS angle, CASE WHEN score > 0 THEN width END::INT AS width FROM ({_GEOMETRY}) QUALIFY row_number() OVER (PARTITION BY k ORDER BY score DESC, i) = 1")
 def d19_d20_geometry(spark, d):
-    """The best band of each crop; tests hold it against a plain loop."""
+    """The best band of each crop."""
     from ..operators.watermark import geometry
 
     best = _candidates(spark, d).withColumn("g", geometry(F.col("found"), F.lit(600), F.lit(400)))
     return best.select("k", F.coalesce("g.level", F.lit("none")).alias("level"), F.coalesce("g.score", F.lit(0.0)).alias("score"), "g.angle", F.col("g.box.width").alias("width"))
+
+
+# ---- the model first, recognised text where it fails
+
+
+@query(f"WITH r AS ({RECORD_SQL}) SELECT k, CASE WHEN k % 4 <> 0 THEN 'm' END AS model, CASE WHEN k % 4 = 0 THEN r.serial_number ELSE CAST(k AS STRING) END AS serial_number, CASE WHEN k % 4 = 0 THEN r.elector_name ELSE 'N' END AS elector_name, CASE WHEN k % 4 = 0 THEN r.relation_type ELSE 'father' END AS relation_type, CASE WHEN k % 4 = 0 THEN r.age ELSE 30 END AS age, CASE WHEN k % 4 = 0 THEN r.gender ELSE 'female' END AS gender FROM r")
+def x1_x2_model_first(spark, d):
+    """Every fourth card is one that the model cannot read."""
+    from ..operators.extraction import extracted
+
+    def client():
+        import json
+
+        def send(image: bytes, model: str, prompt: str) -> str:
+            if int(image) % 4 == 0:
+                raise ValueError("unreadable")
+            return json.dumps({"serial_number": image.decode(), "epic_number": "ABC1234567", "elector_name": "N", "relation_type": "Father", "relation_name": "R", "house_number": "1", "gender": "female", "age": 30})
+
+        return send
+
+    cards = X.cards(spark, d).withColumn("png", F.col("k").cast("string").cast("binary"))
+    return extracted(cards, " Auto ", client, "m", rounds=1, tries=1).select("k", "model", "serial_number", "elector_name", "relation_type", "age", "gender")
+
+
+@query(f"SELECT k, serial_number, epic_number, raw_text FROM ({RECORD_SQL})")
+def x1_text_only(spark, d):
+    from ..operators.extraction import extracted
+
+    return extracted(X.cards(spark, d), "auto").select("k", "serial_number", "epic_number", "raw_text")

@@ -29,6 +29,35 @@ def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")).select(k.alias("k"), F.floor(k / 30 + 1).cast("int").alias("page"), (k % 30 + 1).cast("int").alias("entry_index"), F.array(*lines).alias("lines"))
 
 
+_K, _HOUSE, _LONG = "c_custkey", "CAST(c_custkey % 97 + 1 AS STRING)", "lpad(CAST(c_custkey AS STRING), 7, '0')"
+_NONE = dict.fromkeys(("serial_number", "epic_number", "elector_name", "relation_type", "relation_name", "house_number", "gender"), "CAST(NULL AS STRING)") | {"age": "CAST(NULL AS INT)"}
+#: Cards that records must be read from, as (text, x, y) of their lines and the fields expected.
+NOISY = (
+    (
+        ((f"concat(CAST(100 + {_K} % 800 AS STRING), ' ABC', {_LONG})", 10, 10), ("'Name: Suresh Kumar'", 10, 40), (f"concat('पिता का नाम: Ramesh ', {_HOUSE})", 10, 70), (f"concat('House No: ', {_HOUSE}, '/A')", 10, 100), ("'Age: 34 Gender: Male'", 10, 130)),
+        _NONE | {"serial_number": f"CAST(100 + {_K} % 800 AS STRING)", "epic_number": f"concat('ABC', {_LONG})", "elector_name": "'Suresh Kumar'", "relation_type": "'father'", "relation_name": f"concat('Ramesh ', {_HOUSE})", "house_number": f"concat({_HOUSE}, '/A')"},
+    ),
+    (
+        (("'Serial 56'", 10, 10), (f"concat('EPIC: DEF', {_LONG})", 10, 40), ("'निर्वाचक का नाम'", 10, 70), ("'Geeta Bai'", 10, 95), ("'पति का नाम'", 10, 120), ("'Raju'", 10, 145), ("'House Number'", 10, 170), (f"concat({_HOUSE}, '-C')", 10, 195)),
+        _NONE | {"serial_number": _HOUSE, "epic_number": f"concat('DEF', {_LONG})", "elector_name": "'Geeta Bai'", "relation_type": "'husband'", "relation_name": "'Raju'", "house_number": f"concat({_HOUSE}, '-C')"},
+    ),
+    (
+        (("'३१'", 30, 10), ("'HDR2OTOB4E'", 420, 12), ("'निवाचक का नाम'", 10, 60), ("'गीता देवी'", 180, 62), ("'पति का नाम'", 10, 98), ("'कैलाश'", 165, 100), ("'गृह संख्या'", 10, 136), (_HOUSE, 160, 138), ("'उम्र'", 10, 174), (f"CAST(20 + {_K} % 70 AS STRING)", 80, 174), ("'लिंग'", 130, 174), ("'महिला'", 190, 174)),
+        {"serial_number": "'31'", "epic_number": "'RDR2070845'", "elector_name": "'गीता देवी'", "relation_type": "'husband'", "relation_name": "'कैलाश'", "house_number": _HOUSE, "age": f"CAST(20 + {_K} % 70 AS INT)", "gender": "'female'"},
+    ),
+    ((("'Unclear entry text only'", 10, 10),), _NONE | {"elector_name": "'Unclear entry text only'"}),
+)
+
+
+def noisy_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """k, lines: one card of NOISY per customer."""
+    line = lambda text, x, y: F.struct(F.expr(text).alias("text"), F.lit(0.9).alias("confidence"), F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y"), F.lit(20.0).alias("height"))
+    cards_ = F.lit(None)
+    for i, (lines, _) in enumerate(NOISY):
+        cards_ = F.when(F.col("c_custkey") % len(NOISY) == i, F.array(*[line(*x) for x in lines])).otherwise(cards_)
+    return spread(table(spark, sf_dir, "customer").select("c_custkey")).select(F.col("c_custkey").alias("k"), cards_.alias("lines"))
+
+
 LINES_SQL = " UNION ALL ".join(f"SELECT c_custkey AS k, {i} AS pos, {text} AS text, 0.6 + (c_custkey + {i}) % 40 / 100.0::DOUBLE AS confidence FROM customer" for i, (text, _, _) in enumerate(CARD_LINES))
 #: One row per card: t0 to t5 and the first visual row, ``top``.
 CARD_SQL = "SELECT c_custkey AS k, " + ", ".join(f"{text} AS t{i}" for i, (text, _, _) in enumerate(CARD_LINES)) + " FROM customer"

@@ -9,14 +9,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .operators import classify, models, preprocess
+from .operators import classify, extraction, models, preprocess, recognition, records
 from .settings import Settings, settings
-from .sinks import image_sheets, spreadsheet, text
+from .sinks import files, image_sheets, spreadsheet, text
+from .sources.json_records import read_records
 
 log = logging.getLogger("folioweave")
 CLASSES = "classified_crops"
 
 
+def in_order(rows: DataFrame) -> DataFrame:
+    """By page, place on the page and, of equal ones, the file's name in lower case."""
+    return rows.orderBy("page", "entry_index", F.lower("name"))
+
+
 def classify_document(pages: DataFrame, document: str, engine: Callable, out: str, own: Settings | None = None) -> DataFrame:
     """Writes a document's crops by class below ``out`` and returns them as read back.
 
@@ -29,34 +35,50 @@ def classify_document(pages: DataFrame, document: str, engine: Callable, out: st
     options = own.preprocessing()
     options = preprocess.Options(tuple(s for s in options.steps if s != "deskew"), options.kernel, options.clip, options.tiles, options.block, options.c, options.margin)
     clean = preprocess.clean_pages(pages, options)
-    cut = classify.crops(classify.grids(clean), least=own.crop_min_width)
+    cut = classify.crops(classify.grids(clean), least_width=own.crop_min_width, least_height=own.crop_min_height)
     done = classify.classified(cut.repartition(max(8, pages.sparkSession.sparkContext.defaultParallelism)), engine, own.entry_timeout_seconds)
     where = f"{out}/{CLASSES}/document={document}"
     done.write.mode("overwrite").parquet(where)
     got = pages.sparkSession.read.parquet(where)
-    text.write_lines(got.where("status = 'timed_out'").orderBy("page", "entry_index").coalesce(1), "name", f"{out}/timed_out_entries/{document}")
+    files.archive_crops(got, document, f"{out}/crops_by_class")
+    text.write_lines(in_order(got.where("status = 'timed_out'")).coalesce(1), "name", f"{out}/timed_out_entries/{document}")
     return got
 
 
-def extract_document(crops: DataFrame, client: Callable, model: str, out: str, document: str, fallback: str | None = None, own: Settings | None = None, **how) -> DataFrame:
-    """Asks the model for each classified crop; records as Parquet, failures as lines of text. Returns the records."""
+def extract_document(crops: DataFrame, client: Callable, model: str, out: str, document: str, fallback: str | None = None, own: Settings | None = None, engine: Callable | None = None, done: Callable | None = None, **how) -> DataFrame:
+    """Records of the classified crops as Parquet, failures as lines of text. Returns the records.
+
+    The backend of the settings decides who reads a crop. An ``engine`` gives lines to parse where
+    no model answers; without one there are none. ``done`` is called on the driver with each record,
+    in order, as they are read back.
+    """
     own = own or settings()
     how = {"tries": own.model_max_retries, "rounds": own.model_quality_retries} | how
-    asked = models.extracted(crops.where("status = 'ok'").select("page", "entry_index", "name", "png", "deleted"), client, model, fallback, **how)
+    good = crops.where("status = 'ok'").select("page", "entry_index", "name", "png", "deleted")
+    backend = extraction.chosen_backend(own.extraction_backend, client, model)
+    if engine and backend != "llm":
+        good = recognition.recognized(good, engine, own.ocr_language).withColumn("lines", records.placed(F.coalesce("ocr", F.array()))).drop("ocr", "ocr_error")
+    else:
+        good = good.withColumn("lines", F.expr("cast(array() as array<struct<text:string,confidence:double,x:double,y:double,height:double>>)"))
+        backend = "llm" if backend == "auto" else backend
+    asked = extraction.extracted(good, backend, client, model, fallback, **how).drop("lines")
     where = f"{out}/extracted/{document}"
     asked.drop("png").write.mode("overwrite").parquet(where)  # calls are not made again for each reader
     got = crops.sparkSession.read.parquet(where)
-    bad = got.where("error is not null").orderBy("page", "entry_index", F.lower("name"))
+    bad = in_order(got.where("error is not null"))
     kind, told = F.substring_index("error", ":", 1), F.col("error")
     text.write_lines(bad.coalesce(1).select(text.failure_line(F.col("name"), F.col("deleted"), F.col("page"), F.col("entry_index"), kind, told).alias("line")), "line", f"{out}/failed_cases/{document}")
-    return got.where("error is null").orderBy("page", "entry_index", F.lower("name"))
+    found = in_order(got.where("error is null"))
+    for row in found.drop("png").toLocalIterator() if done else ():
+        done(row)
+    return found
 
 
 def run_document(pages: DataFrame, document: str, engine: Callable, client: Callable, model: str, out: str, fallback: str | None = None, own: Settings | None = None, covers: tuple[bytes, bytes] | None = None, **how) -> DataFrame:
     """The whole way: crops, records, <document>.json and <document>.xlsx, with the cover images if given."""
     crops = classify_document(pages, document, engine, out, own)
     log.info("classified", extra={"document": document, "crops": crops.count()})
-    found = extract_document(crops, client, model, out, document, fallback, own, **how)
+    found = extract_document(crops, client, model, out, document, fallback, own, engine, **how)
     shown = found.select("page", "entry_index", *models.FIELDS, "deleted", "raw_text")
     n = text.write_json_list(shown, f"{out}/{document}.json", ["page", "entry_index"], ("page", "entry_index"))
     book = f"{out}/{document}.xlsx"
@@ -71,14 +93,11 @@ def sheet_of_json(spark: SparkSession, source: str, target: str | None = None) -
     """A JSON list (or one object) of records as a workbook beside it, or at ``target``."""
     import json
 
-    with open(source, encoding="utf-8") as f:
-        rows = json.load(f)
-    rows = [rows] if isinstance(rows, dict) else rows
-    if not isinstance(rows, list) or not all(isinstance(r, dict) for r in rows):
-        raise ValueError("records must be a list of objects or an object")
-    names = [n for n in dict.fromkeys(k for r in rows for k in r) if n not in spreadsheet.HIDDEN]
+    rows = read_records(spark, source)
+    names = [r["header"] for r in spreadsheet.headers(rows, "row", "json").orderBy("first_row", "place_").collect()]
     target = target or os.path.splitext(source)[0] + ".xlsx"
-    spreadsheet.write_package(target, names, ([spreadsheet.plain(n, r.get(n)) for n in names] for r in rows))
+    found = (json.loads(r["json"]) for r in rows.orderBy("row").toLocalIterator())
+    spreadsheet.write_package(target, names, ([spreadsheet.plain(n, r.get(n)) for n in names] for r in found))
     return target
 
 

@@ -35,7 +35,9 @@ def archive_crops(done: DataFrame, document: str, out: str) -> None:
 
     Both folders of this document are emptied first; other documents' stay. Crops without a class are left out.
     """
-    spark = done.sparkSession
+    import os
+
+    spark, out = done.sparkSession, out if "://" in out else os.path.abspath(out)
     for kind in ("normal", "deleted"):
         where = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{kind}/{document}")
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

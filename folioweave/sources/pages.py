@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 from importlib import import_module
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 DPI = 600
@@ -77,10 +77,17 @@ def read_pages(spark: SparkSession, path: str, rasterizer: str, counter: str, co
     return spark.read.format("document_pages").options(path=path, rasterizer=rasterizer, counter=counter, dpi=dpi, **chosen).load()
 
 
+def inner_pages(pages: DataFrame, count: Column) -> DataFrame:
+    """Of pages with source_page and their document's ``count``: those between the covers, with page counted from 1.
+
+    Documents of three pages or fewer have none.
+    """
+    kept = pages.where((count > 3) & F.col("source_page").between(3, count - 1))
+    return kept.withColumn("page", F.col("source_page") - 2)
+
+
 def document_images(folder_glob: str, spark: SparkSession) -> DataFrame:
     """page, name, png of page images already on disk (page_0001.png, ...)."""
-    from pyspark.sql import functions as F
-
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.png").load(folder_glob)
     name = F.element_at(F.split("path", "/"), -1)
     return found.select(F.regexp_extract(name, r"page_(\d+)\.png$", 1).try_cast("int").alias("page"), name.alias("name"), F.col("content").alias("png"))

@@ -4,9 +4,10 @@ import random
 import zipfile
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from folioweave.operators import decide as D, geometry as G, images as I, records as R
+from folioweave.operators import decide as D, geometry as G, images as I, records as R, watermark as W
 from folioweave.sinks import spreadsheet, text as sink
 from folioweave.sources import crops
 
@@ -76,7 +77,7 @@ def test_folds_match_plain_loops(spark):
             g = next((g for g in groups if abs(mid(r) - sum(map(mid, g)) / len(g)) <= 24), None)
             g.append(r) if g else groups.append([r])
         hulls = [(min(r[0] for r in g), min(r[1] for r in g)) for g in groups if len(g) > 1]
-        got = fold(spark, rects, lambda c: G.banded(c, F.lit(200)))
+        got = fold(spark, rects, lambda c: W.banded(c, 200))
         assert {r[:2] for r in got} == {r[:2] for r in rects} | set(hulls)
 
 
@@ -114,6 +115,70 @@ def test_images():
     assert (I.rotated(page, 0) == page).all()
 
 
+def test_extraction_backends(spark):
+    from folioweave.operators.extraction import chosen_backend, extracted
+
+    assert chosen_backend(" OCR ", None, None) == "ocr" and chosen_backend("auto", None, "m") == "ocr" and chosen_backend("llm", print, "m") == "llm"
+    with pytest.raises(ValueError):
+        chosen_backend("other", None, None)
+    with pytest.raises(RuntimeError):
+        chosen_backend("llm", print, None)
+
+    def client():
+        def send(image, model, prompt):
+            raise ValueError("down")
+
+        return send
+
+    line = "struct<text:string,confidence:double,x:double,y:double,height:double>"
+    crops_ = spark.createDataFrame([(1, b"1", [("Q 87", 0.9, 10.0, 10.0, 20.0)], True)], f"k int, png binary, lines array<{line}>, deleted boolean")
+    how = {"rounds": 1, "tries": 1}
+    llm = extracted(crops_, "llm", client, "m", **how).first()
+    assert llm.error == "ValueError: down" and llm.serial_number is None and llm.deleted
+    auto = extracted(crops_, "auto", client, "m", **how).first()
+    assert auto.error is None and auto.model is None and auto.serial_number == "87" and auto.raw_text == "Q 87" and auto.deleted
+    ocr = spark.createDataFrame([([("a", 0.5, [(3.0, 4.0), (1.0, 9.0)]), ("b", 0.5, [])],)], "o array<struct<text:string,confidence:double,bounding_box:array<struct<x:double,y:double>>>>")
+    assert [tuple(l) for l in ocr.select(R.placed(F.col("o")).alias("l")).first().l] == [("a", 0.5, 1.0, 4.0, 5.0), ("b", 0.5, 0.0, 0.0, 0.0)]
+
+
+def test_reading_copy():
+    rng = np.random.default_rng(3)
+    flat = np.full((40, 60), 120, np.uint8)
+    flat[:, 30:] = 220
+    noisy = np.clip(flat + rng.normal(0, 4, flat.shape), 0, 255).astype(np.uint8)
+    out = I.for_reading(noisy)
+    assert np.abs(out.astype(int) - flat).mean() < np.abs(noisy.astype(int) - flat).mean() * 0.6 and (I.for_reading(flat) == flat).all()
+
+    def plain(image, y, x, r=10, p=3, strength=7):  # one pixel, patch by patch
+        big = np.pad(image.astype(float), r + p, mode="reflect")
+        own = big[y + r : y + r + 2 * p + 1, x + r : x + r + 2 * p + 1]
+        total = weights = 0.0
+        for a in range(2 * r + 1):
+            for b in range(2 * r + 1):
+                part = big[y + a : y + a + 2 * p + 1, x + b : x + b + 2 * p + 1]
+                w = np.exp(-((part - own) ** 2).mean() / strength**2)
+                weights, total = weights + w, total + w * part[p, p]
+        return round(total / weights)
+
+    assert all(abs(int(out[y, x]) - plain(noisy, y, x)) <= 1 for y, x in ((0, 0), (5, 29), (20, 31), (39, 59)))
+
+
+def test_small_crops_and_json_roots(spark, tmp_path):
+    from folioweave.sources.json_records import read_records
+
+    box = F.struct(F.lit(0).alias("x"), F.lit(0).alias("y"), F.lit(50).alias("width"), F.lit(30).alias("height"))
+    of = lambda w, h: spark.range(1).select(G.clamped(box, F.lit(99), F.lit(99), w, h).alias("c")).first().c
+    assert of(40, 40) is None and of(40, 20) is not None and of(60, 20) is None
+    for text, want in (('[{"b": 1, "a": 2}, {"c": true}]', 2), ('{"x": []}', 1), ("[]", 0)):
+        (tmp_path / "r.json").write_text(text)
+        rows = read_records(spark, str(tmp_path / "r.json"))
+        assert rows.count() == want
+    for text in ("3", "[1]", "nothing"):
+        (tmp_path / "r.json").write_text(text)
+        with pytest.raises(ValueError):
+            read_records(spark, str(tmp_path / "r.json"))
+
+
 def test_sinks_and_scan(spark, tmp_path):
     rows = spark.createDataFrame([(2, "b", None, True), (1, "ä", "male", False)], "k int, name string, gender string, deleted boolean")
     assert sink.write_json_list(rows, str(tmp_path / "a.json"), ["k"]) == 2
@@ -121,7 +186,8 @@ def test_sinks_and_scan(spark, tmp_path):
     assert sink.write_json_list(rows.where("k > 9"), str(tmp_path / "e.json"), ["k"]) == 0 and json.loads((tmp_path / "e.json").read_text()) == []
     spreadsheet.write_sheet(rows, str(tmp_path / "a.xlsx"), ["k"])
     xml = zipfile.ZipFile(tmp_path / "a.xlsx").read("xl/worksheets/sheet1.xml").decode()
-    assert "पुरुष" in xml and xml.index("ä") < xml.index(">b<") and spreadsheet.column_name(28) == "AB"
+    assert "पुरुष" in xml and xml.index("ä") < xml.index(">b<") and '<c r="D3" t="b"><v>1</v></c>' in xml and '<c r="D2"/>' in xml
+    assert [spreadsheet.column_name(n) for n in (1, 26, 27, 28, 702, 703)] == ["A", "Z", "AA", "AB", "ZZ", "AAA"]
     for kind, page, entry in (("normal", 1, 1), ("normal", 1, 5), ("normal", 2, 1), ("deleted", 1, 6)):
         where = tmp_path / kind / "roll"
         where.mkdir(parents=True, exist_ok=True)
