@@ -32,14 +32,18 @@ FAMILIES = {
     "semitic": ("ar", "he", "mt"),
 }
 _FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes}
-#: What is no letter: \w also has numbers that are no digits (a superscript two, a Roman eight).
-_NUMBERS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
-_NOT_LETTERS = re.compile(rf"[\W\d_{_NUMBERS}]+")
+_NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: Numbers that \w has beside letters and digits (a superscript two, a Roman eight).
+_NUMBERS = frozenset(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
 
 
 def grams(text: str) -> np.ndarray:
     """Bins of all byte trigrams of the whole text; none if it has no letter."""
     plain = _NOT_LETTERS.sub(" ", text.lower()).strip()
+    if not plain.isascii():
+        odd = _NUMBERS.intersection(plain)
+        if odd:
+            plain = " ".join(plain.translate(dict.fromkeys(map(ord, odd), " ")).split())
     if not plain:
         return np.zeros(0, np.int64)
     b = np.frombuffer(f" {plain} ".encode("utf-8", "surrogatepass"), np.uint8).astype(np.uint32)
