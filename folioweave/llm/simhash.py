@@ -10,13 +10,14 @@ list of all pairs of a group leaves a task: each task sends a spanning forest of
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 from math import acos, ceil, comb, pi
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
-from .common import discard, materialize, parts
+from .common import discard, materialize, row_batches
 
 MAX_BITS = 4
 SHINGLE_WORDS = 4
@@ -24,31 +25,41 @@ SHINGLE_WORDS = 4
 HOT_SUBTRIE = 60_000
 #: Bits by which a hot sub-trie is cut.
 HOT_BITS = 5
+#: Fingerprints a document gets where links are checked: a pair of similarity 0.8 lies within the bits in one of them.
+TRIES = 3
+#: Members of a group of candidates, beside the smallest, against which the others are checked at first.
+PIVOTS = 3
 
 
-def fingerprint_bytes(data: bytes, words_per_shingle: int = SHINGLE_WORDS) -> int:
-    """64-bit SimHash of UTF-8 bytes; 0 if there is no word."""
+def shingle_hashes(data: bytes, words_per_shingle: int = SHINGLE_WORDS) -> np.ndarray:
+    """XXH64 of each word shingle of UTF-8 bytes, repeats included; empty if there is no word."""
     import xxhash
 
     words = data.lower().split()  # bytes: A-Z only, and exactly the bytes 09-0D and 20
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     if len(words) <= words_per_shingle:
-        hashes = [xxhash.xxh64_intdigest(b" ".join(words), 42)]
-    else:
-        joined = b" ".join(words)
-        gaps = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
-        starts = [0, *(gaps + 1).tolist()]
-        ends = [*gaps.tolist(), len(joined)][words_per_shingle - 1 :]
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[a:b], 42) for a, b in zip(starts, ends)]
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), 42)], np.uint64)
+    joined = b" ".join(words)
+    gaps = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
+    starts = [0, *(gaps + 1).tolist()]
+    ends = [*gaps.tolist(), len(joined)][words_per_shingle - 1 :]
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(joined[a:b], 42) for a, b in zip(starts, ends)], np.uint64)
+
+
+def majority_bits(hashes: np.ndarray) -> int:
+    """The bits that over half of the hashes have; 0 if there is none."""
     counts = np.zeros(64, np.int64)
-    array = np.array(hashes, np.uint64)
-    for i in range(0, len(array), 8192):
-        some = array[i : i + 8192]
+    for i in range(0, len(hashes), 8192):
+        some = hashes[i : i + 8192]
         counts += np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    bits = counts * 2 > len(array)
-    return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0]) if len(hashes) else 0
+
+
+def fingerprint_bytes(data: bytes, words_per_shingle: int = SHINGLE_WORDS) -> int:
+    """64-bit SimHash of UTF-8 bytes; 0 if there is no word."""
+    return majority_bits(shingle_hashes(data, words_per_shingle))
 
 
 def fingerprints(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS) -> DataFrame:
@@ -87,6 +98,17 @@ def block_plan(n: int, max_bits: int = MAX_BITS) -> list[list[tuple[int, int, bo
     return out
 
 
+def _unchosen_masks(plan: list[tuple[int, int, bool]]) -> list:
+    """Masks, in the moved key, of the blocks that come before the last chosen one and are not chosen."""
+    last = max(shift for shift, _, chosen in plan if chosen)
+    left, out = 64, []
+    for shift, width, chosen in plan:
+        left -= width
+        if not chosen and shift < last:
+            out.append(np.uint64(((1 << width) - 1) << left))
+    return out
+
+
 class Forest:
     """Union-find over 0..n-1 that takes arrays of pairs."""
 
@@ -118,19 +140,14 @@ def prefix_starts(keys: np.ndarray, lead: int) -> tuple:
     return lead, cut[big], end[big], cut[big], end[big], np.zeros(int(big.sum()), np.int8)
 
 
-def trie_links(keys: np.ndarray, starts: tuple, max_bits: int, forest: Forest, chunk: int = 400_000) -> None:
-    """Walk pairs of trie nodes over sorted distinct keys and join the linked leaves in forest.
+def trie_pairs(keys: np.ndarray, starts: tuple, max_bits: int, chunk: int = 400_000):
+    """Walk pairs of trie nodes over sorted keys; yield arrays of linked leaves (i, j), i < j.
 
     ``starts``: depth, node pairs as ranges of keys, and the bits by which they differ so far.
     At most ``chunk`` node pairs are expanded at a time.
     """
     stack = [starts]
     ones: dict[int, np.ndarray] = {}
-
-    def take(a, b) -> None:
-        near = np.bitwise_count(keys[a] ^ keys[b]) <= max_bits
-        forest.join(a[near], b[near])
-
     while stack:
         depth, alo, ahi, blo, bhi, diff = stack.pop()
         if len(alo) > chunk:
@@ -147,11 +164,17 @@ def trie_links(keys: np.ndarray, starts: tuple, max_bits: int, forest: Forest, c
             at = np.repeat(np.arange(len(sa)), total)
             k = np.arange(total.sum()) - np.repeat(np.cumsum(total) - total, total)
             i, j = sa[at] + k // lb[at], sb[at] + k % lb[at]
-            ok = i < j
-            take(i[ok], j[ok])
+            ok = (i < j) & (np.bitwise_count(keys[i] ^ keys[j]) <= max_bits)
+            yield i[ok], j[ok]
             keep = ~small
             alo, ahi, blo, bhi, diff = alo[keep], ahi[keep], blo[keep], bhi[keep], diff[keep]
-        if not len(alo) or depth >= 64:
+        if not len(alo):
+            continue
+        if depth >= 64:  # all leaves of a node have one key
+            for a, b, c, d in zip(alo.tolist(), ahi.tolist(), blo.tolist(), bhi.tolist()):
+                for i in range(a, b):
+                    j = np.arange(max(i + 1, c), d)
+                    yield np.full(len(j), i), j
             continue
         if depth not in ones:
             ones[depth] = np.r_[0, np.cumsum((keys >> np.uint64(63 - depth)) & np.uint64(1), dtype=np.int64)]
@@ -166,14 +189,25 @@ def trie_links(keys: np.ndarray, starts: tuple, max_bits: int, forest: Forest, c
         stack.append((depth + 1, *(x[ok] for x in new)))
 
 
-def spanning_links(classes: DataFrame, max_bits: int = MAX_BITS, n: int | None = None, hot: int = HOT_SUBTRIE) -> DataFrame:
+def trie_links(keys: np.ndarray, starts: tuple, max_bits: int, forest: Forest, chunk: int = 400_000) -> None:
+    """Join in forest the leaves that trie_pairs() links."""
+    for a, b in trie_pairs(keys, starts, max_bits, chunk):
+        forest.join(a, b)
+
+
+def spanning_links(classes: DataFrame, max_bits: int = MAX_BITS, n: int | None = None, hot: int = HOT_SUBTRIE, least_ratio: float | None = None) -> DataFrame:
     """a, b: representatives whose links span every group of fingerprints.
 
     ``classes`` has fp (distinct) and rep. Rows of one prefix go to one task. A prefix with more
     than ``hot`` fingerprints is cut by its next bits into sub-tries, and each pair of those
     whose own bits differ by no more than the budget becomes a task of its own.
+
+    With ``least_ratio``, classes has label and size beside, fp may repeat, and every link (not a
+    spanning forest) comes once, where the labels differ and the lesser size is at least
+    ``least_ratio`` of the greater.
     """
     n = classes.count() if n is None else n
+    extra = [] if least_ratio is None else ["label", "size"]
     plans = block_plan(n, max_bits)
     leads = sum(w for _, w, chosen in plans[0] if chosen)
 
@@ -187,12 +221,34 @@ def spanning_links(classes: DataFrame, max_bits: int = MAX_BITS, n: int | None =
 
     leads = [sum(width for _, width, chosen in p if chosen) for p in plans]
     lead_of = F.get(F.array(*map(F.lit, leads)), F.col("plan"))
-    rows = classes.select("rep", F.explode(F.array(*[F.struct(F.lit(i).alias("plan"), moved(i).alias("key")) for i in range(len(plans))])).alias("m")).select("rep", "m.plan", "m.key")
+    rows = classes.select("rep", *extra, F.explode(F.array(*[F.struct(F.lit(i).alias("plan"), moved(i).alias("key")) for i in range(len(plans))])).alias("m")).select("rep", *extra, "m.plan", "m.key")
     rows = rows.withColumn("prefix", F.call_function("shiftrightunsigned", F.col("key"), F.lit(64) - lead_of))
     n_parts = int(max(8, min(100_000, n * len(plans) / 400_000)))
     heavy = rows.groupBy("plan", "prefix").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > hot).select("plan", "prefix")
     has_heavy = n > hot and heavy.limit(1).count() > 0
     schema = "a long, b long"
+    first_choice = [_unchosen_masks(p) for p in plans]
+
+    def linked(table, order, key, plan, starts):
+        """Batches of the links among the rows of table at order, whose sorted keys are key."""
+        import pyarrow as pa
+
+        rep = table["rep"].to_numpy()[order]
+        if least_ratio is None:
+            forest = Forest(len(order))
+            if starts:
+                trie_links(key, starts, max_bits, forest)
+            yield batch_of(rep, forest)
+            return
+        label, size = table["label"].to_numpy()[order], table["size"].to_numpy()[order]
+        for a, b in trie_pairs(key, starts, max_bits) if starts else ():
+            ok = (label[a] != label[b]) & (np.minimum(size[a], size[b]) >= least_ratio * np.maximum(size[a], size[b]) - 1e-9)
+            a, b = a[ok], b[ok]
+            for mask in first_choice[plan]:  # a pair that agrees on more blocks counts in its first choice of them
+                ok = (key[a] ^ key[b]) & mask != 0
+                a, b = a[ok], b[ok]
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(rep[a], rep[b])), pa.array(np.minimum(rep[a], rep[b]))], ["a", "b"])
 
     def batch_of(reps, forest):
         import pyarrow as pa
@@ -207,16 +263,14 @@ def spanning_links(classes: DataFrame, max_bits: int = MAX_BITS, n: int | None =
         if not got:
             return
         t = pa.Table.from_batches(got)
-        rep, plan, key = t["rep"].to_numpy(), t["plan"].to_numpy(), t["key"].to_numpy().view(np.uint64)
+        plan, key = t["plan"].to_numpy(), t["key"].to_numpy().view(np.uint64)
         for p in np.unique(plan):
             at = np.flatnonzero(plan == p)
             order = at[np.argsort(key[at])]
-            forest = Forest(len(order))
-            trie_links(key[order], prefix_starts(key[order], leads[p]), max_bits, forest)
-            yield batch_of(rep[order], forest)
+            yield from linked(t, order, key[order], p, prefix_starts(key[order], leads[p]))
 
     cold = rows.join(heavy, ["plan", "prefix"], "left_anti") if has_heavy else rows
-    links = cold.repartition(n_parts, "plan", "prefix").select("rep", "plan", "key").mapInArrow(whole, schema)
+    links = cold.repartition(n_parts, "plan", "prefix").select("rep", *extra, "plan", "key").mapInArrow(whole, schema)
     if not has_heavy:
         return links
     nodes = range(1 << HOT_BITS)
@@ -229,16 +283,16 @@ def spanning_links(classes: DataFrame, max_bits: int = MAX_BITS, n: int | None =
 
         key = t["key"].to_numpy().view(np.uint64)
         order = np.argsort(key)
-        key, rep, forest = key[order], t["rep"].to_numpy()[order], Forest(len(order))
-        u, v, n, deep = t["u"][0].as_py(), t["v"][0].as_py(), len(order), leads[t["plan"][0].as_py()] + HOT_BITS
+        key, n, plan, starts = key[order], len(order), t["plan"][0].as_py(), None
+        u, v = t["u"][0].as_py(), t["v"][0].as_py()
+        deep = leads[plan] + HOT_BITS
         mid = n if u == v else int((t["node"].to_numpy() == u).sum())
         one = lambda *x: [np.array([i]) for i in x]
         if 0 < mid and (u == v or mid < n):
             starts = (deep, *one(0, n, 0, n), np.zeros(1, np.int8)) if u == v else (deep, *one(0, mid, mid, n), np.array([(u ^ v).bit_count()], np.int8))
-            trie_links(key, starts, max_bits, forest)
-        return pa.Table.from_batches([batch_of(rep, forest)])
+        return pa.Table.from_batches(list(linked(t, order, key, plan, starts)), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
-    return links.unionByName(cut.select("rep", "plan", "key", "prefix", "node", "pair.u", "pair.v").groupBy("plan", "prefix", "u", "v").applyInArrow(pair_of, schema))
+    return links.unionByName(cut.select("rep", *extra, "plan", "key", "prefix", "node", "pair.u", "pair.v").groupBy("plan", "prefix", "u", "v").applyInArrow(pair_of, schema))
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -281,6 +335,132 @@ def bits_of_similarity(similarity: float) -> int:
     return ceil(64 * acos(2 * similarity / (1 + similarity)) / pi)
 
 
+def signatures(docs: DataFrame, words_per_shingle: int, tries: int) -> DataFrame:
+    """doc_id, fps (``tries`` fingerprints), digest (of the set of shingles), size (of that set)."""
+
+    def run(batches):
+        import pyarrow as pa
+        import xxhash
+
+        for batch in row_batches(batches, 16 << 20):
+            fps, digests, sizes = [], [], []
+            for t in batch.column(1).to_pylist():
+                hashes = shingle_hashes((t or "").encode("utf-8", "surrogatepass"), words_per_shingle)
+                fps.append([np.uint64(majority_bits(remixed(hashes, i))).view(np.int64) for i in range(tries)])
+                distinct = np.unique(hashes)
+                digests.append(xxhash.xxh3_128_hexdigest(distinct.tobytes()))
+                sizes.append(len(distinct))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.list_(pa.int64())), pa.array(digests, pa.string()), pa.array(sizes, pa.int64())], ["doc_id", "fps", "digest", "size"])
+
+    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fps array<long>, digest string, size long")
+
+
+def remixed(hashes: np.ndarray, i: int) -> np.ndarray:
+    """The hashes for fingerprint i: as they are for 0, else added to, multiplied and folded."""
+    if i == 0:
+        return hashes
+    x = (hashes + np.uint64(i)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def shingle_sets(docs: DataFrame, nodes: DataFrame, words_per_shingle: int) -> DataFrame:
+    """node, shingles (the set of hashes) of the documents in nodes; a doc_id with several texts has several sets."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in row_batches(batches, 8 << 20):
+            sets = [np.unique(shingle_hashes((t or "").encode("utf-8", "surrogatepass"), words_per_shingle)).view(np.int64) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes, "node", "left_semi")
+    return texts.distinct().mapInArrow(run, "node long, shingles array<long>")
+
+
+def similar(pairs: DataFrame, sets: DataFrame, similarity: float, hot: int = 500) -> DataFrame:
+    """The rows (a, b) of pairs whose shingle sets have that Jaccard similarity or more.
+
+    A node with more than ``hot`` partners gets its set copied once per ``hot`` of them, so its
+    pairs spread over tasks.
+    """
+    for key, other in ("a", "b"), ("b", "a"):
+        many = pairs.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / hot).alias("salts")).where("salts > 1").withColumnRenamed(key, "node")
+        copies = sets.join(many, "node", "left").select("node", F.col("shingles").alias(f"set_{key}"), F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
+        spread = pairs.join(many, pairs[key] == many["node"], "left").withColumn("salt", F.pmod(F.xxhash64(other), F.coalesce("salts", F.lit(1)))).drop("node", "salts")
+        pairs = spread.join(copies, (spread[key] == copies["node"]) & (spread["salt"] == copies["salt"])).drop("node", "salt")
+    sizes = F.size("set_a") + F.size("set_b")
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    near = F.least(F.size("set_a"), F.size("set_b")) >= similarity * F.greatest(F.size("set_a"), F.size("set_b")) - 1e-9
+    return pairs.where(near & (both >= similarity * (sizes - both) - 1e-9)).select("a", "b").distinct()
+
+
+def similar_groups(docs: DataFrame, similarity: float = 0.8, words_per_shingle: int = 5, tries: int = TRIES, max_bits: int | None = None, hot: int = HOT_SUBTRIE) -> DataFrame:
+    """doc_id, component_id (smallest doc_id reachable) of distinct doc_ids, over links checked against the similarity.
+
+    Documents with equal sets of shingles form a class. Classes whose fingerprints, in any of
+    ``tries``, link by the trie join are candidates; a candidate pair is a link only if its
+    shingle sets have the similarity. No group is written out as pairs: the members of a group
+    of candidates are first checked against a few pivots, over and over while that settles a
+    quarter of them, and only candidate pairs that then still lie in different checked groups
+    are checked one by one. So every candidate pair either lies in one checked group or is checked.
+
+    Empty or null text: the empty set, like every other such text and no text with words. Rows
+    without doc_id are left out. Rows that share a doc_id form one node, with all their texts.
+    """
+    max_bits = bits_of_similarity(similarity) if max_bits is None else max_bits
+    sigs = materialize(signatures(docs, words_per_shingle, tries))
+    classes = materialize(sigs.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("fps").alias("fps"), F.first("size").alias("size")))
+    n, found = classes.count(), []
+    for i in range(tries):
+        by_fp = classes.select(F.col("fps")[i].alias("fp"), "rep")
+        least = by_fp.groupBy("fp").agg(F.min("rep").alias("low"))
+        same = by_fp.join(least, "fp").where("rep != low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
+        found.append(materialize(spanning_links(least.withColumnRenamed("low", "rep"), max_bits, n, hot).unionByName(same).distinct()))
+    linked = components(_union(found))
+    members = materialize(linked.unionByName(linked.select(F.col("component").alias("node"), "component").distinct()))
+    sets = materialize(shingle_sets(docs, members.select("node"), words_per_shingle))
+    checked, open_, left, turn = [], members, members.count(), 0
+    while left:
+        picks = [F.expr(f"min_by(node, xxhash64(node, {turn}, {i}))") for i in range(PIVOTS)]
+        pivots = open_.groupBy("component").agg(F.array_distinct(F.array(F.min("node"), *picks)).alias("p")).select("component", F.explode("p").alias("b"))
+        pairs = open_.join(pivots, "component").where("node != b").select(F.col("node").alias("a"), "b")
+        checked.append(materialize(similar(pairs, sets, similarity)))
+        done = checked[-1].select(F.col("a").alias("node")).unionByName(pivots.select(F.col("b").alias("node"))).distinct()
+        open_ = materialize(open_.join(done, "node", "left_anti"))
+        before, left, turn = left, open_.count(), turn + 1
+        if left > 0.75 * before:
+            break
+    labels = components(_union(checked)) if checked else linked
+    labelled = members.join(labels.select("node", F.col("component").alias("label")), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    split = labelled.groupBy("component").agg((F.min("label") != F.max("label")).alias("many")).where("many").select("component")
+    rest = materialize(labelled.join(split, "component", "left_semi").join(classes, F.col("node") == classes["rep"]).select("rep", "label", "size", "fps"))
+    n_rest = rest.count()
+    if n_rest:
+        pairs = _union([spanning_links(rest.select("rep", "label", "size", F.col("fps")[i].alias("fp")), max_bits, n_rest, hot, similarity) for i in range(tries)])
+        checked.append(materialize(similar(materialize(pairs.where("a != b").distinct()), sets, similarity)))
+        labels = components(_union(checked))
+    named = classes.select("digest", "rep").join(labels, F.col("rep") == F.col("node"), "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
+    out = materialize(sigs.join(named, "digest").groupBy("doc_id").agg(F.min("component_id").alias("component_id")))
+    for step in (sigs, classes, members, sets, rest, *found, *checked):
+        discard(step)
+    return out
+
+
+def _union(frames: list) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def without_similar(docs: DataFrame, similarity: float = 0.8, words_per_shingle: int = 5, **options) -> DataFrame:
+    """The rows of docs, as they are, that have the smallest doc_id of their group in similar_groups().
+
+    Rows without doc_id stay. Rows that share a doc_id stay or go together.
+    """
+    stay = similar_groups(docs, similarity, words_per_shingle, **options).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id_"))
+    known = docs.where("doc_id is not null")
+    return known.join(stay, known["doc_id"] == stay["kept_id_"], "left_semi").unionByName(docs.where("doc_id is null"))
+
+
 def without_near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, words_per_shingle: int = SHINGLE_WORDS, hot: int = HOT_SUBTRIE) -> DataFrame:
     """The rows of docs, as they are, that have the smallest doc_id of their group of linked fingerprints.
 

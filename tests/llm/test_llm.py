@@ -101,6 +101,66 @@ def test_simhash(docs, none, hot):
     assert simhash.without_near_duplicates(docs).columns == docs.columns
 
 
+@pytest.mark.parametrize("settled", [True, False])
+def test_similar_groups(spark, none, monkeypatch, settled):
+    """Groups equal those over all candidate pairs that have the similarity, found by plain loops."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(2, 6)))
+    texts = [None, "", " \n", "a b", "A  b", "one two three four five", "x " * 300]
+    for _ in range(6):  # chains of edits: each like its neighbours, less and less like the first
+        w = [word() for _ in range(rng.choice([60, 150, 400]))]
+        for _ in range(rng.randint(2, 14)):
+            texts.append(" ".join(w))
+            for _ in range(rng.randint(1, max(1, len(w) // 60))):
+                w[rng.randrange(len(w))] = word()
+    texts += rng.sample(texts, 6)
+    rng.shuffle(texts)
+    rows = [(3 * i, t, "en", "s", 0, None, 1) for i, t in enumerate(texts)]
+    rows += [rows[5], (3 * len(texts), texts[-1], None, None, None, None, None), (3, "shares its doc_id with another text", None, None, None, None, None)]
+    docs = spark.createDataFrame(rows + [(None, "no id", None, None, None, None, None)], DOCS).repartition(3)
+    if not settled:  # pivots settle nothing: every pair is left to the second walk of the tries
+        whole, calls = simhash.similar, []
+        monkeypatch.setattr(simhash, "similar", lambda p, s, j, **k: calls.append(1) or (whole(p, s, j, **k) if len(calls) > 1 else whole(p, s, j, **k).where("false")))
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(docs).collect()}
+    nodes = sorted({(r[0], r[1] or "") for r in rows})
+    hashes = [simhash.shingle_hashes(t.encode(), 5) for _, t in nodes]
+    fps = [[simhash.majority_bits(simhash.remixed(h, i)) for i in range(simhash.TRIES)] for h in hashes]
+    label, linked, unlike = {i: i for i, _ in nodes}, 0, 0
+    for (i, _), g, p in zip(nodes, hashes, fps):
+        for (j, _), h, q in zip(nodes, hashes, fps):
+            a, b = set(g.tolist()), set(h.tolist())
+            like = a == b or len(a & b) >= 0.8 * len(a | b)
+            near = any((x ^ y).bit_count() <= 10 for x, y in zip(p, q))
+            linked, unlike = linked + (like and near), unlike + (near and not like)
+            if like and near and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = {k: low if v == high else v for k, v in label.items()}
+    assert got == label and linked > len(nodes) and unlike > 0
+    kept = simhash.without_similar(docs)
+    assert kept.columns == docs.columns
+    if settled:
+        assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted(r[0] for r in rows if label[r[0]] == r[0])
+        assert kept.where("doc_id is null").count() == 1 and simhash.similar_groups(none).count() == 0
+
+
+@pytest.mark.parametrize("hot", [simhash.HOT_SUBTRIE, 4])
+def test_every_link_once(spark, hot):
+    rng = np.random.default_rng(3)
+    keys = [int(k) for k in rng.integers(0, 2**63, 5, dtype=np.uint64)]
+    keys = [k ^ (1 << int(a)) ^ (1 << int(b)) for k in keys for a, b in rng.integers(0, 63, (9, 2))] + keys * 8
+    rows = [(k, i, i % 7, 10 + i % 4) for i, k in enumerate(keys)]
+    got = simhash.spanning_links(spark.createDataFrame(rows, "fp long, rep long, label long, size long"), 4, hot=hot, least_ratio=0.8).collect()
+    want = {(j, i) for k, i, c, n in rows for m, j, d, o in rows if i < j and c != d and min(n, o) >= 0.8 * max(n, o) and (k ^ m).bit_count() <= 4}
+    assert len(got) == len(want) > 0 and {(r.a, r.b) for r in got} == want
+
+
+def test_similar_hot_node(spark):
+    sets = spark.createDataFrame([(i, list(range(10)) if i % 2 else [*range(9), 100 + i]) for i in range(60)], "node long, shingles array<long>")
+    pairs = spark.createDataFrame([(i, 1) for i in range(60) if i != 1] + [(59, i) for i in range(2, 59)], "a long, b long")
+    got = {(r.a, r.b) for r in simhash.similar(pairs, sets, 0.82, hot=7).collect()}  # 9 of 11 is 0.818
+    assert got == {(i, 1) for i in range(3, 60, 2)} | {(59, i) for i in range(3, 59, 2)}
+
+
 def test_simhash_bits():
     import xxhash
 
@@ -440,7 +500,7 @@ def edge_rows():
 
 OPERATORS = {
     "op2": lambda d: licenses.scanned(d), "op3": lambda d: langid.identified(d, langid.train(d)), "op5": suffix_dedup.dedup_report, "op5 texts": suffix_dedup.deduplicated,
-    "op8": packing.pack, "op9": merkle.edit_report, "op10": simhash.near_duplicates, "op10 texts": simhash.without_near_duplicates,
+    "op8": packing.pack, "op9": merkle.edit_report, "op10": simhash.near_duplicates, "op10 texts": simhash.without_near_duplicates, "op10 checked texts": simhash.without_similar,
     "op6": lambda d: quality.scored(d, quality.train(d, d.select("doc_id", F.lit(1).alias("quality")))), "op7": lambda d: decontam.leaks(d, d.where("doc_id = 3").select(F.col("doc_id").alias("item_id"), "text")),
 }
 
