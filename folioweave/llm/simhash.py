@@ -209,21 +209,27 @@ def spanning_links(classes: DataFrame, max_bits: int = MAX_BITS, n: int | None =
     n = classes.count() if n is None else n
     extra = [] if least_ratio is None else ["label", "size"]
     plans = block_plan(n, max_bits)
-    leads = sum(w for _, w, chosen in plans[0] if chosen)
-
-    def moved(i):
-        left, out = 64, None
-        for shift, width, _ in plans[i]:
-            left -= width
-            part = F.shiftleft(F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1).cast("long")), left)
-            out = part if out is None else out.bitwiseOR(part)
-        return out
-
     leads = [sum(width for _, width, chosen in p if chosen) for p in plans]
     lead_of = F.get(F.array(*map(F.lit, leads)), F.col("plan"))
-    rows = classes.select("rep", *extra, F.explode(F.array(*[F.struct(F.lit(i).alias("plan"), moved(i).alias("key")) for i in range(len(plans))])).alias("m")).select("rep", *extra, "m.plan", "m.key")
-    rows = rows.withColumn("prefix", F.call_function("shiftrightunsigned", F.col("key"), F.lit(64) - lead_of))
     n_parts = int(max(8, min(100_000, n * len(plans) / 400_000)))
+
+    def dealt(batches):
+        """Each row once per plan, with its bits moved so that the plan's chosen blocks lead."""
+        import pyarrow as pa
+
+        for batch in batches:
+            fp = batch.column(0).to_numpy().view(np.uint64)
+            for i, plan in enumerate(plans):
+                key, left = np.zeros(len(fp), np.uint64), 64
+                for shift, width, _ in plan:
+                    left -= width
+                    key |= ((fp >> np.uint64(shift)) & np.uint64((1 << width) - 1)) << np.uint64(left)
+                prefix = key >> np.uint64(64 - leads[i])
+                moved = [pa.array(np.full(len(fp), i, np.int32)), pa.array(key.view(np.int64)), pa.array(prefix.view(np.int64))]
+                yield pa.RecordBatch.from_arrays([*batch.columns[1:], *moved], ["rep", *extra, "plan", "key", "prefix"])
+
+    longs = ", ".join(f"{c} long" for c in ("rep", *extra))
+    rows = classes.select("fp", "rep", *extra).repartition(n_parts, "rep").mapInArrow(dealt, f"{longs}, plan int, key long, prefix long")
     heavy = rows.groupBy("plan", "prefix").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > hot).select("plan", "prefix")
     has_heavy = n > hot and heavy.limit(1).count() > 0
     schema = "a long, b long"
