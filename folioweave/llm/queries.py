@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, html_extract, langid, licenses, merkle, packing, quality, simhash, suffix_dedup
+from . import chat, decontam, html_extract, langid, licenses, merkle, packing, phrases, pitman_yor, quality, repair, simhash, suffix_dedup
 from .common import table
 
 
@@ -48,6 +48,18 @@ def op10_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark, sf_dir):
+    return repair.repair_report(table(spark, sf_dir, "conversations"))
+
+
+def op13_lm_scoring(spark, sf_dir):
+    return pitman_yor.scores(table(spark, sf_dir, "documents"))
+
+
 _ALL = (
     op1_html_extraction,
     op2_license_scans,
@@ -59,6 +71,9 @@ _ALL = (
     op8_best_fit_packing,
     op9_document_fingerprints,
     op10_simhash_near_dedup,
+    op11_phrase_collocations,
+    op12_conversation_repair,
+    op13_lm_scoring,
 )
 QUERIES = {f.__name__: f for f in _ALL}
-ORACLE_SQL: dict[str, str] = {"op4_chat_formatting": chat.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op4_chat_formatting": chat.ORACLE, "op11_phrase_collocations": phrases.ORACLE, "op12_conversation_repair": repair.ORACLE}
