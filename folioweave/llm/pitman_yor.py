@@ -262,6 +262,8 @@ def _sweep(p: dict, moves: int, sweep: int, seed: int):
 
     def each(table: pa.Table) -> pa.Table:
         rows = _by_kind(table)
+        if "pairs" not in rows:  # a cell where no pair lies
+            return _rows(_STATE, [])
         pairs, a, b = rows["pairs"][0], rows["pairs"][0]["a"], rows["pairs"][0]["b"]
         code, n, t = unpacked_sorted(pairs["codes"]), unpacked(pairs["x"]), unpacked(rows["tables"][0]["x"])
         weight = _Stats(code, rows["contexts"][0], rows["parent"][0], p).weight
@@ -281,6 +283,8 @@ def _answers(params: dict[int, dict]):
     """One cell: averaged predictive probabilities (log10) of the pairs of each shard."""
     def each(table: pa.Table) -> pa.Table:
         rows = _by_kind(table)
+        if "pairs" not in rows:
+            return _rows(_ANSWER, [])
         code, n = unpacked_sorted(rows["pairs"][0]["codes"]), unpacked(rows["pairs"][0]["x"])
         of = {(k, r["sweep"]): r for k in ("tables", "contexts", "parent") for r in rows[k]}
         mean = sum(_Stats(code, of["contexts", s], of["parent", s], p).predicted(n, unpacked(of["tables", s]["x"])) for s, p in params.items()) / len(params)

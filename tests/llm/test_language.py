@@ -184,7 +184,7 @@ def test_seating():
         first = pitman_yor.first_tables(np.array([2, 50, 10**6]), np.array([0.5, 3.0, 40.0]), alone)
         assert (first >= 1).all() and first[2] < 2000
     x = np.array([0.1, 0.7, 1.0, 3.5, 12.0, 1e6])
-    assert np.allclose(pitman_yor.log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-12, atol=1e-11)
+    assert np.allclose(pitman_yor.log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-9, atol=1e-9)
 
 
 def base_scores(rows):
