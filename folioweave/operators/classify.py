@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import png
 from ..functions.text import stamp
-from . import decide as D, geometry as G, images as I, preprocess, regions, watermark as W
+from . import decide as D, engines, geometry as G, images as I, regions, watermark as W
 
 
 class TimedOut(Exception):
@@ -107,11 +107,15 @@ def _measured(engine: Callable, seconds: float):
         kinds = {"width": pa.int32(), "height": pa.int32(), "box": pa.list_(pa.string()), "left": pa.list_(pa.string()), "right": pa.list_(pa.string()), "visual_q": pa.bool_()}
         kinds["found"] = pa.list_(pa.struct([(n, pa.float64() if n == "mean" else pa.int32()) for n in ("angle", "x", "y", "width", "height", "letters", "mean")]))
         kinds |= {"status": pa.string(), "error": pa.string()}
-        read = engine()
+        read, broken = None, None
+        try:
+            read = engine()
+        except engines.EngineFailed as e:  # every crop of this worker reports it
+            broken = str(e)
 
         def safe(part) -> list[str]:
             try:
-                return _texts(read(png.encode(part))) if part.size else []
+                return _texts(read(png.encode(I.for_reading(part)))) if part.size else []
             except TimedOut:
                 raise
             except Exception:  # noqa: BLE001 - what cannot be read has no text
@@ -121,6 +125,9 @@ def _measured(engine: Callable, seconds: float):
             rows = []
             for data in batch.column(batch.schema.get_field_index("png")).to_pylist():
                 row = dict.fromkeys(kinds)
+                if broken:
+                    rows.append(row | {"status": "failed", "error": broken})
+                    continue
                 try:
                     with time_limit(seconds):
                         g = I.gray(png.decode(data or b""))
@@ -152,7 +159,7 @@ def _band_texts(engine: Callable):
                     try:
                         read = read or engine()
                         turned, b = I.rotated(W.masked(I.gray(png.decode(data))), g["angle"]), g["band"]
-                        texts = _texts(read(png.encode(turned[b["y"] : b["y"] + b["height"], b["x"] : b["x"] + b["width"]])))
+                        texts = _texts(read(png.encode(I.for_reading(turned[b["y"] : b["y"] + b["height"], b["x"] : b["x"] + b["width"]]))))
                     except Exception:  # noqa: BLE001 - what cannot be read has no text
                         texts = []
                 out.append(texts)
@@ -165,8 +172,10 @@ def classified(crops_: DataFrame, engine: Callable, seconds: float = 20.0) -> Da
     """Adds status (ok, timed_out, failed), error, deleted, confidence, rule, ocr_confidence and the structs of all stages.
 
     The stage structs (serial, geometry, watermark) are what a reader needs to follow a decision.
-    ``engine`` is made once a task and maps an image's bytes to nested text lines.
+    ``engine`` maps an image's bytes to nested text lines; it is made once in each worker and sees grey
+    parts without noise. Where it does not start, crops have the status failed.
     """
+    engine = engines.per_worker(engine)
     texts = "array<string>"
     seen = crops_.mapInArrow(_measured(engine, seconds), f"{_schema(crops_)}m_width int, m_height int, m_box {texts}, m_left {texts}, m_right {texts}, m_visual_q boolean, m_found array<{W.CANDIDATE}>, m_status string, m_error string")
     best = W.geometry(F.col("m_found"), F.col("m_width"), F.col("m_height"))

@@ -80,13 +80,10 @@ def wait_seconds(message: str, attempt: int) -> float:
 
 
 def retry_delay(message: Column, attempt: Column) -> Column:
-    """wait_seconds() of columns (an Arrow-batched function)."""
-
-    @F.pandas_udf("double")
-    def delay(messages: pd.Series, attempts: pd.Series) -> pd.Series:
-        return pd.Series([wait_seconds(m or "", int(n)) for m, n in zip(messages, attempts)], dtype=float)
-
-    return delay(message, attempt)
+    """wait_seconds() of columns."""
+    hint = group(message, f"(?i){_HINT.pattern}").cast("double")
+    doubling = F.pow(F.lit(2.0), F.least(F.greatest(attempt - 1, F.lit(0)), F.lit(5)).cast("double"))
+    return F.when(hint.isNotNull(), F.greatest(hint + 0.5, F.lit(1.0))).otherwise(F.least(doubling, F.lit(30.0)))
 
 
 def carved_json(text: Column) -> Column:

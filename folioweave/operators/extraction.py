@@ -27,9 +27,12 @@ def chosen_backend(name: str, client: Callable | None, model: str | None) -> str
     return "ocr"
 
 
-def extracted(crops: DataFrame, backend: str = "auto", client: Callable | None = None, model: str | None = None, fallback: str | None = None, lines: str = "lines", **how) -> DataFrame:
+def extracted(crops: DataFrame, backend: str = "auto", client: Callable | None = None, model: str | None = None, fallback: str | None = None, lines: str = "lines", read: Callable[[DataFrame], DataFrame] | None = None, **how) -> DataFrame:
     """crops (png, lines as cards have them, other columns) with a record's fields, raw_text, model and error.
 
+    With ``read`` (which adds lines to crops) there is no such column: text is recognised for those crops
+    alone whose lines are parsed.
+
     The model is asked once for each row. A row on which it fails keeps the error (llm) or is parsed
     from its lines (auto, where model is then null). A payload without raw text gets its lines as
     {"ocr_text": [...]}. Rows that the model settles are parsed as if they had no lines, which costs nothing.
@@ -37,8 +40,10 @@ def extracted(crops: DataFrame, backend: str = "auto", client: Callable | None =
     way = chosen_backend(backend, client, model)
     none = F.lit(None).cast("string")
     if way == "ocr":
-        return records(crops, lines).withColumns({"model": none, "error": none})
+        return records(read(crops) if read else crops, lines).withColumns({"model": none, "error": none})
     asked = models.extracted(crops, client, model, fallback, **how)
+    if read:
+        return asked if way == "llm" else _read_where_failed(asked, read, lines)
     told = F.to_json(F.struct(F.transform(F.col(lines), lambda l: l["text"]).alias("ocr_text")))
     asked = asked.withColumn("raw_text", F.when(F.col("error").isNull(), F.coalesce("raw_text", told)))
     if way == "llm":
@@ -51,3 +56,11 @@ def extracted(crops: DataFrame, backend: str = "auto", client: Callable | None =
     picked = [F.when(failed, F.col(n)).otherwise(F.col(f"model_.{n}")).alias(n) for n in fields]
     out = read.select(*[F.when(failed, none).otherwise(F.col("model")).alias("model") if c == "model" else F.col(f"`{c}`") for c in kept], *picked)
     return out.withColumn("error", none)
+
+
+def _read_where_failed(asked: DataFrame, read: Callable[[DataFrame], DataFrame], lines: str) -> DataFrame:
+    """The model's records, and records of recognised lines of the crops on which it failed."""
+    own = asked.where("error is not null").drop(*models.FIELDS, "raw_text", "model", "error")
+    none = F.lit(None).cast("string")
+    parsed = records(read(own), lines).withColumns({"model": none, "error": none}).drop(lines)
+    return asked.where("error is null").unionByName(parsed.select(*asked.columns))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import png
-from . import images
+from . import engines, images
 
 
 def _items(json: Column) -> Column:
@@ -37,11 +37,13 @@ def lines(raw: Column, language: str) -> Column:
 def recognized(crops: DataFrame, engine: Callable[[], Callable[[bytes], object]], language: str = "hi", image: str = "png", prepare: bool = True) -> DataFrame:
     """Adds ocr (lines) and ocr_error to crops.
 
-    ``engine`` makes a function from an image's bytes to a nested answer; it is called once per
-    task, and an error of it, or of one image, becomes that row's ocr_error. With ``prepare`` the
+    ``engine`` makes a function from an image's bytes to a nested answer; it is called once in each
+    worker, and an error of it, or of one image, becomes that row's ocr_error. With ``prepare`` the
     engine sees a grey copy without noise (few-levelled images as they are); what is no PNG goes to it untouched.
     """
 
+    make = engines.per_worker(engine)
+
     def run(batches):
         import json
 
@@ -49,9 +51,10 @@ def recognized(crops: DataFrame, engine: Callable[[], Callable[[bytes], object]]
 
         read, broken = None, None
         try:
-            read = engine()
-        except Exception as e:  # noqa: BLE001 - every row reports it
-            broken = f"{type(e).__name__}: {e}"
+            read = make()
+        except engines.EngineFailed as e:  # every row reports it
+            broken = str(e)
+
         def seen(data: bytes) -> bytes:
             return png.encode(images.for_reading(png.decode(data))) if prepare and data.startswith(b"\x89PNG") else data
 

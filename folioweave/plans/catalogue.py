@@ -498,12 +498,42 @@ def _stub_client():
     return send
 
 
-@query("SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 1 THEN 'big' ELSE 'small' END AS model, CAST(c_custkey AS VARCHAR) AS serial_number, CASE WHEN c_custkey % 3 < 2 THEN 'N' || c_custkey END AS elector_name, CASE WHEN c_custkey % 3 <> 1 THEN CAST(c_custkey % 90 AS VARCHAR) END AS house_number, CAST(20 + c_custkey % 60 AS INT) AS age FROM customer")
+@query("SELECT c_custkey AS k, CASE c_custkey % 3 WHEN 1 THEN 'big' WHEN 0 THEN 'small' END AS model, CASE WHEN c_custkey % 3 < 2 THEN CAST(c_custkey AS VARCHAR) END AS serial_number, CASE WHEN c_custkey % 3 < 2 THEN 'N' || c_custkey END AS elector_name, CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey % 90 AS VARCHAR) END AS house_number, CASE WHEN c_custkey % 3 < 2 THEN CAST(20 + c_custkey % 60 AS INT) END AS age, CASE WHEN c_custkey % 3 = 2 THEN 'ValueError: Low-quality extraction: elector_name is missing' END AS error FROM customer")
 def l2_l10_fallback(spark, d):
+    """A third of the cards is sound, a third is so with the second model, a third is weak in both and fails."""
     from ..operators.models import extracted
 
     c = X.table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_custkey").cast("string").cast("binary").alias("png"))
-    return extracted(c, _stub_client, "small", "big", rounds=1, tries=1).select("k", "model", "serial_number", "elector_name", "house_number", "age")
+    return extracted(c, _stub_client, "small", "big", rounds=1, tries=1, key=("k",)).select("k", "model", "serial_number", "elector_name", "house_number", "age", "error")
+
+
+def _patient_client():
+    """A model that fails in a way of its own for each card and round; an image is ``k`` and tells no round, so a card's rounds are counted."""
+    import json
+
+    asked: dict[int, int] = {}
+
+    def send(image: bytes, model: str, prompt: str) -> str:
+        k = int(image)
+        asked[k] = asked.get(k, 0) + 1
+        if k % 4 == 1:
+            raise ValueError(f"refused {asked[k]}")
+        name = None if k % 4 == 2 or (k % 4 == 3 and k % 8 == 3) else f"N{k}"
+        return json.dumps({"serial_number": str(k), "epic_number": "ABC1234567", "elector_name": name, "relation_name": "R", "house_number": None, "gender": "female", "age": 40})
+
+    return send
+
+
+@query("SELECT k, attempt::INT AS attempt, CASE WHEN k % 4 = 1 THEN 'ValueError: refused 1' WHEN k % 4 = 2 OR k % 8 = 3 THEN 'ValueError: Low-quality extraction: elector_name is missing' END AS error FROM (SELECT c_custkey AS k FROM customer), range(1, 4) AS t(attempt) WHERE attempt = 1 OR k % 4 IN (1, 2) OR k % 8 = 3")
+def l1_attempts(spark, d):
+    """Every attempt of three rounds: settled cards have one, cards that fail or stay weak three."""
+    from .. import scratch
+    from ..operators import models
+
+    folder = scratch.new_folder(spark)
+    c = X.table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_custkey").cast("string").cast("binary").alias("png"))
+    models.best_payloads(c, _patient_client, "m", rounds=3, tries=1, patience=0.0, key=("k",), folder=folder)
+    return models.attempts(spark, folder).select("k", "attempt", "error")
 
 
 @query("SELECT p_partkey AS k, least(power(2, greatest(p_size - 1, 0)), 30)::DOUBLE AS seconds FROM part")
@@ -534,9 +564,9 @@ def d19_d20_geometry(spark, d):
 # ---- the model first, recognised text where it fails
 
 
-@query(f"WITH r AS ({RECORD_SQL}) SELECT k, CASE WHEN k % 4 <> 0 THEN 'm' END AS model, CASE WHEN k % 4 = 0 THEN r.serial_number ELSE CAST(k AS STRING) END AS serial_number, CASE WHEN k % 4 = 0 THEN r.elector_name ELSE 'N' END AS elector_name, CASE WHEN k % 4 = 0 THEN r.relation_type ELSE 'father' END AS relation_type, CASE WHEN k % 4 = 0 THEN r.age ELSE 30 END AS age, CASE WHEN k % 4 = 0 THEN r.gender ELSE 'female' END AS gender FROM r")
+@query(f"WITH r AS ({RECORD_SQL}) SELECT k, CASE WHEN k % 4 <> 0 AND k % 5 <> 0 THEN 'm' END AS model, CASE WHEN k % 4 = 0 OR k % 5 = 0 THEN r.serial_number ELSE CAST(k AS STRING) END AS serial_number, CASE WHEN k % 4 = 0 OR k % 5 = 0 THEN r.elector_name ELSE 'N' END AS elector_name, CASE WHEN k % 4 = 0 OR k % 5 = 0 THEN r.relation_type ELSE 'father' END AS relation_type, CASE WHEN k % 4 = 0 OR k % 5 = 0 THEN r.age ELSE 30 END AS age, CASE WHEN k % 4 = 0 OR k % 5 = 0 THEN r.gender ELSE 'female' END AS gender FROM r")
 def x1_x2_model_first(spark, d):
-    """Every fourth card is one that the model cannot read."""
+    """Every fourth card is one that the model cannot read; of every fifth its answer is weak. Both are parsed from text."""
     from ..operators.extraction import extracted
 
     def client():
@@ -545,12 +575,12 @@ def x1_x2_model_first(spark, d):
         def send(image: bytes, model: str, prompt: str) -> str:
             if int(image) % 4 == 0:
                 raise ValueError("unreadable")
-            return json.dumps({"serial_number": image.decode(), "epic_number": "ABC1234567", "elector_name": "N", "relation_type": "Father", "relation_name": "R", "house_number": "1", "gender": "female", "age": 30})
+            return json.dumps({"serial_number": image.decode(), "epic_number": "ABC1234567", "elector_name": "N" if int(image) % 5 else None, "relation_type": "Father", "relation_name": "R", "house_number": "1", "gender": "female", "age": 30})
 
         return send
 
     cards = X.cards(spark, d).withColumn("png", F.col("k").cast("string").cast("binary"))
-    return extracted(cards, " Auto ", client, "m", rounds=1, tries=1).select("k", "model", "serial_number", "elector_name", "relation_type", "age", "gender")
+    return extracted(cards, " Auto ", client, "m", rounds=1, tries=1, key=("k",)).select("k", "model", "serial_number", "elector_name", "relation_type", "age", "gender")
 
 
 @query(f"SELECT k, serial_number, epic_number, raw_text FROM ({RECORD_SQL})")

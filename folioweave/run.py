@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .operators import classify, extraction, models, preprocess, recognition, records
+from .operators import classify, engines, extraction, models, preprocess, recognition, records
 from .settings import Settings, settings
 from .sinks import files, image_sheets, spreadsheet, text
 from .sources.json_records import read_records
@@ -29,13 +29,18 @@ def classify_document(pages: DataFrame, document: str, engine: Callable, out: st
     Earlier crops of this document are replaced, those of others stay. Boxes come from the clean
     page and crops from the raw one, so deskew (which would move them) is left out. A page or a
     crop that fails leaves its error in status and error, and the others go on; timed-out crops
-    are also logged by name.
+    are also logged by name. An engine that no worker can start is logged, and the document has no crops.
     """
-    own = own or settings()
+    own, engine = own or settings(), engines.per_worker(engine)
     options = own.preprocessing()
     options = preprocess.Options(tuple(s for s in options.steps if s != "deskew"), options.kernel, options.clip, options.tiles, options.block, options.c, options.margin)
     clean = preprocess.clean_pages(pages, options)
     cut = classify.crops(classify.grids(clean), least_width=own.crop_min_width, least_height=own.crop_min_height)
+    started, failures = engines.probe(pages.sparkSession, engine)
+    for failure in failures:
+        log.error("the recognition engine did not start", extra={"document": document, "error": failure, "workers_with_engine": started})
+    if not started:
+        cut = cut.where("false")
     done = classify.classified(cut.repartition(max(8, pages.sparkSession.sparkContext.defaultParallelism)), engine, own.entry_timeout_seconds)
     where = f"{out}/{CLASSES}/document={document}"
     done.write.mode("overwrite").parquet(where)
@@ -56,12 +61,15 @@ def extract_document(crops: DataFrame, client: Callable, model: str, out: str, d
     how = {"tries": own.model_max_retries, "rounds": own.model_quality_retries} | how
     good = crops.where("status = 'ok'").select("page", "entry_index", "name", "png", "deleted")
     backend = extraction.chosen_backend(own.extraction_backend, client, model)
+    read = None
     if engine and backend != "llm":
-        good = recognition.recognized(good, engine, own.ocr_language).withColumn("lines", records.placed(F.coalesce("ocr", F.array()))).drop("ocr", "ocr_error")
+        make = engines.per_worker(engine)
+        read = lambda c: recognition.recognized(c, make, own.ocr_language).withColumn("lines", records.placed(F.coalesce("ocr", F.array()))).drop("ocr", "ocr_error")
     else:
         good = good.withColumn("lines", F.expr("cast(array() as array<struct<text:string,confidence:double,x:double,y:double,height:double>>)"))
         backend = "llm" if backend == "auto" else backend
-    asked = extraction.extracted(good, backend, client, model, fallback, **how).drop("lines")
+    how = {"key": ("page", "entry_index")} | how
+    asked = extraction.extracted(good, backend, client, model, fallback, read=read, **how).drop("lines")
     where = f"{out}/extracted/{document}"
     asked.drop("png").write.mode("overwrite").parquet(where)  # calls are not made again for each reader
     got = crops.sparkSession.read.parquet(where)

@@ -4,10 +4,11 @@ import zipfile
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from folioweave import logs, run, settings as S
 from folioweave.functions import png
-from folioweave.operators import classify, debug, images as I, models as M, preprocess as P, watermark as W
+from folioweave.operators import classify, debug, engines, images as I, models as M, preprocess as P, watermark as W
 from folioweave.sinks import files, image_sheets as sheets, spreadsheet
 from folioweave.sources import pages as source
 from folioweave.streaming import crops as stream
@@ -161,9 +162,16 @@ def test_model_calls(spark, tmp_path):
     got = {r["k"]: r for r in M.extracted(rows, client, "small", "big", tries=2, rounds=2, patience=0.01).collect()}
     assert got["plain"]["age"] == 34 and got["plain"]["gender"] == "male" and got["plain"]["model"] == "small" and json.loads(got["plain"]["raw_text"])["elector_name"] == "Ravi"
     assert got["flaky"]["error"] is None and got["again"]["error"] is None and "bad request" in got["broken"]["error"] and got["broken"]["model"] is None
-    assert got["noserial"]["serial_number"] == "55" and got["weak"]["model"] == "big" and got["both"]["model"] == "big" and got["both"]["house_number"] == "12"
+    assert got["noserial"]["serial_number"] == "55" and got["weak"]["model"] == "big"
+    assert got["both"]["error"] == "ValueError: Low-quality extraction: elector_name is missing" and got["both"]["model"] is None and got["both"]["house_number"] is None
     assert got["odd"]["error"] == "Invalid gender: x"
     assert M.extracted(rows.where("k = 'no'"), client, "small").count() == 0
+    folder = str(tmp_path / "attempts")
+    for _ in range(2):  # the second run finds all rounds written and asks nothing
+        M.best_payloads(rows, client, "small", "big", tries=2, rounds=3, patience=0.01, key=("k",), folder=folder)
+    tried = M.attempts(spark, folder)
+    assert {r["k"]: r["n"] for r in tried.groupBy("k").agg(F.count("*").alias("n")).collect()} == {k: 3 if k in ("broken", "both") else 1 for k in kinds}
+    assert tried.where("error is not null and due is null").count() == 0
     assert M.base_address("http://a/") == "http://a/v1" == M.base_address("http://a/v1/")
     assert M.answer_text({"choices": [{"message": {"content": [{"type": "text", "text": "a"}, {"type": "text", "text": "b"}]}}]}) == "a\nb"
     for bad in ({}, {"choices": [{"message": {}}]}):
@@ -214,6 +222,52 @@ def test_settings_and_logs(tmp_path, spark):
     assert next((tmp_path / "logs").iterdir()).read_text().strip().endswith("done | a=1 b=2")
 
 
+def test_engine_per_worker(spark, tmp_path):
+    """An engine is made once a worker over many tasks, a failure too; a broken one gives an empty run and no failed job."""
+    made, failed = str(tmp_path / "made"), str(tmp_path / "failed")
+
+    def engine():
+        with open(f"{made}.{os.getpid()}", "a") as f:
+            f.write("x")
+        return lambda data: None
+
+    def broken():
+        with open(f"{failed}.{os.getpid()}", "a") as f:
+            f.write("x")
+        raise RuntimeError("no engine here")
+
+    image = png.encode(np.full((60, 90), 255, np.uint8))
+    crops_ = spark.createDataFrame([(1, i, f"n{i}", image) for i in range(40)], "page int, entry_index int, name string, png binary").repartition(20)
+    good = engines.per_worker(engine)
+    for _ in range(2):
+        assert classify.classified(crops_, good).where("status = 'ok'").count() == 40
+    counts = [len(p.read_text()) for p in tmp_path.glob("made.*")]
+    assert counts and set(counts) == {1}
+    bad = classify.classified(crops_, broken).collect()
+    assert {(r["status"], r["error"]) for r in bad} == {("failed", "RuntimeError: no engine here")}
+    assert {len(p.read_text()) for p in tmp_path.glob("failed.*")} == {1}
+    assert engines.probe(spark, good)[1] == [] and engines.probe(spark, broken) == (0, ["RuntimeError: no engine here"])
+    pages = spark.createDataFrame([(1, png.encode(page()))], "page int, png binary")
+    own = S.Settings(preprocessing_enable_denoise=False, preprocessing_enable_contrast=False)
+    assert run.classify_document(pages, "roll", broken, str(tmp_path / "out"), own).count() == 0
+
+
+def test_engine_sees_prepared_crops(spark):
+    """Classification hands the engine the same grey copies without noise that recognition does."""
+    rng = np.random.default_rng(1)
+    crop = np.clip(200 + rng.normal(0, 3, (100, 240)), 0, 255).astype(np.uint8)
+    h, w = crop.shape
+    left, top, right, low = W.SERIAL_BOX
+    box = crop[int(h * top) : int(h * low), int(w * left) : int(w * right)]
+    expected = png.encode(I.for_reading(box))
+
+    def engine():
+        return lambda data: [[[None, ("Q 12" if data == expected else "", 0.9)]]]
+
+    rows = spark.createDataFrame([(1, 1, "a", png.encode(crop))], "page int, entry_index int, name string, png binary")
+    assert not np.array_equal(I.for_reading(box), box) and classify.classified(rows, engine, 0).first()["serial"]["level"] == "strong"
+
+
 def test_document_run_and_stream(spark, tmp_path):
     def engine():
         return lambda data: None
