@@ -141,8 +141,8 @@ def closed(mask: np.ndarray, w: int, h: int) -> np.ndarray:
     return erode(dilate(mask, w, h), w, h)
 
 
-def components(mask: np.ndarray, eight: bool = True) -> list[tuple[int, int, int, int, int]]:
-    """x, y, width, height, area of the connected parts of mask, by runs of rows."""
+def _runs(mask: np.ndarray, eight: bool) -> tuple[list[tuple[int, int, int]], list[int]]:
+    """Runs of rows (y, from, to), and for each the first run of the connected part it belongs to."""
     parent: list[int] = []
     runs: list[tuple[int, int, int]] = []
     before: list[int] = []
@@ -166,17 +166,37 @@ def components(mask: np.ndarray, eight: bool = True) -> list[tuple[int, int, int
                     parent[find(p)] = find(k)
             now.append(k)
         before = now
+    return runs, [find(k) for k in range(len(runs))]
+
+
+def labelled(mask: np.ndarray, eight: bool = True) -> tuple[list[tuple[int, int, int, int, int]], np.ndarray]:
+    """components(), and each pixel's index in that list (-1 outside)."""
+    runs, first = _runs(mask, eight)
     boxes: dict[int, list[int]] = {}
-    for k, (y, a, b) in enumerate(runs):
-        box = boxes.setdefault(find(k), [a, y, b, y + 1, 0])
+    number: dict[int, int] = {}
+    label = np.full(mask.shape, -1, np.int32)
+    for (y, a, b), root in zip(runs, first):
+        box = boxes.setdefault(root, [a, y, b, y + 1, 0])
         box[0], box[1], box[2], box[3], box[4] = min(box[0], a), min(box[1], y), max(box[2], b), max(box[3], y + 1), box[4] + b - a
-    return [(x, y, r - x, low - y, n) for x, y, r, low, n in boxes.values()]
+        label[y, a:b] = number.setdefault(root, len(number))
+    return [(x, y, r - x, low - y, n) for x, y, r, low, n in boxes.values()], label
+
+
+def components(mask: np.ndarray, eight: bool = True) -> list[tuple[int, int, int, int, int]]:
+    """x, y, width, height, area of the connected parts of mask, by runs of rows."""
+    return labelled(mask, eight)[0]
+
+
+THRESHOLD_BLOCK = 31
+
 
+def grid_mask(image: np.ndarray, ratio: int = 30, page: tuple[int, int] | None = None) -> np.ndarray:
+    """Long horizontal and vertical lines of a page, joined; ``page`` (height, width) if image is a part of one."""
+    return line_mask(adaptive_threshold(gray(image), THRESHOLD_BLOCK, inverted=True) > 0, page or image.shape[:2], ratio)
 
-def grid_mask(image: np.ndarray, ratio: int = 30) -> np.ndarray:
-    """Long horizontal and vertical lines of a page, joined."""
-    ink = adaptive_threshold(gray(image), inverted=True) > 0
-    h, w = ink.shape
+
+def line_mask(ink: np.ndarray, page: tuple[int, int], ratio: int = 30) -> np.ndarray:
+    h, w = page
     across, down = opened(ink, max(10, w // ratio), 1), opened(ink, 1, max(10, h // ratio))
     return closed(dilate(across, 3, 3) | dilate(down, 3, 3), 5, 5)
 
@@ -258,6 +278,10 @@ def visual_q(image: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     return [c for c in components(g <= otsu(g)) if fits(*c)]
 
 
+#: Pixels that watermark_masks() looks around it: a blur of 5, an opening of 21, a closing of 31 and a dilation of 3.
+WATERMARK_REACH = 64
+
+
 def watermark_masks(image: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Letters and band of a grey watermark."""
     soft = blur(gray(image), 5)

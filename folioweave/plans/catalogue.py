@@ -588,3 +588,72 @@ def x1_text_only(spark, d):
     from ..operators.extraction import extracted
 
     return extracted(X.cards(spark, d), "auto").select("k", "serial_number", "epic_number", "raw_text")
+
+
+# ---- rasters on tiles: pages drawn by rows of the tables
+
+
+def _segments(spark, d, name: str, key: str, other: str, per_page: int, width: int, height: int):
+    """page, y, x: each row draws a line across (even) or down (odd), cut at the page's edge."""
+    k, o, at = F.col(key), F.col(other), F.col("i")
+    rows = X.table(spark, d, name).select(k, o, F.explode(F.sequence(F.lit(0), (k % 40 + 4).cast("int"))).alias("i"))
+    across = o % 2 == 0
+    y, x = (k * 7919) % height, (k * 31 + o * 17) % width
+    drawn = rows.select(F.expr(f"{key} div {per_page}").alias("page"), (y + F.when(across, 0).otherwise(at)).alias("y"), (x + F.when(across, at).otherwise(0)).alias("x"))
+    return drawn.where((F.col("y") < height) & (F.col("x") < width))
+
+
+def _segments_sql(name: str, key: str, other: str, per_page: int, width: int, height: int) -> str:
+    """The whole grid of the same pages with v 1 where a line runs."""
+    at = f"SELECT {key} // {per_page} AS page, ({key} * 7919) % {height} + CASE WHEN {other} % 2 = 0 THEN 0 ELSE i END AS y, ({key} * 31 + {other} * 17) % {width} + CASE WHEN {other} % 2 = 0 THEN i ELSE 0 END AS x FROM (SELECT {key}, {other}, unnest(range(0, {key} % 40 + 5)) AS i FROM {name})"
+    dark = f"SELECT DISTINCT page, y, x FROM ({at}) WHERE y < {height} AND x < {width}"
+    return f"SELECT g.page, g.y, g.x, (d.page IS NOT NULL)::INT AS v FROM (SELECT page, y, x FROM (SELECT DISTINCT page FROM ({dark})), range({height}) AS r(y), range({width}) AS c(x)) g LEFT JOIN ({dark}) d ON d.page = g.page AND d.y = g.y AND d.x = g.x"
+
+
+def _slid(inner: str, every: bool, w: int, h: int) -> str:
+    """Erosion (every) or dilation of a grid by a window of w by h."""
+    for axis, along, k in (("y", "x", w), ("x", "y", h)):
+        if k > 1:
+            inner = f"SELECT page, y, x, {'min' if every else 'max'}(v) OVER (PARTITION BY page, {axis} ORDER BY {along} ROWS BETWEEN {k // 2} PRECEDING AND {k - 1 - k // 2} FOLLOWING) AS v FROM ({inner})"
+    return inner
+
+
+_PAGE = (160, 128)
+_DRAWN = _segments_sql("orders", "o_orderkey", "o_custkey", 600, *_PAGE)
+_ACROSS = _slid(_slid(_slid("SELECT * FROM drawn", True, 10, 1), False, 10, 1), False, 3, 3)
+_DOWN = _slid(_slid(_slid("SELECT * FROM drawn", True, 1, 10), False, 1, 10), False, 3, 3)
+_LINES = f"WITH drawn AS ({_DRAWN}), lines AS (SELECT a.page, a.y, a.x, greatest(a.v, d.v) AS v FROM ({_ACROSS}) a JOIN ({_DOWN}) d USING (page, y, x)) "
+
+
+@query(f"{_LINES} SELECT page, y, x FROM ({_slid(_slid('SELECT * FROM lines', False, 5, 5), True, 5, 5)}) WHERE v = 1")
+def g2_g4_line_masks(spark, d):
+    """The pixels of long lines, joined, of pages that orders draw, worked on in tiles."""
+    from ..operators import tiles
+
+    ink = tiles.drawn(_segments(spark, d, "orders", "o_orderkey", "o_custkey", 600, *_PAGE), *_PAGE, size=64)
+    return tiles.pixels_of(tiles.grid_masks(ink, *_PAGE, size=64, ink=True), size=64)
+
+
+_SMALL = (96, 64)
+_PARTS = f"""
+WITH RECURSIVE drawn AS ({_segments_sql('customer', 'c_custkey', 'c_nationkey', 60, *_SMALL)}),
+labels(page, y, x, v, l) USING KEY (page, y, x) AS (
+  SELECT page, y, x, v, y * 96 + x FROM drawn
+  UNION
+  SELECT n.page, n.y, n.x, n.v, min(t.l)
+  FROM (SELECT page, v, l, y + dy AS y, x + dx AS x FROM labels, (VALUES (-1), (0), (1)) AS a(dy), (VALUES (-1), (0), (1)) AS b(dx) WHERE v = 1 OR dy = 0 OR dx = 0) t
+    JOIN recurring.labels n ON n.page = t.page AND n.y = t.y AND n.x = t.x AND n.v = t.v
+  WHERE t.l < n.l GROUP BY ALL),
+parts AS (SELECT page, v, l, min(x) AS x0, min(y) AS y0, max(x) AS x1, max(y) AS y1, count(*) AS area FROM labels GROUP BY page, v, l)
+SELECT page, x0 - (v = 0)::BIGINT AS x, y0 - (v = 0)::BIGINT AS y, x1 - x0 + 1 + 2 * (v = 0)::BIGINT AS width, y1 - y0 + 1 + 2 * (v = 0)::BIGINT AS height, area, v = 0 AS hole
+FROM parts WHERE v = 1 OR (x0 > 0 AND y0 > 0 AND x1 < 95 AND y1 < 63)
+"""
+
+
+@query(_PARTS)
+def g5_cell_boxes(spark, d):
+    """Boxes and areas of connected lines, and of the holes in them, joined over the tiles of pages that customers draw."""
+    from ..operators import tiles
+
+    ink = tiles.drawn(_segments(spark, d, "customer", "c_custkey", "c_nationkey", 60, *_SMALL), *_SMALL, size=32)
+    return tiles.cell_boxes(ink, size=32)

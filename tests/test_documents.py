@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from folioweave import logs, run, settings as S
 from folioweave.functions import png
-from folioweave.operators import classify, debug, engines, images as I, models as M, preprocess as P, watermark as W
+from folioweave.operators import classify, debug, engines, images as I, models as M, preprocess as P, tiles as T, watermark as W
 from folioweave.sinks import files, image_sheets as sheets, spreadsheet
 from folioweave.sources import pages as source
 from folioweave.streaming import crops as stream
@@ -222,6 +222,33 @@ def test_settings_and_logs(tmp_path, spark):
     assert next((tmp_path / "logs").iterdir()).read_text().strip().endswith("done | a=1 b=2")
 
 
+def test_tiles_equal_whole_pages(spark):
+    """Masks, boxes, areas and holes of pages cut into tiles are those of the whole pages, whatever the seams cut."""
+    rng = np.random.default_rng(4)
+    spiral = np.zeros((200, 230), bool)
+    for k in range(0, 90, 6):
+        spiral[k : 200 - k, k] = spiral[k, max(0, k - 6) : 230 - k] = spiral[k : 200 - k, 229 - k] = spiral[199 - k, k + 6 : 230 - k] = True
+    noise = rng.random((150, 311)) < 0.3
+    pages = [page(), np.where(noise, 0, 255).astype(np.uint8), np.where(spiral, 120, 255).astype(np.uint8), np.full((40, 50), 255, np.uint8)]
+    df = spark.createDataFrame([(i, png.encode(a)) for i, a in enumerate(pages)] + [(9, b"bad"), (10, None)], "page long, png binary")
+    whole = lambda f: {(i, int(y), int(x)) for i, a in enumerate(pages) for y, x in zip(*np.nonzero(f(a)))}
+    seen = lambda t, n: {tuple(r) for r in T.pixels_of(t, n).collect()}
+    n = 70
+    masks = T.grid_masks(T.tiled(df, size=n), 1000, 1240, size=n)
+    assert seen(masks, n) == whole(I.grid_mask) and seen(T.tiled(df, size=n), n) == whole(lambda a: a)
+    assert seen(T.watermark_masks(T.tiled(df, size=n), n), n) == whole(lambda a: I.watermark_masks(a)[1])
+    with pytest.raises(ValueError):
+        T.grid_masks(T.tiled(df, size=16), 1000, 1240, size=16)
+    dark = [(i, int(y), int(x)) for i, a in enumerate(pages) for y, x in zip(*np.nonzero(a < 200))]
+    for i, (h, w) in ((1, pages[1].shape), (2, pages[2].shape)):
+        ink = T.drawn(spark.createDataFrame([p for p in dark if p[0] == i], "page long, y int, x int"), w, h, 40)
+        for eight in (True, False):
+            got = sorted(tuple(r)[1:6] for r in T.parts(ink, eight, size=40).collect())
+            assert got == sorted(I.components(pages[i] < 200, eight))
+        boxes = sorted(tuple(r)[1:5] for r in T.cell_boxes(ink, 40).collect())
+        assert boxes == sorted(I.cells(pages[i] < 200))
+
+
 def test_engine_per_worker(spark, tmp_path):
     """An engine is made once a worker over many tasks, a failure too; a broken one gives an empty run and no failed job."""
     made, failed = str(tmp_path / "made"), str(tmp_path / "failed")
