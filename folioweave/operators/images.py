@@ -187,6 +187,35 @@ def components(mask: np.ndarray, eight: bool = True) -> list[tuple[int, int, int
     return labelled(mask, eight)[0]
 
 
+def first_pixels(label: np.ndarray, n: int) -> np.ndarray:
+    """The first pixel (by rows) of each of n labelled parts, as an index into the flat image."""
+    at = np.flatnonzero(label >= 0)[::-1]
+    out = np.zeros(n, np.int64)
+    out[label.ravel()[at]] = at  # the last assignment, that of the first pixel, stays
+    return out
+
+
+def contours(mask: np.ndarray) -> list[dict]:
+    """The tree of outlines: parts (8-connected) and the holes in them (4-connected), each with its parent.
+
+    A part's or a hole's number is that of its first pixel, y * width + x. What lies to the left of that pixel
+    is what encloses it: a part's parent is a hole, a hole's is a part, and what lies in the open has none.
+    Boxes of holes run on the pixels around them.
+    """
+    w = mask.shape[1]
+    (parts, part), (gaps, gap) = labelled(mask), labelled(~mask, eight=False)
+    part_at, gap_at = first_pixels(part, len(parts)), first_pixels(gap, len(gaps))
+    free = [x == 0 or y == 0 or x + bw == w or y + bh == mask.shape[0] for x, y, bw, bh, _ in gaps]
+    out = []
+    for at, (x, y, bw, bh, n) in zip(part_at.tolist(), parts):
+        k = gap[at // w, at % w - 1] if at % w else -1
+        out.append({"contour": at, "x": x, "y": y, "width": bw, "height": bh, "area": n, "hole": False, "parent": None if k < 0 or free[k] else int(gap_at[k])})
+    for at, open_, (x, y, bw, bh, n) in zip(gap_at.tolist(), free, gaps):
+        if not open_:
+            out.append({"contour": at, "x": x - 1, "y": y - 1, "width": bw + 2, "height": bh + 2, "area": n, "hole": True, "parent": int(part_at[part[at // w, at % w - 1]])})
+    return out
+
+
 THRESHOLD_BLOCK = 31
 
 

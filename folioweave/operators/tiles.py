@@ -149,29 +149,37 @@ def pixels_of(tiles: DataFrame, size: int = TILE) -> DataFrame:
     return tiles.mapInArrow(run, "page long, y long, x long")
 
 
-_LABELS = "page long, node long, x0 long, y0 long, x1 long, y1 long, area long, border boolean, y long, x long"
+_LABELS = "page long, dark boolean, node long, x0 long, y0 long, x1 long, y1 long, area long, border boolean, first long, around long, y long, x long"
 
 
-def _labels(eight: bool, dark: bool, size: int):
-    """A row for each part of a tile, and one (with y and x) for each of its pixels on the tile's edge."""
+def _labels(kinds: tuple[tuple[bool, bool], ...], size: int):
+    """For each (dark, eight): a row for each part of a tile, and one (with y and x) for each of its pixels on the tile's edge.
+
+    first is the part's first pixel on the page; around is the other kind's part to its left, null where that
+    is another tile's, or if one kind alone is labelled.
+    """
 
     def run(batches):
         for batch in batches:
             for r in batch.to_pylist():
                 top, left, low, right = _box(r["ty"], r["tx"], r["width"], r["height"], size)
-                mask = (np.frombuffer(r["pixels"], np.uint8).reshape(low - top, right - left) > 0) == dark
-                first = (r["ty"] * len(cuts(r["width"], size)) + r["tx"]) << _ROW_BITS
-                boxes, label = I.labelled(mask, eight)
-                none = dict.fromkeys(("x0", "y0", "x1", "y1", "area", "border", "y", "x"))
+                a = np.frombuffer(r["pixels"], np.uint8).reshape(low - top, right - left) > 0
+                start = (r["ty"] * len(cuts(r["width"], size)) + r["tx"]) << _ROW_BITS
+                found = {dark: I.labelled(a == dark, eight) for dark, eight in kinds}
+                node = lambda dark, k: start + 2 * int(k) + dark
                 rows = []
-                for k, (x, y, w, h, n) in enumerate(boxes):
-                    x, y = x + left, y + top
-                    edge = x == 0 or y == 0 or x + w == r["width"] or y + h == r["height"]
-                    rows.append(none | {"page": r["page"], "node": first + k, "x0": x, "y0": y, "x1": x + w, "y1": y + h, "area": n, "border": edge})
-                rim = np.zeros_like(mask)
-                rim[0], rim[-1], rim[:, 0], rim[:, -1] = True, True, True, True
-                for y, x in zip(*np.nonzero(rim & mask)):
-                    rows.append(none | {"page": r["page"], "node": first + int(label[y, x]), "y": int(y) + top, "x": int(x) + left})
+                for dark, (boxes, label) in found.items():
+                    none = dict.fromkeys(("x0", "y0", "x1", "y1", "area", "border", "first", "around", "y", "x")) | {"page": r["page"], "dark": dark}
+                    for k, ((x, y, w, h, n), at) in enumerate(zip(boxes, I.first_pixels(label, len(boxes)).tolist())):
+                        fy, fx = divmod(at, label.shape[1])
+                        around = node(not dark, found[not dark][1][fy, fx - 1]) if fx and (not dark) in found else None
+                        x, y = x + left, y + top
+                        edge = x == 0 or y == 0 or x + w == r["width"] or y + h == r["height"]
+                        rows.append(none | {"node": node(dark, k), "x0": x, "y0": y, "x1": x + w, "y1": y + h, "area": n, "border": edge, "first": (fy + top) * r["width"] + fx + left, "around": around})
+                    rim = np.zeros_like(a)
+                    rim[0], rim[-1], rim[:, 0], rim[:, -1] = True, True, True, True
+                    for y, x in zip(*np.nonzero(rim & (label >= 0))):
+                        rows.append(none | {"node": node(dark, label[y, x]), "y": int(y) + top, "x": int(x) + left})
                 if rows:
                     yield _batch(rows, _LABELS)
 
@@ -199,28 +207,50 @@ def contracted(edges: DataFrame, folder: str) -> DataFrame:
         now = scratch.once(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), f"{folder}/edges={k}")
 
 
+def _joined(tiles: DataFrame, kinds: tuple[tuple[bool, bool], ...], size: int, folder: str | None) -> tuple[DataFrame, DataFrame]:
+    """Nodes with the root of the part that each belongs to, and the pixels on edges of tiles."""
+    folder = folder or scratch.new_folder(tiles.sparkSession)
+    labels = scratch.once(tiles.mapInArrow(_labels(kinds, size), _LABELS), f"{folder}/labels")
+    rim, nodes = labels.where("y is not null").select("page", "dark", "node", "y", "x"), labels.where("y is null").drop("y", "x")
+    eight = F.array(*[F.lit(dark) for dark, e in kinds if e] or [F.lit(None).cast("boolean")])
+    near: Column = F.when(F.array_contains(eight, F.col("dark")), F.array(F.lit(-1), F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    other = rim.withColumnRenamed("node", "v")
+    below = rim.select("page", "dark", F.col("node").alias("u"), (F.col("y") + 1).alias("y"), F.explode(F.transform(near, lambda d: F.col("x") + d)).alias("x"))
+    beside = rim.select("page", "dark", F.col("node").alias("u"), F.explode(F.transform(near, lambda d: F.col("y") + d)).alias("y"), (F.col("x") + 1).alias("x"))
+    edges = below.unionByName(beside).join(other, ["page", "dark", "y", "x"]).select("page", "u", "v")
+    roots = contracted(edges, folder).select("page", F.col("u").alias("node"), F.col("v").alias("root"))
+    return nodes.join(roots, ["page", "node"], "left").withColumn("root", F.coalesce("root", "node")), rim
+
+
+def _summed(nodes: DataFrame, *more: Column) -> DataFrame:
+    sums = [F.min("x0").alias("x"), F.min("y0").alias("y"), (F.max("x1") - F.min("x0")).alias("width"), (F.max("y1") - F.min("y0")).alias("height"), F.sum("area").alias("area"), F.max("border").alias("border")]
+    return nodes.groupBy("page", "dark", "root").agg(*sums, *more)
+
+
 def parts(tiles: DataFrame, eight: bool = True, dark: bool = True, size: int = TILE, folder: str | None = None) -> DataFrame:
     """page, x, y, width, height, area, border (touches the page's edge) of the connected parts of pages.
 
     ``dark`` takes the pixels that are not 0, else those that are.
     """
-    folder = folder or scratch.new_folder(tiles.sparkSession)
-    labels = scratch.once(tiles.mapInArrow(_labels(eight, dark, size), _LABELS), f"{folder}/labels")
-    rim, nodes = labels.where("y is not null").select("page", "node", "y", "x"), labels.where("y is null").drop("y", "x")
-    near: Column = F.array(F.lit(-1), F.lit(0), F.lit(1)) if eight else F.array(F.lit(0))
-    other = rim.withColumnRenamed("node", "v")
-    below = rim.select("page", F.col("node").alias("u"), (F.col("y") + 1).alias("y"), F.explode(F.transform(near, lambda d: F.col("x") + d)).alias("x"))
-    beside = rim.select("page", F.col("node").alias("u"), F.explode(F.transform(near, lambda d: F.col("y") + d)).alias("y"), (F.col("x") + 1).alias("x"))
-    edges = below.unionByName(beside).join(other, ["page", "y", "x"]).select("page", "u", "v")
-    roots = contracted(edges, folder).select("page", F.col("u").alias("node"), F.col("v").alias("root"))
-    whole = nodes.join(roots, ["page", "node"], "left").groupBy("page", F.coalesce("root", "node").alias("root"))
-    sums = whole.agg(F.min("x0").alias("x"), F.min("y0").alias("y"), F.max("x1").alias("x1"), F.max("y1").alias("y1"), F.sum("area").alias("area"), F.max("border").alias("border"))
-    return sums.select("page", "x", "y", (F.col("x1") - F.col("x")).alias("width"), (F.col("y1") - F.col("y")).alias("height"), "area", "border")
+    return _summed(_joined(tiles, ((dark, eight),), size, folder)[0]).drop("dark", "root")
+
+
+def contours(masks: DataFrame, size: int = TILE, folder: str | None = None) -> DataFrame:
+    """The tree of outlines of pages in tiles, as images.contours() has it: page, contour, x, y, width, height, area, hole, parent."""
+    nodes, rim = _joined(masks, ((True, True), (False, False)), size, folder)
+    whole = _summed(nodes, F.min("first").alias("contour"), F.min_by("around", "first").alias("around"))
+    pages = masks.select("page", F.col("width").alias("page_width")).distinct()
+    whole = scratch.once(whole.join(pages, "page"), scratch.new_folder(masks.sparkSession))
+    left = rim.join(pages, "page").select("page", (~F.col("dark")).alias("dark"), (F.col("y") * F.col("page_width") + F.col("x") + 1).alias("contour"), F.col("node").alias("beside"))
+    inner = F.col("contour") % F.col("page_width") != 0
+    held = whole.join(left, ["page", "dark", "contour"], "left").withColumn("around", F.when(inner, F.coalesce("around", "beside")))
+    of = nodes.select("page", F.col("node").alias("around"), F.col("root").alias("outer"))
+    outer = whole.select("page", F.col("root").alias("outer"), F.when(F.col("dark") | ~F.col("border"), F.col("contour")).alias("parent"))
+    held = held.join(of, ["page", "around"], "left").join(outer, ["page", "outer"], "left").where("dark or not border")
+    by = F.when(F.col("dark"), 0).otherwise(1)
+    return held.select("page", "contour", (F.col("x") - by).alias("x"), (F.col("y") - by).alias("y"), (F.col("width") + 2 * by).alias("width"), (F.col("height") + 2 * by).alias("height"), "area", (~F.col("dark")).alias("hole"), "parent")
 
 
 def cell_boxes(masks: DataFrame, size: int = TILE) -> DataFrame:
     """G5 on tiles: page, x, y, width, height, area and hole of the lines, and of the areas that they enclose."""
-    lines = parts(masks, size=size).withColumn("hole", F.lit(False)).drop("border")
-    holes = parts(masks, eight=False, dark=False, size=size).where("not border").drop("border")
-    wide = holes.select("page", (F.col("x") - 1).alias("x"), (F.col("y") - 1).alias("y"), (F.col("width") + 2).alias("width"), (F.col("height") + 2).alias("height"), "area", F.lit(True).alias("hole"))
-    return lines.unionByName(wide)
+    return contours(masks, size).drop("contour", "parent")

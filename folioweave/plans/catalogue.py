@@ -635,7 +635,7 @@ def g2_g4_line_masks(spark, d):
 
 
 _SMALL = (96, 64)
-_PARTS = f"""
+_LABELLED = f"""
 WITH RECURSIVE drawn AS ({_segments_sql('customer', 'c_custkey', 'c_nationkey', 60, *_SMALL)}),
 labels(page, y, x, v, l) USING KEY (page, y, x) AS (
   SELECT page, y, x, v, y * 96 + x FROM drawn
@@ -644,13 +644,22 @@ labels(page, y, x, v, l) USING KEY (page, y, x) AS (
   FROM (SELECT page, v, l, y + dy AS y, x + dx AS x FROM labels, (VALUES (-1), (0), (1)) AS a(dy), (VALUES (-1), (0), (1)) AS b(dx) WHERE v = 1 OR dy = 0 OR dx = 0) t
     JOIN recurring.labels n ON n.page = t.page AND n.y = t.y AND n.x = t.x AND n.v = t.v
   WHERE t.l < n.l GROUP BY ALL),
-parts AS (SELECT page, v, l, min(x) AS x0, min(y) AS y0, max(x) AS x1, max(y) AS y1, count(*) AS area FROM labels GROUP BY page, v, l)
-SELECT page, x0 - (v = 0)::BIGINT AS x, y0 - (v = 0)::BIGINT AS y, x1 - x0 + 1 + 2 * (v = 0)::BIGINT AS width, y1 - y0 + 1 + 2 * (v = 0)::BIGINT AS height, area, v = 0 AS hole
-FROM parts WHERE v = 1 OR (x0 > 0 AND y0 > 0 AND x1 < 95 AND y1 < 63)
+parts AS (SELECT page, v, l, min(x) AS x0, min(y) AS y0, max(x) AS x1, max(y) AS y1, count(*) AS area FROM labels GROUP BY page, v, l),
+shown AS (SELECT *, v = 1 OR (x0 > 0 AND y0 > 0 AND x1 < 95 AND y1 < 63) AS closed FROM parts)
 """
+_BOX = """page, x0 - (v = 0)::BIGINT AS x, y0 - (v = 0)::BIGINT AS y, x1 - x0 + 1 + 2 * (v = 0)::BIGINT AS width, y1 - y0 + 1 + 2 * (v = 0)::BIGINT AS height, area, v = 0 AS hole"""
 
 
-@query(_PARTS)
+@query(f"{_LABELLED} SELECT s.l::BIGINT AS contour, {_BOX.replace('page,', 's.page,', 1).replace('v = 0', 's.v = 0').replace('x0', 's.x0').replace('x1', 's.x1').replace('y0', 's.y0').replace('y1', 's.y1').replace('area,', 's.area,')}, CASE WHEN o.closed THEN o.l END::BIGINT AS parent FROM shown s LEFT JOIN labels b ON b.page = s.page AND s.l % 96 > 0 AND b.y = s.l // 96 AND b.x = s.l % 96 - 1 LEFT JOIN shown o ON o.page = b.page AND o.v = b.v AND o.l = b.l WHERE s.closed")
+def g5_contour_tree(spark, d):
+    """Outlines of lines and of the holes in them with what encloses each, joined over tiles of pages that customers draw."""
+    from ..operators import tiles
+
+    ink = tiles.drawn(_segments(spark, d, "customer", "c_custkey", "c_nationkey", 60, *_SMALL), *_SMALL, size=32)
+    return tiles.contours(ink, size=32)
+
+
+@query(f"{_LABELLED} SELECT {_BOX} FROM shown WHERE closed")
 def g5_cell_boxes(spark, d):
     """Boxes and areas of connected lines, and of the holes in them, joined over the tiles of pages that customers draw."""
     from ..operators import tiles

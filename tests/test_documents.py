@@ -245,8 +245,56 @@ def test_tiles_equal_whole_pages(spark):
         for eight in (True, False):
             got = sorted(tuple(r)[1:6] for r in T.parts(ink, eight, size=40).collect())
             assert got == sorted(I.components(pages[i] < 200, eight))
-        boxes = sorted(tuple(r)[1:5] for r in T.cell_boxes(ink, 40).collect())
-        assert boxes == sorted(I.cells(pages[i] < 200))
+        tree = [r.asDict() for r in T.contours(ink, 40).collect()]
+        assert {r["contour"]: tuple(r.values())[1:] for r in tree} == {c["contour"]: tuple(c.values()) for c in I.contours(pages[i] < 200)}
+        assert sorted((r["x"], r["y"], r["width"], r["height"]) for r in tree) == sorted(I.cells(pages[i] < 200))
+
+
+def test_contour_tree():
+    """Parents of nested frames, dots and random masks are those that flooding each part and hole from outside finds."""
+    rng = np.random.default_rng(6)
+    nested = np.zeros((40, 60), bool)
+    for k in range(0, 18, 3):
+        nested[k, k : 60 - k] = nested[39 - k, k : 60 - k] = nested[k : 40 - k, k] = nested[k : 40 - k, 59 - k] = True
+    dots = np.zeros((21, 21), bool)
+    dots[2:19, 2:19] = True
+    dots[4:9, 4:9] = dots[11:17, 4:17] = False
+    dots[6, 6] = dots[13, 8] = dots[14, 9] = True
+    for mask in (nested, dots, rng.random((24, 31)) < 0.45, rng.random((24, 31)) < 0.6, np.ones((3, 3), bool), np.zeros((3, 3), bool)):
+        h, w = mask.shape
+        part, number = -np.ones((h, w), int), 0
+        inside = {}
+        for y in range(h):
+            for x in range(w):
+                if part[y, x] < 0:
+                    todo, seen = [(y, x)], {(y, x)}
+                    while todo:
+                        b, a = todo.pop()
+                        for dy in (-1, 0, 1):
+                            for dx in (-1, 0, 1):
+                                q = b + dy, a + dx
+                                if (mask[y, x] or not dy or not dx) and 0 <= q[0] < h and 0 <= q[1] < w and q not in seen and mask[q] == mask[y, x]:
+                                    seen.add(q)
+                                    todo.append(q)
+                    for q in seen:
+                        part[q] = number
+                    inside[number] = y * w + x, bool(mask[y, x]), any(q[0] in (0, h - 1) or q[1] in (0, w - 1) for q in seen), seen
+                    number += 1
+        expected = {}
+        for at, dark, open_, seen in inside.values():
+            if not dark and open_:
+                continue
+            # what is left of the page after this part is taken out, flooded from the edge, shows which parts it encloses;
+            # its parent is the one among its neighbours that encloses it
+            around = {part[y + dy, x + dx] for y, x in seen for dy in (-1, 0, 1) for dx in (-1, 0, 1) if 0 <= y + dy < h and 0 <= x + dx < w and (not dark or not dy or not dx)} - {part[next(iter(seen))]}
+            low = min(y for y, _ in seen)
+            outer = [k for k in around if inside[k][1] != dark and (min(y for y, _ in inside[k][3]) < low or (not inside[k][1] and inside[k][2]))]
+            parents = {inside[k][0] for k in outer if inside[k][1] or not inside[k][2]}
+            expected[at] = parents
+        got = {c["contour"]: c["parent"] for c in I.contours(mask)}
+        assert got.keys() == expected.keys()
+        for at, parent in got.items():
+            assert expected[at] == ({parent} if parent is not None else set()), (at, parent, expected[at])
 
 
 def test_engine_per_worker(spark, tmp_path):
