@@ -352,7 +352,7 @@ def scores(docs: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES, move
     counts = pairs.mapInArrow(_few_counts, "once long, twice long").agg(F.sum("once"), F.sum("twice")).first()
     rng = np.random.default_rng(seed)
     p = {"d": _discount(*(x or 0 for x in counts)), "parent_d": _discount(once, twice), "strength": 1.0, "parent_strength": 1.0, "parent_tables": float(distinct), "uniform": 1 / (distinct + 1)}
-    kept, params, parent = [], {}, None
+    kept, params, parent, last = [], {}, None, None
     spread = F.explode(F.sequence(F.lit(0), F.lit(side - 1)))
     narrow = ["a", "b", "kind", "sweep", "codes", "x", "y"]
     for sweep in range(burn_in + samples + 1):
@@ -374,19 +374,25 @@ def scores(docs: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES, move
             params[sweep - 1] = p
             kept += [state.where("kind = 'tables'"), wide.withColumn("sweep", F.lit(sweep - 1))]
         if sweep < burn_in + samples:
-            before = state.where("kind = 'tables'").unionByName(wide).unionByName(pairs)
-            state = materialize(before.groupBy("a", "b").applyInArrow(_sweep(p, moves, sweep, seed), _STATE))
+            before, old = state.where("kind = 'tables'").unionByName(wide).unionByName(pairs), (state, last)
+            state, last = materialize(before.groupBy("a", "b").applyInArrow(_sweep(p, moves, sweep, seed), _STATE)), stats
             made.append(state)
+            for done in old:  # what neither a sample nor the next sweep reads
+                if done is not None and done is not made[1] and sweep <= burn_in:
+                    made.remove(done)
+                    discard(done)
     if not params:
         return spark.createDataFrame([], _OUT)
     every = asked.select("shard", "a", "b", F.lit("asked").alias("kind"), F.lit(None).cast("int").alias("sweep"), "codes", F.lit(None).cast("binary").alias("x"), F.lit(None).cast("binary").alias("y"))
     for part in [pairs, *kept]:
         every = every.unionByName(part.select(F.lit(None).cast("long").alias("shard"), *narrow))
-    answers = every.groupBy("a", "b").applyInArrow(_answers(params), _ANSWER)
+    answers = materialize(every.groupBy("a", "b").applyInArrow(_answers(params), _ANSWER))
+    for done in made[1:]:
+        discard(done)
     shard = cells.where("a is null").select("shard", "a", "b", "codes", "tokens", "lengths", "ids", "held", "known", "base")
     out = materialize(shard.unionByName(answers, allowMissingColumns=True).groupBy("shard").applyInArrow(_scored(side, total, end), _OUT))
-    for done in made:
-        discard(done)
+    discard(cells)
+    discard(answers)
     return out
 
 
