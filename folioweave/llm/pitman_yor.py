@@ -148,8 +148,10 @@ def _cell_rows(side: int, total: int, distinct: int, end: int, schema: pa.Schema
                 base = np.add.reduceat(np.log10((count + 1) / (total + distinct + 1))[local], starts)
                 known = np.add.reduceat((count > 0)[local].astype(np.int32), starts, dtype=np.int32)
                 tokens = number[local]
+                del local, row["tokens"]
                 yield row_of({"shard": row["shard"], "tokens": packed(tokens.astype(np.int32)), "lengths": row["lengths"], "ids": pa.array(row["ids"], pa.int64()), "held": row["held"], "known": packed(known), "base": base.tobytes()}, schema)
                 code = _pairs(tokens, lengths, end)
+                del tokens
                 code, n = merged([code], [(~np.repeat(held, lengths)).astype(np.int64)])
                 for p, own in dealt(mixed(code >> 32, side) * side + mixed(code & 0xFFFFFFFF, side)):
                     yield row_of({"shard": row["shard"], "a": p // side, "b": p % side, "codes": packed_sorted(code[own]), "counts": packed(n[own])}, schema)

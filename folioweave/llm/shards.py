@@ -38,17 +38,18 @@ def cut_words(texts: pa.Array, spaces: bytes, breaks: bytes = b"") -> tuple[pa.A
     kind = np.zeros(256, np.uint8)
     kind[list(spaces)] = 1
     kind[list(breaks)] = 2
-    kind = kind[data]
-    inside = kind == 0
+    inside = (kind == 0)[data]
+    cuts = np.flatnonzero((kind == 2)[data]) if breaks else np.zeros(0, np.int64)
     before = np.empty_like(inside)
     before[:1], before[1:] = False, inside[:-1]
     before[at[at < len(data)]] = False
     first = inside & ~before
+    del before
     starts = np.flatnonzero(first)
     offsets = np.append(np.flatnonzero(first[inside]), np.count_nonzero(inside)).astype(np.int64)
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(_LOWER[data[inside]])])
     doc = np.searchsorted(at, starts, side="right") - 1
-    piece = np.cumsum(kind == 2, dtype=np.int64)[starts]
+    piece = np.searchsorted(cuts, starts)
     opens = np.ones(len(starts), bool)
     opens[1:] = (piece[1:] != piece[:-1]) | (doc[1:] != doc[:-1])
     return words, doc, opens
