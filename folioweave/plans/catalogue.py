@@ -650,13 +650,13 @@ shown AS (SELECT *, v = 1 OR (x0 > 0 AND y0 > 0 AND x1 < 95 AND y1 < 63) AS clos
 _BOX = """page, x0 - (v = 0)::BIGINT AS x, y0 - (v = 0)::BIGINT AS y, x1 - x0 + 1 + 2 * (v = 0)::BIGINT AS width, y1 - y0 + 1 + 2 * (v = 0)::BIGINT AS height, area, v = 0 AS hole"""
 
 
-@query(f"{_LABELLED} SELECT s.l::BIGINT AS contour, {_BOX.replace('page,', 's.page,', 1).replace('v = 0', 's.v = 0').replace('x0', 's.x0').replace('x1', 's.x1').replace('y0', 's.y0').replace('y1', 's.y1').replace('area,', 's.area,')}, CASE WHEN o.closed THEN o.l END::BIGINT AS parent FROM shown s LEFT JOIN labels b ON b.page = s.page AND s.l % 96 > 0 AND b.y = s.l // 96 AND b.x = s.l % 96 - 1 LEFT JOIN shown o ON o.page = b.page AND o.v = b.v AND o.l = b.l WHERE s.closed")
+@query(f"{_LABELLED} SELECT s.l::BIGINT AS contour, {_BOX.replace('page,', 's.page,', 1).replace('v = 0', 's.v = 0').replace('x0', 's.x0').replace('x1', 's.x1').replace('y0', 's.y0').replace('y1', 's.y1').replace('area,', 's.area,')}, coalesce(CASE WHEN o.closed THEN o.l END, -1)::BIGINT AS parent FROM shown s LEFT JOIN labels b ON b.page = s.page AND s.l % 96 > 0 AND b.y = s.l // 96 AND b.x = s.l % 96 - 1 LEFT JOIN shown o ON o.page = b.page AND o.v = b.v AND o.l = b.l WHERE s.closed")
 def g5_contour_tree(spark, d):
     """Outlines of lines and of the holes in them with what encloses each, joined over tiles of pages that customers draw."""
     from ..operators import tiles
 
     ink = tiles.drawn(_segments(spark, d, "customer", "c_custkey", "c_nationkey", 60, *_SMALL), *_SMALL, size=32)
-    return tiles.contours(ink, size=32)
+    return tiles.contours(ink, size=32).withColumn("parent", F.coalesce("parent", F.lit(-1).cast("long")))
 
 
 @query(f"{_LABELLED} SELECT {_BOX} FROM shown WHERE closed")
@@ -666,3 +666,23 @@ def g5_cell_boxes(spark, d):
 
     ink = tiles.drawn(_segments(spark, d, "customer", "c_custkey", "c_nationkey", 60, *_SMALL), *_SMALL, size=32)
     return tiles.cell_boxes(ink, size=32)
+
+
+@query("SELECT k, place, CASE k % 5 WHEN 0 THEN (v >> 7) * 255 WHEN 1 THEN (v >> 6) * 85 WHEN 2 THEN (v >> 4) * 17 ELSE v END::INT AS level FROM (SELECT c_custkey AS k, place::INT AS place, (c_custkey * (place + 3) * 37) % 256 AS v FROM customer, range(54) AS r(place))")
+def s5_raster_forms(spark, d):
+    """Pixels of a small picture a customer, written as PNG of five bit depths, every other one interlaced, and read again."""
+    import numpy as np
+
+    from ..functions import png
+
+    @F.pandas_udf("binary")
+    def drawn(keys: pd.Series) -> pd.Series:
+        at = np.arange(54).reshape(6, 9)
+        return keys.map(lambda k: png.encode((k * (at + 3) * 37 % 256).astype(np.uint8), (1, 2, 4, 8, 16)[k % 5], k % 2 == 1))
+
+    @F.pandas_udf("array<int>")
+    def read(pictures: pd.Series) -> pd.Series:
+        return pictures.map(lambda p: png.decode(p).ravel().astype(int).tolist())
+
+    c = X.table(spark, d, "customer").select(F.col("c_custkey").alias("k"))
+    return c.select("k", F.posexplode(read(drawn("k"))).alias("place", "level"))

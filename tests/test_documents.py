@@ -52,6 +52,61 @@ def test_png():
     assert (png._unfiltered(filtered, np.arange(5), step) == raw).all()
 
 
+def _png(width, height, depth, colour, passes, chunks=b"", interlaced=0):
+    """A PNG image of given rows a pass: lists of lists of samples, written bit by bit with filters 0 and 2 in turn."""
+    import struct
+    import zlib
+
+    body = b""
+    for rows in passes:
+        above = None
+        for y, row in enumerate(rows):
+            bits = "".join(format(v, f"0{depth}b") for v in row)
+            line = bytes(int(bits[i : i + 8].ljust(8, "0"), 2) for i in range(0, len(bits), 8))
+            body += bytes([2 * (y % 2)]) + (bytes((a - b) & 255 for a, b in zip(line, above)) if y % 2 else line)
+            above = line
+    part = lambda kind, inner: struct.pack(">I", len(inner)) + kind + inner + struct.pack(">I", zlib.crc32(kind + inner))
+    return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", struct.pack(">IIBBBBB", width, height, depth, colour, 0, 0, interlaced)) + b"".join(part(k, v) for k, v in chunks or []) + part(b"IDAT", zlib.compress(body)) + part(b"IEND", b"")
+
+
+def test_png_forms():
+    """Depths of 1 to 16 bits, palettes, transparency and interlacing give the pixels of plain copies; broken streams raise."""
+    rng = np.random.default_rng(8)
+    for (w, h), interlaced in [((s, i)) for s in ((9, 6), (1, 1), (5, 3), (16, 17)) for i in (0, 1)]:
+        def passes(a):
+            if not interlaced:
+                return [a.reshape(h, -1).tolist()]
+            order = [(0, 0, 8, 8), (4, 0, 8, 8), (0, 4, 4, 8), (2, 0, 4, 4), (0, 2, 2, 4), (1, 0, 2, 2), (0, 1, 1, 2)]
+            return [p.reshape(p.shape[0], -1).tolist() for x, y, dx, dy in order if (p := a[y::dy, x::dx]).size]
+
+        for depth in (1, 2, 4, 8, 16):
+            a = rng.integers(0, 1 << depth, (h, w))
+            plain = (a >> 8 if depth == 16 else a * (255 // ((1 << depth) - 1))).astype(np.uint8)
+            got = png.decode(_png(w, h, depth, 0, passes(a), interlaced=interlaced))
+            assert got.dtype == np.uint8 and (got == plain).all()
+            key = int(a[0, 0])
+            both = png.decode(_png(w, h, depth, 0, passes(a), [(b"tRNS", key.to_bytes(2, "big"))], interlaced), alpha=True)
+            assert (both[..., 0] == plain).all() and (both[..., 1] == np.where(a == key, 0, 255)).all()
+            if depth < 16:
+                colours = rng.integers(0, 256, (1 << depth, 3), np.uint8)
+                data = _png(w, h, depth, 3, passes(a), [(b"PLTE", colours.tobytes()), (b"tRNS", b"\x07")], interlaced)
+                assert (png.decode(data) == colours[a][..., ::-1]).all() and (png.decode(data, alpha=True)[..., 3] == np.where(a == 0, 7, 255)).all()
+            assert (png.decode(png.encode(plain, depth, bool(interlaced))) == plain).all()
+        for depth, colour, n in ((8, 2, 3), (16, 2, 3), (8, 6, 4), (16, 6, 4), (8, 4, 2), (16, 4, 2)):
+            a = rng.integers(0, 1 << depth, (h, w, n))
+            plain = (a >> (depth - 8)).astype(np.uint8)
+            got = png.decode(_png(w, h, depth, colour, passes(a), interlaced=interlaced), alpha=True)
+            assert (got[..., -1] == (plain[..., -1] if colour != 2 else 255)).all()
+            assert (got[..., :-1] == plain[..., : n - (colour != 2)][..., ::-1]).all()
+    good = png.encode(np.arange(60, dtype=np.uint8).reshape(6, 10))
+    damaged = bytearray(good)
+    damaged[45] ^= 1
+    short = _png(4, 4, 8, 0, [[[1, 2, 3, 4]]])
+    for bad in (good[:50], bytes(damaged), short, _png(2, 1, 8, 3, [[[0, 1]]], [(b"PLTE", b"abc")]), _png(2, 1, 2, 2, [[[0] * 6]]), _png(2, 1, 8, 0, []), b"", b"\x89PNG"):
+        with pytest.raises(ValueError):
+            png.decode(bad)
+
+
 def test_deskew_and_chain(spark):
     flat = np.full((300, 400), 255, np.uint8)
     flat[100:200, 80:320] = 0
