@@ -686,3 +686,18 @@ def s5_raster_forms(spark, d):
 
     c = X.table(spark, d, "customer").select(F.col("c_custkey").alias("k"))
     return c.select("k", F.posexplode(read(drawn("k"))).alias("place", "level"))
+
+
+@query("SELECT (row_number() OVER (ORDER BY c_nationkey % 3, c_custkey) - 1)::INT AS place, c_custkey AS k, c_name AS name, CASE WHEN c_custkey % 4 <> 0 THEN c_mktsegment END AS segment FROM customer")
+def k1_growing_list(spark, d):
+    """Customers appended to a JSON list in three batches, one of them sent twice, and read again."""
+    from .. import scratch
+    from ..sinks.json_list import append_json_list
+    from ..sources.json_records import read_records
+
+    path = scratch.new_folder(spark).removeprefix("file://").removeprefix("file:") + "/list.json"
+    c = X.table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.when(F.col("c_custkey") % 4 != 0, F.col("c_mktsegment")).alias("segment"), (F.col("c_nationkey") % 3).alias("batch"))
+    for batch in (0, 1, 1, 2):
+        append_json_list(c.where(F.col("batch") == batch), path, ["k"], ("batch",), batch)
+    value = lambda name: F.get_json_object("json", f"$.{name}")
+    return read_records(spark, f"file://{path}").select(F.col("row").alias("place"), value("k").cast("long").alias("k"), value("name").alias("name"), value("segment").alias("segment"))

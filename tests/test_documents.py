@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from folioweave import logs, run, settings as S
 from folioweave.functions import png
 from folioweave.operators import classify, debug, engines, images as I, models as M, preprocess as P, tiles as T, watermark as W
-from folioweave.sinks import files, image_sheets as sheets, spreadsheet
+from folioweave.sinks import files, image_sheets as sheets, json_list, spreadsheet, text as text_sink
 from folioweave.sources import pages as source
 from folioweave.streaming import crops as stream
 
@@ -352,6 +352,33 @@ def test_contour_tree():
             assert expected[at] == ({parent} if parent is not None else set()), (at, parent, expected[at])
 
 
+def test_growing_json_list(spark, tmp_path):
+    """The list is whole after each commit, equal to one written at once, and a failed or repeated run adds nothing."""
+    path = str(tmp_path / "a" / "list.json")
+    rows = spark.createDataFrame([(i, f"é{i}" if i % 3 else None, [i] if i % 2 else None) for i in range(50)], "k int, name string, more array<int>").repartition(7)
+    assert json_list.append_json_list(rows.where("k < 0"), path, ["k"]) == 0 and json.load(open(path)) == []
+    for k, (low, high) in enumerate([(0, 1), (1, 1), (1, 20), (20, 50)]):
+        assert json_list.append_json_list(rows.where(f"k >= {low} and k < {high}"), path, ["k"], batch=k) == high
+        assert [r["k"] for r in json.load(open(path))] == list(range(high))
+    whole = str(tmp_path / "whole.json")
+    text_sink.write_json_list(rows, whole, ["k"])
+    assert open(path).read() == open(whole).read()
+    assert json_list.append_json_list(rows, path, ["k"], batch=3) == 50
+    before = open(path).read()
+    with pytest.raises(Exception):  # noqa: B017 - a task that fails aborts the write
+        json_list.append_json_list(rows.withColumn("bad", F.raise_error(F.lit("stop"))), path, ["k"])
+    assert open(path).read() == before and not any((tmp_path / "a" / "list.json.parts").glob("*"))
+    with open(path, "r+b") as f:  # an append that the driver did not live to finish
+        f.seek(-2, 2)
+        f.write(b",\n  {half")
+    assert json_list.append_json_list(rows.where("k = 0"), path, ["k"]) == 51
+    assert [r["k"] for r in json.load(open(path))] == [*range(50), 0]
+    with pytest.raises(Exception):  # noqa: B017 - a foreign file is left alone
+        json_list.append_json_list(rows, whole, ["k"])
+    assert open(whole).read() == before
+    assert json_list.append_json_list(rows.where("k < 3"), path, ["k"], ("more",), mode="overwrite") == 3 and json.load(open(path))[0] == {"k": 0, "name": None}
+
+
 def test_engine_per_worker(spark, tmp_path):
     """An engine is made once a worker over many tasks, a failure too; a broken one gives an empty run and no failed job."""
     made, failed = str(tmp_path / "made"), str(tmp_path / "failed")
