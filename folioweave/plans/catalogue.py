@@ -701,3 +701,68 @@ def k1_growing_list(spark, d):
         append_json_list(c.where(F.col("batch") == batch), path, ["k"], ("batch",), batch)
     value = lambda name: F.get_json_object("json", f"$.{name}")
     return read_records(spark, f"file://{path}").select(F.col("row").alias("place"), value("k").cast("long").alias("k"), value("name").alias("name"), value("segment").alias("segment"))
+
+
+# ---- raster steps on a small picture a customer
+
+
+def _pictures(spark, d):
+    """k and the PNG of a picture of 6 rows and 9 columns."""
+    import numpy as np
+
+    from ..functions import png
+
+    @F.pandas_udf("binary")
+    def drawn(keys: pd.Series) -> pd.Series:
+        at = np.arange(54).reshape(6, 9)
+        return keys.map(lambda k: png.encode((k * (at + 3) * 37 % 256).astype(np.uint8)))
+
+    return X.table(spark, d, "customer").select(F.col("c_custkey").alias("k"), drawn("c_custkey").alias("png"))
+
+
+def _pixel_sql(dy: int = 0, dx: int = 0) -> str:
+    y, x = f"greatest(0, least(5, y + {dy}))", f"greatest(0, least(8, x + {dx}))"
+    return f"(c_custkey * ({y} * 9 + {x} + 3) * 37) % 256"
+
+
+_AROUND = ", ".join(_pixel_sql(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1))
+
+
+@query(f"SELECT c_custkey AS k, (y * 9 + x)::INT AS place, (list_sort([{_AROUND}])[5])::INT AS median, (CASE WHEN y < 2 OR y > 3 OR x < 2 OR x > 6 THEN 255 ELSE {_pixel_sql()} END)::INT AS bordered FROM customer, range(6) AS r(y), range(9) AS c(x)")
+def i3_i6_raster_steps(spark, d):
+    """Each pixel after the median of its surroundings, and after a margin of two is whitened."""
+    from ..functions import png
+    from ..operators import images as I
+
+    @F.pandas_udf("array<struct<median:int,bordered:int>>")
+    def stepped(pictures: pd.Series) -> pd.Series:
+        both = lambda a: zip(I.median_blur(a, 3).ravel().tolist(), I.cleaned_border(a, 2).ravel().tolist())
+        return pictures.map(lambda p: [{"median": m, "bordered": b} for m, b in both(I.gray(png.decode(p)))])
+
+    return _pictures(spark, d).select("k", F.posexplode(stepped("png")).alias("place", "s")).select("k", "place", "s.median", "s.bordered")
+
+
+@query(f"WITH px AS (SELECT c_custkey AS k, {_pixel_sql()} AS v FROM customer, range(6) AS r(y), range(9) AS c(x)), cuts AS (SELECT k, t, sum((v <= t)::INT)::DOUBLE AS w, sum(CASE WHEN v <= t THEN v ELSE 0 END)::DOUBLE AS m, sum(v)::DOUBLE AS mean FROM px, range(256) AS r(t) GROUP BY k, t), between_ AS (SELECT k, t, (mean * w / 54 - m) * (mean * w / 54 - m) / (w * (54 - w)) AS b FROM cuts WHERE w > 0 AND w < 54) SELECT k, t::INT AS threshold FROM between_ QUALIFY row_number() OVER (PARTITION BY k ORDER BY b DESC, t) = 1")
+def d7_otsu(spark, d):
+    """The threshold that parts each picture's levels best; pictures of one level have none."""
+    from ..functions import png
+    from ..operators import images as I
+
+    @F.pandas_udf("int")
+    def threshold(pictures: pd.Series) -> pd.Series:
+        found = [I.gray(png.decode(p)) for p in pictures]
+        return pd.Series([I.otsu(a) if a.min() < a.max() else None for a in found], dtype="Int32")
+
+    return _pictures(spark, d).select("k", threshold("png").alias("threshold")).where("threshold is not null")
+
+
+@query("SELECT c_custkey AS k, 8 < x AND 8 < y AND x + w < 292 AND y + h < 192 AND w * h / 60000.0 < 0.14 AND w / 300.0 >= 0.1 AND h / 200.0 >= 0.02 AS fits FROM (SELECT c_custkey, c_custkey % 200 AS x, c_custkey % 130 AS y, 20 + c_custkey % 150 AS w, 2 + c_custkey % 83 AS h FROM customer)")
+def d13_plausible(spark, d):
+    """Whether a box may be a watermark's in a crop of 300 by 200."""
+    from ..operators import watermark
+
+    @F.pandas_udf("boolean")
+    def fits(k: pd.Series) -> pd.Series:
+        return k.map(lambda k: watermark.plausible((k % 200, k % 130, 20 + k % 150, 2 + k % 83), 300, 200))
+
+    return X.table(spark, d, "customer").select(F.col("c_custkey").alias("k"), fits("c_custkey").alias("fits"))
