@@ -2,7 +2,9 @@
 
 Leaves are pieces of a paragraph, cut after words that end in a content-defined place (about
 every PIECE_WORDS words; where no space comes for long, at such a place of the bytes), so an edit
-changes the leaves it touches and no others. Lines are paragraphs; a section ends at a blank line
+changes the leaves it touches and no others. A piece of more than MOST bytes is cut on from its
+start, at the first space after LEAST bytes or at MOST bytes, so a leaf is never longer; the next
+content-defined place brings edited and unedited texts together again. Lines are paragraphs; a section ends at a blank line
 or after a paragraph whose hash says so. A leaf's hash is that of its bytes, any other node's the
 128-bit hash of its children's whole hashes, up to the root. Equal roots mean equal texts; for
 others, equal sections are passed over and the leaves of differing branches tell how alike two
@@ -27,6 +29,8 @@ SECTION_PARAGRAPHS = 6
 LEAF = 6
 #: Bytes without a space after which a leaf may end anywhere, and about how many more it then takes.
 UNSPACED, UNSPACED_PIECE = 48, 16
+#: Bytes of a leaf: none is longer than MOST, and one cut for its length is longer than LEAST.
+LEAST, MOST = 40, 80
 #: Hexadecimal digits of the hashes of sections and paragraphs as written.
 SHORT = 8
 _EMPTY = "0" * 32 + "/"
@@ -43,7 +47,20 @@ def leaf_ends(data: bytes) -> list[int]:
     at = np.arange(len(b), dtype=np.int64)
     far = at - np.maximum.accumulate(np.where(line | space, at, 0)) > UNSPACED
     cut = np.flatnonzero(line | (space & (tail % np.uint32(PIECE_WORDS) == 0)) | (far & (tail % np.uint32(UNSPACED_PIECE) == 0))) + 1
-    return cut.tolist() if len(cut) and cut[-1] == len(b) else [*cut.tolist(), len(b)]
+    if not len(cut) or cut[-1] != len(b):
+        cut = np.append(cut, len(b))
+    long = np.flatnonzero(np.diff(cut, prepend=0) > MOST)
+    if not len(long):
+        return cut.tolist()
+    spaces = np.flatnonzero(space)
+    more = []
+    for i in long:
+        at, end = int(cut[i - 1]) if i else 0, int(cut[i])
+        while end - at > MOST:
+            k = np.searchsorted(spaces, at + LEAST)
+            at = min(int(spaces[k]) + 1 if k < len(spaces) else end, at + MOST)
+            more.append(at)
+    return np.sort(np.concatenate([cut, more])).tolist()
 
 
 def fingerprint(text: str) -> str:
