@@ -7,16 +7,18 @@ grants nothing; a temperature fitted on held-out variants calibrates the probabi
 paragraph whose best family stays under CONFIDENCE is unknown too.
 
 Scanning: texts are cut into paragraphs at line ends. The vocabulary has no n-gram of
-common words alone, and its other words are triggers: a paragraph without a trigger has no weight
-and is unknown. The others are joined to the weights by n-gram; sums of weights give probabilities. Each sentence of a template is a template too. A prediction is confirmed when
+common words alone; a paragraph without one of its n-grams has no weight and is unknown. The weights
+of the others' n-grams are looked up in literal maps; their sums give probabilities. Each sentence of a template is a template too. A prediction is confirmed when
 the paragraph holds enough n-grams of a template of that family, or lies in one whole; one that no
 template confirms counts as unknown.
 """
 
 from __future__ import annotations
 
+import json
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -29,6 +31,8 @@ CONFIDENCE = 0.5
 #: its n-grams are the template's.
 CONFIRM = 0.5
 FRAGMENT = 12
+#: Weights are looked up in this many maps, so that each lookup compares few n-grams.
+WEIGHT_MAPS = 64
 #: Notices by which licences are named or granted, by family.
 TEMPLATES = {
     "mit": (
@@ -218,18 +222,46 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
 
 
+def _once(value: Column, then) -> Column:
+    """then(value), with the value worked out once and not at each place where ``then`` names it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def _grams(words: Column) -> Column:
-    def both(w):  # words are evaluated once, not once for each of them
+    def both(w):
         rest = F.greatest(F.size(w) - 1, F.lit(0))
         return F.concat(w, F.zip_with(F.slice(w, F.lit(1), rest), F.slice(w, F.lit(2), rest), lambda a, b: F.concat(a, F.lit(" "), b)))
 
-    return F.array_distinct(F.flatten(F.transform(F.array(words), both)))
+    return F.array_distinct(_once(words, both))
+
+
+def _known_grams(words: Column, vocabulary: list[str]) -> Column:
+    """The distinct n-grams of a paragraph that have a weight; a pair is written only where both its words occur in such pairs."""
+    single = [g for g in vocabulary if " " not in g]
+    pairs = [g for g in vocabulary if " " in g]
+    first, second = (sorted({g.split(" ")[k] for g in pairs}) for k in (0, 1))
+
+    def both(w):
+        rest = F.greatest(F.size(w) - 1, F.lit(0))
+        pair = F.zip_with(F.slice(w, F.lit(1), rest), F.slice(w, F.lit(2), rest), lambda a, b: F.when(a.isin(first) & b.isin(second), F.concat(a, F.lit(" "), b)))
+        return F.concat(F.filter(w, lambda x: x.isin(single)), F.filter(pair, lambda x: x.isin(pairs)))
+
+    return F.array_distinct(_once(words, both))
 
 
-def paragraphs(docs: DataFrame, triggers: list[str]) -> DataFrame:
-    """doc_id, paragraph (its number), content, for paragraphs with a trigger word; whole texts are searched."""
+def _weight(model: Model):
+    """A function from an n-gram with a weight to its weights by class: literal maps, one for each of some numbers dealt by hash."""
+    maps: list[dict] = [{} for _ in range(WEIGHT_MAPS)]
+    for g, w in zip(model.vocabulary, model.weights):
+        maps[zlib.crc32(g.encode()) % WEIGHT_MAPS][g] = [float(x) for x in w]
+    table = F.from_json(F.lit(json.dumps(maps)), "array<map<string,array<double>>>")
+    return lambda gram: F.try_element_at(F.get(table, (F.crc32(gram.cast("binary")) % WEIGHT_MAPS).cast("int")), gram)
+
+
+def paragraphs(docs: DataFrame) -> DataFrame:
+    """doc_id, paragraph (its number), content of whole texts."""
     plain = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return plain.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "content")).where(F.arrays_overlap(F.split(F.lower("content"), "[^a-z0-9]+"), F.array(*map(F.lit, triggers))))
+    return plain.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "content"))
 
 
 def scanned(docs: DataFrame, model: Model | None = None, confidence: float = CONFIDENCE, confirm: float = CONFIRM) -> DataFrame:
@@ -238,31 +270,33 @@ def scanned(docs: DataFrame, model: Model | None = None, confidence: float = CON
 
     Null texts and rows without doc_id hold none; rows that share a doc_id are scored apart, so a
     repeated row gets its results twice; an empty table gives an empty result; of equal families the
-    first in order counts; other columns are not looked at. Unknown paragraphs are left out.
+    first in order counts; other columns are not looked at. Unknown paragraphs are left out. A
+    paragraph's row is worked out by itself: nothing is shuffled.
     """
     model = model or Model()
-    n = len(model.classes)
-    spark = docs.sparkSession
-    weights = spark.createDataFrame([(g, [float(x) for x in w]) for g, w in zip(model.vocabulary, model.weights)], "gram string, w array<double>")
-    found = paragraphs(docs, model.triggers).withColumn("row", F.monotonically_increasing_id())
-    # only n-grams with a weight go on, so that a long paragraph is not copied for each of its words
-    cut = found.withColumn("grams", F.array_intersect(_grams(_words(F.col("content"))), F.array(*map(F.lit, model.vocabulary))))
-    keys = ["row", "doc_id", "paragraph", "content"]
-    each = cut.select(*keys, F.explode("grams").alias("gram"))
-    hits = each.join(F.broadcast(weights), "gram")  # the vocabulary of the templates: a fixed size
-    known = [f for f in TEMPLATES]
-    sums = hits.groupBy(*keys).agg(
-        F.array(*[F.sum(F.get("w", F.lit(k))) for k in range(n)]).alias("z"),
-    )
-    z = F.array(*[F.get("z", F.lit(k)) + float(model.bias[k]) for k in range(n)])
-    top = F.array_max("zs")
-    scored = sums.withColumn("zs", z).withColumn("best", F.array_position(F.slice("zs", 1, n - 1), F.array_max(F.slice("zs", 1, n - 1))).cast("int") - 1)
-    scored = scored.withColumn("probability", F.exp(F.get("zs", F.col("best")) - top) / F.aggregate("zs", F.lit(0.0), lambda a, x: a + F.exp(x - top)))
-    family = F.get(F.array(*map(F.lit, known)), F.col("best"))
-    scored = scored.where(F.col("probability") >= confidence).select(*keys, family.alias("family"), F.round("probability", 6).alias("probability"))
-    # template comparison: the closest template of the predicted family
-    known_templates = spark.createDataFrame([(f, sorted(ngrams_of(t))) for f, t in templates()], "family string, template array<string>")
-    joined = scored.withColumn("grams", _grams(_words(F.col("content")))).join(F.broadcast(known_templates), "family")
-    common = F.size(F.array_intersect("grams", "template"))
-    near = F.greatest(F.when((common >= FRAGMENT) | (common == F.size("grams")), common / F.size("grams")).otherwise(F.lit(0.0)), common / F.size("template"))
-    return joined.groupBy(*keys, "family", "probability").agg(F.round(F.max(near), 6).alias("similarity")).where(F.col("similarity") >= confirm).drop("row")
+    weight = _weight(model)
+    bias = F.array(*[F.lit(float(b)) for b in model.bias])
+    families = F.array(*map(F.lit, TEMPLATES))
+    own = F.from_json(F.lit(json.dumps([[sorted(ngrams_of(t)) for f, t in templates() if f == family] for family in TEMPLATES])), "array<array<array<string>>>")
+
+    def similarity(grams, best):  # to the closest template of the predicted family
+        def one(template):
+            common = F.size(F.array_intersect(grams, template))
+            return F.greatest(F.when((common >= FRAGMENT) | (common == F.size(grams)), common / F.size(grams)).otherwise(F.lit(0.0)), common / F.size(template))
+
+        return F.array_max(F.transform(F.get(own, best), one))
+
+    def verdict(words, z):
+        top = F.array_max(F.slice(z, 1, len(TEMPLATES)))
+        best = F.array_position(z, top).cast("int") - 1
+        share = F.exp(top - F.array_max(z)) / _once(F.array_max(z), lambda m: F.aggregate(z, F.lit(0.0), lambda a, x: a + F.exp(x - m)))
+        found = _once(best, lambda b: F.struct(F.get(families, b).alias("family"), F.round(share, 6).alias("probability"), F.round(_once(_grams(words), lambda g: similarity(g, b)), 6).alias("similarity")))
+        return F.when(share >= confidence, found)
+
+    def judged(words):
+        z = lambda known: F.aggregate(known, bias, lambda z, g: F.zip_with(z, weight(g), lambda a, b: a + b))
+        return _once(_known_grams(words, model.vocabulary), lambda known: F.when(F.size(known) > 0, _once(z(known), lambda z: verdict(words, z))))
+
+    # as rows of a generator, a paragraph's verdict is worked out once; a filter would be moved below it and repeat it
+    verdicts = F.filter(F.transform(F.array(_words(F.col("content"))), judged), lambda v: v["similarity"] >= confirm)
+    return paragraphs(docs).select("doc_id", "paragraph", "content", F.inline(verdicts))

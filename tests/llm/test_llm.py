@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import zlib
 
@@ -417,6 +418,34 @@ def test_licenses(spark, none):
     assert licenses.Model().held_out_accuracy > 0.95 and licenses.scanned(none).count() == 0
 
 
+def test_licenses_against_loops(spark):
+    """Every paragraph of a table and every template, with weights, probability and similarity worked out in plain loops."""
+    model = licenses.Model()
+    weights = {g: w for g, w in zip(model.vocabulary, model.weights)}
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").union(spark.createDataFrame([(-1 - k, t) for k, (_, t) in enumerate(licenses.templates())] + [(-1000, " MIT  licence, mit\tLICENSE"), (-1001, "")], "doc_id long, text string"))
+    expected = {}
+    for r in docs.collect():
+        for k, line in enumerate((r.text or "").split("\n")):
+            grams = licenses.ngrams_of(line)
+            known = [g for g in grams if g in weights]
+            if not known:
+                continue
+            z = [float(b) + sum(float(weights[g][c]) for g in known) for c, b in enumerate(model.bias)]
+            e = [math.exp(x - max(z)) for x in z]
+            best = max(range(len(z) - 1), key=lambda c: z[c])
+            family, probability = model.classes[best], e[best] / sum(e)
+            near = 0.0
+            for f, t in licenses.templates():
+                if f == family:
+                    template = licenses.ngrams_of(t)
+                    common = len(grams & template)
+                    near = max(near, common / len(template), common / len(grams) if common >= licenses.FRAGMENT or common == len(grams) else 0.0)
+            if probability >= licenses.CONFIDENCE and near >= licenses.CONFIRM:
+                expected[r.doc_id, k] = family, pytest.approx(probability, abs=2e-6), pytest.approx(near, abs=2e-6)
+    got = {(r.doc_id, r.paragraph): (r.family, r.probability, r.similarity) for r in licenses.scanned(docs, model).collect()}
+    assert got == expected and sum(i >= 0 for i, _ in got) > 3 and len(got) > 40
+
+
 def test_license_lines_of_the_tables(spark):
     lines = {"All rights reserved.": "proprietary", "Released under the MIT License.": "mit", "Licensed under the Apache License, Version 2.0.": "apache", "Licensed under CC BY-NC 4.0.": "cc-by-nc", "This work is licensed under the GNU General Public License, version 3.": "gpl"}
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
