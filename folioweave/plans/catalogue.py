@@ -703,6 +703,37 @@ def k1_growing_list(spark, d):
     return read_records(spark, f"file://{path}").select(F.col("row").alias("place"), value("k").cast("long").alias("k"), value("name").alias("name"), value("segment").alias("segment"))
 
 
+@query("SELECT c_custkey AS k, CASE WHEN c_custkey % 8 <= 2 THEN 'plain' WHEN c_custkey % 8 = 3 THEN 'open' WHEN c_custkey % 8 <= 5 THEN 'locked' WHEN c_custkey % 8 = 6 THEN 'damaged' ELSE 'no pdf' END AS state FROM customer")
+def s1_document_state(spark, d):
+    """What a document of each customer is; documents come in eight forms."""
+    from ..sources import pdf_state
+
+    @F.pandas_udf("binary")
+    def document(keys: pd.Series) -> pd.Series:
+        return keys.map(lambda k: X.pdf(k % 8, k))
+
+    return pdf_state.with_state(X.table(spark, d, "customer").select(F.col("c_custkey").alias("k"), document("c_custkey").alias("content"))).select("k", "state")
+
+
+@query("SELECT (row_number() OVER (ORDER BY c_custkey) + 1)::INT AS row, c_custkey::BIGINT AS serial_number, concat(c_name, ' <&> ', chr(233)) AS elector_name, CASE WHEN c_custkey % 3 <> 0 THEN (c_custkey % 90)::INT END AS age, CASE c_custkey % 4 WHEN 0 THEN 'पुरुष' WHEN 1 THEN 'महिला' WHEN 2 THEN 'other' END AS gender, CASE WHEN c_custkey % 5 = 0 THEN true END AS deleted, concat(CASE WHEN c_custkey % 3 <> 0 THEN 'number' ELSE '-' END, CASE WHEN c_custkey % 5 = 0 THEN ' bool' ELSE '' END) AS kinds FROM customer")
+def k7_k9_workbook(spark, d):
+    """Customers as a sheet, read again as a table with the kinds of two of its cells."""
+    from .. import scratch
+    from ..sinks import spreadsheet
+    from ..sources.workbook import read_workbook, value_of
+
+    k = F.col("c_custkey")
+    gender = F.when(k % 4 == 0, "Male ").when(k % 4 == 1, "female").when(k % 4 == 2, "other")
+    c = X.table(spark, d, "customer").select(k.alias("serial_number"), F.concat("c_name", F.lit(" <&> \u00e9")).alias("elector_name"), F.when(k % 3 != 0, (k % 90).cast("int")).alias("age"), gender.alias("gender"), (k % 5 == 0).alias("deleted"), F.lit("x").alias("raw_text"))
+    path = scratch.new_folder(spark).removeprefix("file://").removeprefix("file:") + "/book.xlsx"
+    spreadsheet.write_sheet(c, path, ["serial_number"])
+    rows = read_workbook(spark, path, "Records", header=True)
+    kind = lambda name: F.get(F.filter("cells", lambda c: c["name"] == name), F.lit(0))["kind"]
+    kinds = F.concat(F.coalesce(kind("Age"), F.lit("-")), F.coalesce(F.concat(F.lit(" "), kind("Deleted")), F.lit("")))
+    types = {"serial_number": "long", "elector_name": "string", "age": "int", "gender": "string", "deleted": "boolean"}
+    return rows.select("row", *[value_of(spreadsheet.header(n), t).alias(n) for n, t in types.items()], kinds.alias("kinds"))
+
+
 # ---- raster steps on a small picture a customer
 
 

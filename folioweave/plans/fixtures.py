@@ -98,3 +98,39 @@ ANSWER = "CASE event_id % 4 WHEN 0 THEN concat(' ', props, ' ') WHEN 1 THEN conc
 LEVELS = ("none", "medium", "strong")
 LEVEL_EXPRS = {n: f"CASE CAST(floor(p_partkey / {d}) AS INT) % 3 WHEN 0 THEN 'none' WHEN 1 THEN 'medium' ELSE 'strong' END" for n, d in (("serial", 1), ("geometry", 3), ("watermark", 9))}
 CROP = "concat('normal/roll/Page_', lpad(CAST(o_orderkey % 1000 AS STRING), 3, '0'), '_entry_', lpad(CAST(o_custkey % 100 AS STRING), 3, '0'), '.PNG')"
+
+
+def pdf(kind: int, key: int) -> bytes:
+    """A small PDF with a number in its text: 0 plain with a table of references, 1 the same with ``/Encrypt`` in its text,
+    2 with a stream of references, 3 encrypted for the empty password, 4 for another one, 5 the same as 2 and encrypted,
+    6 cut off, 7 a text file."""
+    import zlib
+
+    from ..sources import pdf_state
+
+    if kind == 7:
+        return b"number %d, trailer << /Encrypt 4 0 R >>" % key
+    said = b"BT (%d) Tj ET" % key if kind != 1 else b"BT (trailer << /Encrypt 4 0 R >> %d) Tj ET" % key
+    objects = [b"<< /Type /Catalog /Pages 2 0 R >>", b"<< /Type /Pages /Kids [] /Count 0 >>", b"<< /Length %d >>\nstream\n%s\nendstream" % (len(said), said)]
+    ident, locked = b"%016d" % key, kind in (4, 5)
+    trailer = b"/Root 1 0 R /ID [<%s> <%s>]" % (ident.hex().encode(), ident.hex().encode())
+    if kind in (3, 4, 5):
+        how = {"Filter": "Standard", "V": 2, "R": 3, "Length": 128, "P": -44, "O": bytes(range(40, 72)), "U": bytes(32)}
+        u = bytes(32) if locked else pdf_state.user_entry(how, ident) + bytes(16)
+        objects.append(b"<< /Filter /Standard /V 2 /R 3 /Length 128 /P -44 /O <%s> /U <%s> >>" % (how["O"].hex().encode(), u.hex().encode()))
+        trailer += b" /Encrypt 4 0 R"
+    out, places = b"%PDF-1.5\n", []
+    for n, own in enumerate(objects, 1):
+        places.append(len(out))
+        out += b"%d 0 obj\n%s\nendobj\n" % (n, own)
+    start = len(out)
+    if kind in (2, 5):  # rows of one, four and one bytes, each less the row above
+        rows = [bytes(6), *(b"\x01" + p.to_bytes(4) + b"\0" for p in [*places, start])]
+        up = b"".join(b"\x02" + bytes((a - b) & 255 for a, b in zip(row, before)) for row, before in zip(rows, [bytes(6), *rows]))
+        packed = zlib.compress(up)
+        out += b"%d 0 obj\n<< /Type /XRef /Size %d /W [1 4 1] /Filter /FlateDecode /DecodeParms << /Predictor 12 /Columns 6 >> /Length %d %s >>\nstream\n%s\nendstream\nendobj\n" % (len(objects) + 1, len(rows), len(packed), trailer, packed)
+    else:
+        out += b"xref\n0 %d\n0000000000 65535 f \n" % (len(objects) + 1) + b"".join(b"%010d 00000 n \n" % p for p in places)
+        out += b"trailer\n<< /Size %d %s >>\n" % (len(objects) + 1, trailer)
+    out += b"startxref\n%d\n%%%%EOF\n" % start
+    return out[: start + 20] if kind == 6 else out

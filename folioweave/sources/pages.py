@@ -12,21 +12,25 @@ from importlib import import_module
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from . import pdf_state
+
 DPI = 600
 
 
-def check_document(path: str) -> None:
-    """Raises FileNotFoundError, ValueError or PermissionError for no file, no PDF, an encrypted PDF."""
+def check_document(path: str, strict: bool = False) -> None:
+    """Raises FileNotFoundError for no file, ValueError for no PDF, PermissionError for one that asks for a password.
+
+    A damaged file passes, since a rasterizer may mend it; under ``strict`` it is a ValueError.
+    """
     if not os.path.isfile(path):
         raise FileNotFoundError(f"no such document: {path}")
-    with open(path, "rb") as f:
-        head = f.read(1024)
-        f.seek(max(0, os.path.getsize(path) - 65536))
-        tail = f.read()
-    if b"%PDF-" not in head:
+    state = pdf_state.file_state(path)
+    if state == pdf_state.OTHER:
         raise ValueError(f"not a PDF document: {path}")
-    if b"/Encrypt" in tail or b"/Encrypt" in head:
+    if state == pdf_state.LOCKED:
         raise PermissionError(f"encrypted document: {path}")
+    if strict and state == pdf_state.DAMAGED:
+        raise ValueError(f"damaged document: {path}")
 
 
 def _named(name: str):

@@ -10,7 +10,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables")
-@pytest.mark.parametrize("name", ["s3_normalize_name", "s4_page_prune", "g6_valid_rect", "g11_outliers", "x5_row_group", "x10_repair", "d23_decision", "l8_quality", "l11_better", "v9_report", "d2_region", "d21_band", "d17_d18_turned_back", "d20_best_angle", "o2_o3_lines", "l12_normalize", "l13_data_address", "g2_g4_line_masks", "g5_cell_boxes", "g5_contour_tree", "d7_otsu", "d13_plausible", "i3_i6_raster_steps", "k1_growing_list", "s5_raster_forms", "l1_attempts", "l2_l10_fallback", "l5_backoff", "l5_delay", "g7_near_dup", "g8_iou_dedup", "g12_row_sort", "d14_group_boxes", "d19_d20_geometry", "d22_similarity", "i10_binary", "k4_headers", "k6_display", "p_order_union", "x1_x2_model_first", "x1_text_only", "x6_noisy_cards"])
+@pytest.mark.parametrize("name", ["s3_normalize_name", "s4_page_prune", "g6_valid_rect", "g11_outliers", "x5_row_group", "x10_repair", "d23_decision", "l8_quality", "l11_better", "v9_report", "d2_region", "d21_band", "d17_d18_turned_back", "d20_best_angle", "o2_o3_lines", "l12_normalize", "l13_data_address", "g2_g4_line_masks", "g5_cell_boxes", "g5_contour_tree", "d7_otsu", "d13_plausible", "i3_i6_raster_steps", "k1_growing_list", "k7_k9_workbook", "s1_document_state", "s5_raster_forms", "l1_attempts", "l2_l10_fallback", "l5_backoff", "l5_delay", "g7_near_dup", "g8_iou_dedup", "g12_row_sort", "d14_group_boxes", "d19_d20_geometry", "d22_similarity", "i10_binary", "k4_headers", "k6_display", "p_order_union", "x1_x2_model_first", "x1_text_only", "x6_noisy_cards"])
 def test_against_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()

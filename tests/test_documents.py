@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from folioweave import logs, run, settings as S
 from folioweave.functions import png
 from folioweave.operators import classify, debug, engines, images as I, models as M, preprocess as P, tiles as T, watermark as W
+from folioweave.plans import fixtures
 from folioweave.sinks import files, image_sheets as sheets, json_list, spreadsheet, text as text_sink
-from folioweave.sources import pages as source
+from folioweave.sources import pages as source, pdf_state, workbook
 from folioweave.streaming import crops as stream
 
 CARD = {"serial_number": "7", "epic_number": "ABC1234567", "elector_name": "Ravi", "relation_type": "father", "relation_name": "Mohan", "house_number": "12", "age": 34, "gender": "male"}
@@ -252,6 +253,54 @@ def test_page_source(spark, tmp_path):
         source.check_document(str(tmp_path / "c.pdf"))
 
 
+def test_document_states(spark, tmp_path):
+    want = ["plain", "plain", "plain", "open", "locked", "locked", "damaged", "no pdf"]
+    files = [fixtures.pdf(k, 31) for k in range(8)]
+    assert [pdf_state.state_of(f) for f in files] == want
+    for k, f in enumerate(files):
+        (tmp_path / f"{k}.{'PDF' if k % 2 else 'pdf'}").write_bytes(f)
+    found = {r.path[-5]: (r.length, r.state) for r in pdf_state.scan_documents(spark, str(tmp_path)).collect()}
+    assert found == {str(k): (len(f), w) for k, (f, w) in enumerate(zip(files, want))}
+    for k, error in ((4, PermissionError), (5, PermissionError), (7, ValueError)):
+        with pytest.raises(error):
+            source.check_document(str(tmp_path / f"{k}.{'PDF' if k % 2 else 'pdf'}"))
+    for k in (0, 1, 2, 3, 6):
+        source.check_document(str(tmp_path / f"{k}.{'PDF' if k % 2 else 'pdf'}"))
+    with pytest.raises(ValueError):
+        source.check_document(str(tmp_path / "6.pdf"), strict=True)
+    assert pdf_state._rc4(b"Key", b"Plaintext").hex() == "bbf316e8d940af0ad3"
+    older = files[4] + files[0][: files[0].index(b"xref")]  # an update that ends too early
+    assert pdf_state.state_of(older) == "locked" and pdf_state.state_of(b"") == "no pdf" and pdf_state.state_of(b"%PDF-1.7") == "damaged"
+    loop = b"%PDF-1.4\nxref\n0 1\n0000000000 65535 f \ntrailer << /Root 1 0 R /Prev 9 >>\nstartxref\n9\n%%EOF"
+    assert pdf_state.state_of(loop) == "damaged" and pdf_state.state_of(b"%PDF-1.4\ntrailer " + b"[" * 5000 + b"\nstartxref\n9") == "damaged"
+    assert pdf_state.parsed(rb"<< /A (x\(y\)(z)\101) /B [1 -2.5 3 0 R <4 1 4>] % note" + b"\n/C null /D true >>", 0)[0] == {"A": b"x(y)(z)A", "B": [1, -2.5, pdf_state.Ref(3, 0), b"A@"], "C": None, "D": True}
+
+
+def test_workbook_source(spark, tmp_path):
+    one, two = str(tmp_path / "one.xlsx"), str(tmp_path / "two.xlsx")
+    spreadsheet.write_package(one, ["age", "elector_name"], [[3, "a <b>"], [None, True], [2.5, {"k": [1]}], [None, " "]], "A & B")
+    main, doc = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    with zipfile.ZipFile(two, "w") as z:  # as other programs write: shared strings in runs, cells without references, a chart
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{doc}"><sheets><sheet name="X" r:id="a"/><sheet name="Chart" r:id="c"/><sheet name="Y" r:id="b"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", f'<Relationships><Relationship Id="a" Type="{doc}/worksheet" Target="/xl/worksheets/s1.xml"/><Relationship Id="b" Type="{doc}/worksheet" Target="worksheets/s2.xml"/><Relationship Id="c" Type="{doc}/chartsheet" Target="c.xml"/></Relationships>')
+        z.writestr("xl/sharedStrings.xml", f'<sst xmlns="{main}"><si><t>one</t></si><si><r><t>tw</t></r><r><t>o</t></r><rPh><t>no</t></rPh></si></sst>')
+        z.writestr("xl/worksheets/s1.xml", f'<worksheet xmlns="{main}"><cols><col/></cols><sheetData><row><c t="s"><v>1</v></c><c t="e"><v>#N/A</v></c></row><row r="5"><c r="AB5" t="str"><f>A1</f><v>s</v></c><c><v>7</v></c></row></sheetData></worksheet>')
+        z.writestr("xl/worksheets/s2.xml", f'<worksheet xmlns="{main}"><sheetData/></worksheet>')
+    assert [n for n, _ in workbook.sheets_of(two)] == ["X", "Y"]
+    rows = workbook.read_workbook(spark, two)
+    assert rows.rdd.getNumPartitions() == 2
+    assert [(r.sheet, r.place, r.row, [tuple(c) for c in r.cells]) for r in rows.orderBy("row").collect()] == [("X", 1, 1, [("A", "text", "two"), ("B", "error", "#N/A")]), ("X", 1, 5, [("AB", "text", "s"), ("AC", "number", "7")])]
+    got = workbook.read_workbook(spark, one, "A & B", header=True).orderBy("row").select("row", workbook.value_of("Age", "double").alias("a"), workbook.value_of("Elector Name").alias("e"), workbook.value_of("Elector Name", "boolean").alias("b"))
+    assert [tuple(r) for r in got.collect()] == [(2, 3.0, "a <b>", None), (3, None, "true", True), (4, 2.5, '{"k": [1]}', None), (5, None, " ", None)]
+    assert workbook.read_workbook(spark, str(tmp_path / "*.xlsx")).select("path", "sheet").distinct().count() == 2
+    with zipfile.ZipFile(one) as z:
+        assert {"xl/styles.xml", "docProps/app.xml", "docProps/core.xml"} < set(z.namelist())
+    (tmp_path / "three.xlsx").write_text("x")
+    for how in ((str(tmp_path / "three.xlsx"), None), (one, "Z"), (str(tmp_path / "no*.xlsx"), None)):
+        with pytest.raises(Exception):
+            workbook.read_workbook(spark, *how).count()
+
+
 def test_image_sheets(tmp_path):
     book = str(tmp_path / "a.xlsx")
     spreadsheet.write_package(book, ["age"], [[3]], "Records")
