@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import png
 from . import images as I
@@ -104,3 +104,27 @@ def clean_pages(pages: DataFrame, options: Options = Options(), image: str = "pn
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema)
     return pages.mapInArrow(run, f"{kept}, clean binary, width int, height int, steps map<string,binary>, clean_error string")
+
+
+def clean_files(spark: SparkSession, folder: str, out: str, options: Options = Options(), debug: str | None = None) -> DataFrame:
+    """PNG files of a folder made ready, each as <stem>_clean.png below ``out``; under ``debug``, the picture after each step as <stem>/<step>.png below that folder.
+
+    Returns name, clean_name, width, height, debug_names (of the order of steps; empty without ``debug``) and
+    clean_error of each file. Pages are worked out once, into a table of the job's own; a file that cannot be
+    read writes nothing and has an error. Files that end in _clean.png are passed over.
+    """
+    from .. import scratch
+    from ..sinks.files import write_files
+
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.[pP][nN][gG]").load(folder)
+    name = F.element_at(F.split("path", "/"), -1)
+    pages = found.select(name.alias("name"), F.col("content").alias("png")).where(~F.col("name").endswith("_clean.png"))
+    pages = pages.withColumn("stem", F.regexp_replace("name", r"\.[^.]*$", ""))
+    done = scratch.once(clean_pages(pages, options, debug=debug is not None).drop("png"), scratch.new_folder(spark))
+    target = F.when(F.col("clean_error").isNull(), F.concat("stem", F.lit("_clean.png")))
+    write_files(done.select(target.alias("path"), F.col("clean").alias("data")), out)
+    if debug is not None:
+        steps = done.select("stem", F.explode("steps").alias("step", "data"))
+        write_files(steps.select(F.concat("stem", F.lit("/"), "step", F.lit(".png")).alias("path"), "data"), debug)
+    names = F.transform(F.coalesce(F.map_keys("steps"), F.array().cast("array<string>")), lambda s: F.concat("stem", F.lit("/"), s, F.lit(".png")))
+    return done.select("name", target.alias("clean_name"), "width", "height", names.alias("debug_names"), "clean_error")

@@ -253,6 +253,25 @@ def test_page_source(spark, tmp_path):
         source.check_document(str(tmp_path / "c.pdf"))
 
 
+def test_clean_files(spark, tmp_path):
+    image = np.random.default_rng(3).integers(0, 256, (40, 30)).astype(np.uint8)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.b.png").write_bytes(png.encode(image))
+    (tmp_path / "in" / "bad.PNG").write_bytes(b"no picture")
+    (tmp_path / "in" / "a.b_clean.png").write_bytes(b"of an earlier run")
+    how = P.Options(steps=("denoise", "threshold"))
+    got = {r["name"]: r for r in P.clean_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), how, str(tmp_path / "debug")).collect()}
+    want, seen = P.prepared(image, how)
+    assert set(got) == {"a.b.png", "bad.PNG"} and os.listdir(tmp_path / "out") == ["a.b_clean.png"]
+    assert tuple(got["a.b.png"])[1:4] == ("a.b_clean.png", 30, 40) and got["bad.PNG"].clean_name is None and got["bad.PNG"].clean_error
+    assert (png.decode((tmp_path / "out" / "a.b_clean.png").read_bytes()) == want).all()
+    assert sorted(got["a.b.png"].debug_names) == sorted(f"a.b/{s}.png" for s in seen) and got["bad.PNG"].debug_names == []
+    for step, picture in seen.items():
+        assert (png.decode((tmp_path / "debug" / "a.b" / f"{step}.png").read_bytes()) == picture).all()
+    plain = P.clean_files(spark, str(tmp_path / "in"), str(tmp_path / "in"), how).collect()
+    assert all(r.debug_names == [] for r in plain) and (tmp_path / "in" / "a.b_clean.png").read_bytes() != b"of an earlier run"
+
+
 def test_document_states(spark, tmp_path):
     want = ["plain", "plain", "plain", "open", "locked", "locked", "damaged", "no pdf"]
     files = [fixtures.pdf(k, 31) for k in range(8)]
