@@ -29,6 +29,12 @@ HOT_BITS = 5
 TRIES = 3
 #: Members of a group of candidates, beside the smallest, against which the others are checked at first.
 PIVOTS = 3
+#: A hash that more classes than this have among their rarest links them all as candidates.
+HOT_SHINGLE = 4000
+#: One document in so many is looked at for frequent shingles; so often the sample must hold one; the most that are told to tasks.
+FREQUENT_SHARE, FREQUENT_LEAST, FREQUENT_MOST = 64, 4, 100_000
+#: Shingles in a chunk of members that are compared with those of another chunk.
+CHUNK = 1 << 18
 
 
 def shingle_hashes(data: bytes, words_per_shingle: int = SHINGLE_WORDS) -> np.ndarray:
@@ -341,24 +347,53 @@ def bits_of_similarity(similarity: float) -> int:
     return ceil(64 * acos(2 * similarity / (1 + similarity)) / pi)
 
 
-def signatures(docs: DataFrame, words_per_shingle: int, tries: int) -> DataFrame:
-    """doc_id, fps (``tries`` fingerprints), digest (of the set of shingles), size (of that set)."""
+def frequent_shingles(docs: DataFrame, words_per_shingle: int) -> np.ndarray:
+    """Sorted hashes of the shingles that a sample of documents holds most often; they order work and change no result."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in row_batches(batches, 8 << 20):
+            sets = [np.unique(shingle_hashes((t or "").encode("utf-8", "surrogatepass"), words_per_shingle)) for t in batch.column(1).to_pylist()]
+            h, n = np.unique(np.concatenate(sets), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+
+    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(FREQUENT_SHARE)) == 0).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "h long, n long")
+    found = some.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT_LEAST).orderBy(F.desc("n"), "h").limit(FREQUENT_MOST).collect()  # a bounded list
+    return np.sort(np.array([r["h"] for r in found], np.int64).view(np.uint64))
+
+
+def rarest(distinct: np.ndarray, similarity: float, frequent: np.ndarray) -> np.ndarray:
+    """The first of a set of hashes in an order that all sets share, frequent ones last.
+
+    So many that two sets of that Jaccard similarity have one of these in common: without them
+    a set is too small to hold the share of it that must lie in both.
+    """
+    if not len(distinct):
+        return distinct
+    last = frequent[np.minimum(np.searchsorted(frequent, distinct), len(frequent) - 1)] == distinct if len(frequent) else np.zeros(len(distinct), bool)
+    return np.r_[distinct[~last], distinct[last]][: len(distinct) - ceil(similarity * len(distinct) - 1e-6) + 1]
+
+
+def signatures(docs: DataFrame, words_per_shingle: int, tries: int, similarity: float, frequent: np.ndarray) -> DataFrame:
+    """doc_id, fps (``tries`` fingerprints), digest (of the set of shingles), size (of that set), rare (its rarest() hashes)."""
 
     def run(batches):
         import pyarrow as pa
         import xxhash
 
-        for batch in row_batches(batches, 16 << 20):
-            fps, digests, sizes = [], [], []
+        for batch in row_batches(batches, 8 << 20):
+            fps, digests, sizes, rare = [], [], [], []
             for t in batch.column(1).to_pylist():
                 hashes = shingle_hashes((t or "").encode("utf-8", "surrogatepass"), words_per_shingle)
                 fps.append([np.uint64(majority_bits(remixed(hashes, i))).view(np.int64) for i in range(tries)])
                 distinct = np.unique(hashes)
                 digests.append(xxhash.xxh3_128_hexdigest(distinct.tobytes()))
                 sizes.append(len(distinct))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.list_(pa.int64())), pa.array(digests, pa.string()), pa.array(sizes, pa.int64())], ["doc_id", "fps", "digest", "size"])
+                rare.append(rarest(distinct, similarity, frequent).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.list_(pa.int64())), pa.array(digests, pa.string()), pa.array(sizes, pa.int64()), pa.array(rare, pa.list_(pa.int64()))], ["doc_id", "fps", "digest", "size", "rare"])
 
-    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fps array<long>, digest string, size long")
+    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fps array<long>, digest string, size long, rare array<long>")
 
 
 def remixed(hashes: np.ndarray, i: int) -> np.ndarray:
@@ -401,29 +436,171 @@ def similar(pairs: DataFrame, sets: DataFrame, similarity: float, hot: int = 500
     return pairs.where(near & (both >= similarity * (sizes - both) - 1e-9)).select("a", "b").distinct()
 
 
-def similar_groups(docs: DataFrame, similarity: float = 0.8, words_per_shingle: int = 5, tries: int = TRIES, max_bits: int | None = None, hot: int = HOT_SUBTRIE) -> DataFrame:
+def _shared(batches):
+    """Of rows sorted by their first column, a long, those that do not have its value alone."""
+    import pyarrow as pa
+
+    held, known = None, False  # the last row, and whether the one before it has its value
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        t = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+        h = t.column(0).to_numpy()
+        same = h[1:] == h[:-1]
+        keep = np.r_[known, same] | np.r_[same, False]
+        held, known = t.slice(len(h) - 1).to_batches()[0], bool(keep[-1])
+        yield from t.slice(0, len(h) - 1).filter(pa.array(keep[:-1])).to_batches()
+    if known:
+        yield held
+
+
+def _candidates(similarity: float, max_bits: int, hot: int, rows: int = 1 << 16, chunk: int = 1 << 20):
+    """For rows (h, rep, size, fps) sorted by h: a, b, a spanning forest of the pairs of one h that may be similar."""
+
+    def linked(h, rep, size, fps, wide):
+        import pyarrow as pa
+
+        reps, at = np.unique(rep, return_inverse=True)
+        forest = Forest(len(reps))
+        first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+        n = np.diff(np.r_[first, len(h)])
+        star = np.repeat((n > hot) | (h[first] == wide if wide is not None else False), n)
+        forest.join(at[np.repeat(first, n)[star]], at[star])
+        last = np.where(star, 0, np.repeat(first + n, n) - np.arange(len(h)) - 1)  # partners after each row
+        done = np.r_[0, np.cumsum(last)]
+        i = 0
+        while i < len(h):
+            j = max(i + 1, int(np.searchsorted(done, done[i] + chunk, "right")) - 1)
+            x = np.repeat(np.arange(i, j), last[i:j])
+            y = x + 1 + np.arange(len(x)) - np.repeat(done[i:j] - done[i], last[i:j])
+            i = j
+            ok = forest.label[at[x]] != forest.label[at[y]]
+            x, y = x[ok], y[ok]
+            ok = np.minimum(size[x], size[y]) >= similarity * np.maximum(size[x], size[y]) - 1e-9
+            x, y = x[ok], y[ok]
+            ok = (np.bitwise_count(fps[x] ^ fps[y]) <= max_bits).any(1)
+            forest.join(at[x[ok]], at[y[ok]])
+        some = np.flatnonzero(forest.label != np.arange(len(reps)))
+        return pa.RecordBatch.from_arrays([pa.array(reps[some]), pa.array(reps[forest.label[some]])], ["a", "b"])
+
+    def run(batches):
+        held, size, wide = [], 0, None  # columns of the rows at hand; an h whose rows come in several parts
+
+        def joined():
+            return [np.concatenate(c) for c in zip(*held)]
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h, rep, sizes = (batch.column(c).to_numpy() for c in range(3))
+            held.append((h, rep, sizes, batch.column(3).flatten().to_numpy().view(np.uint64).reshape(len(h), -1)))
+            size += len(h)
+            if size < rows:
+                continue
+            cols = joined()
+            cut = int(np.searchsorted(cols[0], cols[0][-1]))
+            if cut:
+                yield linked(*(c[:cut] for c in cols), wide)
+                wide, cols = None, [c[cut:] for c in cols]
+            if len(cols[0]) > hot:  # what is still to come of this h is linked with its first row
+                wide = cols[0][0]
+                yield linked(*cols, wide)
+                cols = [c[:1] for c in cols]
+            held, size = [cols], len(cols[0])
+        if held:
+            yield linked(*joined(), wide)
+
+    return run
+
+
+def candidate_links(sigs: DataFrame, classes: DataFrame, similarity: float, max_bits: int, hot: int = HOT_SHINGLE) -> DataFrame:
+    """a, b: representatives whose links span every group of classes that may be similar.
+
+    Linked are classes that have one of their rarest() hashes in common, sizes that allow the
+    similarity, and fingerprints that differ by at most max_bits in any try. A hash that more
+    than ``hot`` classes have so links them all, which joins groups and loses no pair.
+    """
+    entries = sigs.join(classes.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"], "left_semi").select(F.explode("rare").alias("h"), F.col("doc_id").alias("rep"))
+    n = classes.agg(F.sum("size")).first()[0] or 0
+    n_parts = int(max(8, min(100_000, n * (1 - similarity) / 400_000)))
+    shared = entries.repartition(n_parts, "h").sortWithinPartitions("h").mapInArrow(_shared, "h long, rep long")
+    known = shared.join(classes.select("rep", "size", "fps"), "rep").select("h", "rep", "size", "fps")
+    return known.repartition(n_parts, "h").sortWithinPartitions("h").mapInArrow(_candidates(similarity, max_bits, hot), "a long, b long")
+
+
+def links_across(members: DataFrame, sets: DataFrame, similarity: float, chunk: int = CHUNK) -> DataFrame:
+    """a, b: labels whose links span all labels of a component that similar sets connect.
+
+    ``members`` has component, label, node and size. The members of a component are cut into
+    chunks of about ``chunk`` shingles and each pair of chunks is compared whole in a task, which
+    sends a spanning forest; no pair of members becomes a row. A label that fills a chunk has
+    chunks of its own, which are not compared with one another.
+    """
+    load = F.col("size") + 256
+    held = members.groupBy("component", "label").agg(F.sum(load).alias("own")).withColumn("alone", F.col("own") >= chunk)
+    pooled = held.groupBy("component").agg(F.sum(F.when(~F.col("alone"), F.col("own")).otherwise(0)).alias("pooled"))
+    lead, parts = F.when(F.col("alone"), F.col("label")), F.ceil(F.when(F.col("alone"), F.col("own")).otherwise(F.col("pooled")) / chunk)
+    placed = held.join(pooled, "component").select("component", "label", lead.alias("lead"), parts.alias("parts"))
+    name = F.concat_ws(" ", F.coalesce(F.col("lead").cast("string"), F.lit("-")), F.col("part").cast("string"))
+    chunks = placed.select("component", "lead", "parts").distinct().select("component", "lead", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")).select("component", "lead", name.alias("x"))
+    other = chunks.select("component", F.col("lead").alias("lead_y"), F.col("x").alias("y"))
+    pairs = chunks.join(other, "component").where("x <= y and not coalesce(lead = lead_y, false)").select("component", "x", "y")
+    own = members.join(placed, ["component", "label"]).withColumn("part", F.pmod(F.xxhash64(F.when(F.col("lead").isNull(), F.col("label")).otherwise(F.col("node"))), F.col("parts"))).select("component", "label", "node", name.alias("own"))
+    sides = [own.join(pairs.withColumn("own", F.col(c)), ["component", "own"]).select("component", "x", "y", F.lit(c == "y").alias("right"), "label", "node") for c in ("x", "y")]
+    sent = sides[0].unionByName(sides[1].where("x != y")).join(sets, "node").select("component", "x", "y", "right", "label", "shingles")
+
+    def compared(t):
+        import pyarrow as pa
+
+        right, size = t["right"].to_numpy(), np.array([len(x) for x in t["shingles"]], np.int64)
+        names, label = np.unique(t["label"].to_numpy(), return_inverse=True)
+        vocabulary, flat = np.unique(t["shingles"].combine_chunks().flatten().to_numpy(), return_inverse=True)
+        start = np.cumsum(size) - size
+        order = np.flatnonzero(size > 0)
+        order = order[np.argsort(size[order], kind="stable")]
+        two = bool(right.any())
+        left, against = (order[~right[order]], order[right[order]]) if two else (order, order)
+        ids = np.concatenate([flat[start[j] : start[j] + size[j]] for j in against]) if len(against) else flat[:0]
+        sizes, forest, mark = size[against], Forest(len(names)), np.zeros(len(vocabulary), bool)
+        begin = np.cumsum(sizes) - sizes
+        for k, i in enumerate(left.tolist()):
+            low = int(np.searchsorted(sizes, similarity * size[i] - 1e-6)) if two else k + 1
+            high = int(np.searchsorted(sizes, size[i] / similarity + 1e-6, "right"))
+            some = low + np.flatnonzero(forest.label[label[against[low:high]]] != forest.label[label[i]])
+            if not len(some):
+                continue
+            mark[own := flat[start[i] : start[i] + size[i]]] = True
+            n = sizes[some]
+            at = np.cumsum(n) - n
+            hits = np.add.reduceat(mark[ids[np.arange(n.sum()) + np.repeat(begin[some] - at, n)]], at, dtype=np.int64)
+            mark[own] = False
+            near = some[hits >= similarity * (size[i] + n - hits) - 1e-9]
+            forest.join(np.full(len(near), label[i]), label[against[near]])
+        linked = np.flatnonzero(forest.label != np.arange(len(names)))
+        return pa.table({"a": names[linked], "b": names[forest.label[linked]]}, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    return sent.groupBy("component", "x", "y").applyInArrow(compared, "a long, b long")
+
+
+def similar_groups(docs: DataFrame, similarity: float = 0.8, words_per_shingle: int = 5, tries: int = TRIES, max_bits: int | None = None, hot: int = HOT_SHINGLE, chunk: int = CHUNK) -> DataFrame:
     """doc_id, component_id (smallest doc_id reachable) of distinct doc_ids, over links checked against the similarity.
 
     Documents with equal sets of shingles form a class. Classes whose fingerprints, in any of
-    ``tries``, link by the trie join are candidates; a candidate pair is a link only if its
-    shingle sets have the similarity. No group is written out as pairs: the members of a group
-    of candidates are first checked against a few pivots, over and over while that settles a
-    quarter of them, and only candidate pairs that then still lie in different checked groups
-    are checked one by one. So every candidate pair either lies in one checked group or is checked.
+    ``tries``, differ by at most max_bits are candidates; a candidate pair is a link only if its
+    shingle sets have the similarity, so only those are looked for that share a shingle among the
+    rarest of both, as every pair of that similarity does. No group is written out as pairs: the
+    members of a group of candidates are first checked against a few pivots, over and over while
+    that settles a quarter of them; groups that then still hold different checked groups are
+    compared whole, chunk by chunk. So every candidate pair either lies in one checked group or is checked.
 
     Empty or null text: the empty set, like every other such text and no text with words. Rows
     without doc_id are left out. Rows that share a doc_id form one node, with all their texts.
     """
     max_bits = bits_of_similarity(similarity) if max_bits is None else max_bits
-    sigs = materialize(signatures(docs, words_per_shingle, tries))
+    sigs = materialize(signatures(docs, words_per_shingle, tries, similarity, frequent_shingles(docs, words_per_shingle)))
     classes = materialize(sigs.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("fps").alias("fps"), F.first("size").alias("size")))
-    n, found = classes.count(), []
-    for i in range(tries):
-        by_fp = classes.select(F.col("fps")[i].alias("fp"), "rep")
-        least = by_fp.groupBy("fp").agg(F.min("rep").alias("low"))
-        same = by_fp.join(least, "fp").where("rep != low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
-        found.append(materialize(spanning_links(least.withColumnRenamed("low", "rep"), max_bits, n, hot).unionByName(same).distinct()))
-    linked = components(_union(found))
+    found = materialize(candidate_links(sigs, classes, similarity, max_bits, hot))
+    linked = components(found)
     members = materialize(linked.unionByName(linked.select(F.col("component").alias("node"), "component").distinct()))
     sets = materialize(shingle_sets(docs, members.select("node"), words_per_shingle))
     checked, open_, left, turn = [], members, members.count(), 0
@@ -440,15 +617,14 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, words_per_shingle:
     labels = components(_union(checked)) if checked else linked
     labelled = members.join(labels.select("node", F.col("component").alias("label")), "node", "left").withColumn("label", F.coalesce("label", "node"))
     split = labelled.groupBy("component").agg((F.min("label") != F.max("label")).alias("many")).where("many").select("component")
-    rest = materialize(labelled.join(split, "component", "left_semi").join(classes, F.col("node") == classes["rep"]).select("rep", "label", "size", "fps"))
-    n_rest = rest.count()
-    if n_rest:
-        pairs = _union([spanning_links(rest.select("rep", "label", "size", F.col("fps")[i].alias("fp")), max_bits, n_rest, hot, similarity) for i in range(tries)])
-        checked.append(materialize(similar(materialize(pairs.where("a != b").distinct()), sets, similarity)))
+    sizes = classes.groupBy("rep").agg(F.sum("size").alias("size"))
+    rest = materialize(labelled.join(split, "component", "left_semi").join(sizes, F.col("node") == F.col("rep")).select("component", "label", "node", "size"))
+    if rest.limit(1).count():
+        checked.append(materialize(links_across(rest, sets, similarity, chunk)))
         labels = components(_union(checked))
     named = classes.select("digest", "rep").join(labels, F.col("rep") == F.col("node"), "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
-    out = materialize(sigs.join(named, "digest").groupBy("doc_id").agg(F.min("component_id").alias("component_id")))
-    for step in (sigs, classes, members, sets, rest, *found, *checked):
+    out = materialize(sigs.select("digest", "doc_id").join(named, "digest").groupBy("doc_id").agg(F.min("component_id").alias("component_id")))
+    for step in (sigs, classes, members, sets, rest, found, *checked):
         discard(step)
     return out
 

@@ -144,6 +144,64 @@ def test_similar_groups(spark, none, monkeypatch, settled):
         assert kept.where("doc_id is null").count() == 1 and simhash.similar_groups(none).count() == 0
 
 
+def test_loose_family_makes_no_pair_rows(spark, monkeypatch):
+    """A family of texts mostly below the similarity: groups as by plain loops, without rows for its pairs."""
+    rng = random.Random(4)
+    base = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(200)]
+    texts = []
+    for k in range(150):
+        w = list(base)
+        for at in rng.sample(range(200), 2 if k % 5 == 0 else 4):
+            w[at] = f"z{k}x{at}"
+        texts.append(" ".join(w))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    sets = [set(simhash.shingle_hashes(t.encode(), 5).tolist()) for t in texts]
+    forest, links = simhash.Forest(len(texts)), 0
+    for i, a in enumerate(sets):
+        near = [j for j, b in enumerate(sets) if len(a & b) >= 0.8 * len(a | b)]
+        forest.join(np.full(len(near), i), np.array(near))
+        links += len(near) - 1
+    assert 0 < links < 0.2 * 150 * 149
+    whole, rows = simhash.similar, []
+    monkeypatch.setattr(simhash, "similar", lambda p, s, j, **k: rows.append(p.count()) or whole(p, s, j, **k))
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(docs, max_bits=64).collect()}
+    assert got == dict(enumerate(forest.label.tolist())) and sum(rows) < 20 * len(texts)
+    assert got == {r.doc_id: r.component_id for r in simhash.similar_groups(docs, max_bits=64, hot=5, chunk=9000).collect()}
+
+
+def test_links_across_chunks(spark):
+    """Labels that fill chunks, small ones that share them and those of another component."""
+    rng = random.Random(1)
+    rows, sets = [], []
+    for node in range(120):
+        component, label = (0, 0 if node < 70 else node) if node < 110 else (200, node)
+        base = [10_000 * (node % 6) + x for x in range(40)]
+        own = sorted(set(base) - set(rng.sample(base, rng.randint(0, 9))) | {1_000_000 + 100 * node + x for x in range(rng.randint(0, 3))})
+        rows.append((component, label, node, len(own)))
+        sets.append((node, own))
+    got = simhash.links_across(spark.createDataFrame(rows, "component long, label long, node long, size long"), spark.createDataFrame(sets, "node long, shingles array<long>"), 0.8, chunk=4000).collect()
+    plain, found = simhash.Forest(300), simhash.Forest(300)
+    for (c, x, i, _), (_, a) in zip(rows, sets):
+        for (d, y, j, _), (_, b) in zip(rows, sets):
+            if c == d and len(set(a) & set(b)) >= 0.8 * len(set(a) | set(b)):
+                plain.join(np.array([x]), np.array([y]))
+    for r in got:
+        found.join(np.array([r.a]), np.array([r.b]))
+    assert found.label.tolist() == plain.label.tolist() and (plain.label != np.arange(300)).any()
+
+
+def test_rarest_meet():
+    """Sets of the similarity share one of their rarest, whichever hashes are frequent."""
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        n = int(rng.integers(1, 60))
+        a = np.unique(rng.integers(0, 200, n)).astype(np.uint64)
+        b = np.unique(np.r_[rng.choice(a, len(a) - len(a) // 9, replace=False), rng.integers(0, 200, len(a) // 10).astype(np.uint64)])
+        some = np.unique(rng.integers(0, 200, int(rng.integers(0, 150)))).astype(np.uint64)
+        if len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b)):
+            assert len(np.intersect1d(simhash.rarest(a, 0.8, some), simhash.rarest(b, 0.8, some)))
+
+
 @pytest.mark.parametrize("hot", [simhash.HOT_SUBTRIE, 4])
 def test_every_link_once(spark, hot):
     rng = np.random.default_rng(3)
