@@ -24,6 +24,8 @@ from .common import row_batches, split_of
 SAMPLE = 20_000
 #: Preference pairs drawn from them.
 PAIRS = 120_000
+#: Pairs whose differences are held in memory at once while learning.
+PAIR_BLOCK = 4096
 THRESHOLD = 0.3
 NAMES = ("log_chars", "no_text", "upper", "digit", "symbol", "space", "stop", "quote", "pipe", "exclaim", "words_upper", "word_chars", "long_words",
          "repeated_next", "distinct", "top_word", "line_repeat", "line_chars", "end_symbol", "capital_start", "comma_stop", "non_ascii", "hash_like", "log_words")
@@ -82,12 +84,16 @@ class Model:
         if not len(yes) or not len(no):
             self.at = 1.0 if len(no) else -1.0  # one label only: everything gets it
             return
-        d = z[rng.choice(yes, pairs)] - z[rng.choice(no, pairs)]
+        better, worse = rng.choice(yes, pairs), rng.choice(no, pairs)
         w = self.weights
         for _ in range(rounds):  # Newton steps on the mean logistic loss
-            p = 1 / (1 + np.exp(np.clip(d @ w, -30, 30)))
-            grad = -(d * p[:, None]).mean(0) + penalty * w
-            hess = (d * (p * (1 - p))[:, None]).T @ d / len(d) + penalty * np.eye(len(w))
+            grad, hess = np.zeros(len(w)), np.zeros((len(w), len(w)))
+            for k in range(0, pairs, PAIR_BLOCK):
+                d = z[better[k : k + PAIR_BLOCK]] - z[worse[k : k + PAIR_BLOCK]]
+                p = 1 / (1 + np.exp(np.clip(d @ w, -30, 30)))
+                grad -= p @ d
+                hess += (d * (p * (1 - p))[:, None]).T @ d
+            grad, hess = grad / pairs + penalty * w, hess / pairs + penalty * np.eye(len(w))
             step = np.linalg.solve(hess, grad)
             step *= min(1, 5 / (np.abs(step).max() + 1e-9))
             w = w - step
@@ -133,9 +139,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, pairs: int =
             x = [features(t or "").tolist() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2).cast(pa.int32()), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "label", "x"])
 
-    got = rows.mapInArrow(run, "doc_id long, label int, x array<double>").toPandas()
-    got = got.sort_values("doc_id", kind="stable")
-    x = np.array(got["x"].tolist()).reshape(len(got), len(NAMES))
+    got = rows.mapInArrow(run, "doc_id long, label int, x array<double>").toArrow().sort_by("doc_id").combine_chunks()  # ``sample`` rows of numbers, as columns
+    x = got["x"].combine_chunks().flatten().to_numpy().reshape(len(got), len(NAMES))
     return Model(x, got["label"].to_numpy() > 0, pairs) if len(x) else Model(np.zeros((1, len(NAMES))), np.array([True]))
 
 

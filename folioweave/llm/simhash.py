@@ -359,8 +359,8 @@ def frequent_shingles(docs: DataFrame, words_per_shingle: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
 
     some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(FREQUENT_SHARE)) == 0).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "h long, n long")
-    found = some.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT_LEAST).orderBy(F.desc("n"), "h").limit(FREQUENT_MOST).collect()  # a bounded list
-    return np.sort(np.array([r["h"] for r in found], np.int64).view(np.uint64))
+    found = some.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT_LEAST).orderBy(F.desc("n"), "h").limit(FREQUENT_MOST).select("h").toArrow()  # a bounded list, as one column
+    return np.sort(found["h"].to_numpy().astype(np.int64).view(np.uint64))
 
 
 def rarest(distinct: np.ndarray, similarity: float, frequent: np.ndarray) -> np.ndarray:

@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -360,6 +361,23 @@ def test_quality(spark, docs, none):
     assert quality.scored(none, quality.train(none, labels)).count() == 0
 
 
+def test_quality_memory():
+    """The most pairs are learned from without an array of them all, to the weights of plain Newton steps."""
+    rng = np.random.default_rng(2)
+    x = rng.random((quality.SAMPLE, len(quality.NAMES)))
+    good = x[:, 3] + rng.normal(0, 0.3, len(x)) > 0.5
+    tracemalloc.start()
+    model = quality.Model(x, good)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 80e6  # the differences of all pairs alone are 92 MB
+    z = (quality.expanded(x) - model.mean) / model.scale
+    same = np.random.default_rng(17)
+    d = z[same.choice(np.flatnonzero(good), quality.PAIRS)] - z[same.choice(np.flatnonzero(~good), quality.PAIRS)]
+    p = 1 / (1 + np.exp(d @ model.weights))
+    assert np.abs(1e-4 * model.weights - (d * p[:, None]).mean(0)).max() < 1e-4  # no slope is left
+
+
 def test_language(spark, docs, none):
     rng = random.Random(1)
     own = {"en": "the of and with this that water".split(), "de": "der und nicht mit einer wasser über".split(), "fr": "le et dans une eau être pour".split(), "es": "el y con una agua niño para".split(), "xx": "qqa qqb zzq".split()}
